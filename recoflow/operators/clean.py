@@ -71,13 +71,15 @@ def als_triples(processed: DataFrame) -> DataFrame:
     ).na.drop()
 
 
-def reviews_renamed(reviews: DataFrame) -> DataFrame:
+def reviews_renamed(reviews: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """S6 + P2 + P7 + P10: the preprocessing projection.
 
     ``is_recommended -> recommended`` (0/1 int), ``date -> timestamp`` (kept as
     text, as the reference does), ``hours`` coerced with bad values -> 0.
+    ``keep`` carries extra columns (such as the review key) in front.
     """
     return reviews.select(
+        *keep,
         "user_id",
         "app_id",
         label_to_int("is_recommended").alias("recommended"),

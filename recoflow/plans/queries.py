@@ -33,3 +33,257 @@ def raw(spark: SparkSession, sf_dir: str):
 def processed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (J1-F2): usable training rows with features."""
     return _processed(*raw(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- projections
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import casts as C  # noqa: E402
+from ..functions.features import price_category as _price_category  # noqa: E402
+from ..functions.features import quality_score as _quality_score  # noqa: E402
+from ..functions.features import request_features as _request_features  # noqa: E402
+from ..functions.json_codec import decode_messages, encode_message, landable, quarantined  # noqa: E402
+from ..operators import aggregates as A  # noqa: E402
+from ..operators import clean as CL  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import sampling as S  # noqa: E402
+from ..schemas import FEATURE_COLUMNS  # noqa: E402
+from .prepare import joined_reviews  # noqa: E402
+
+# Parameters of the registered checks. LR / trim sizes and the sample seed are
+# the reference's; the registered sample draws 5,000 rows so that sampling and
+# the semi joins behind it select a strict subset at the test scales.
+LR_ROWS = 500_000
+GBT_ROWS = 750_000
+TRIM_LINES = 5_000_000
+SAMPLE_ROWS = 5_000
+SAMPLE_SEED = 42
+
+
+@register("reviews_column_subset")
+def reviews_column_subset(spark, sf_dir):
+    """Five columns of the reviews; the scan reads only what they need."""
+    return T.reviews_raw(spark, sf_dir).select("user_id", "app_id", "is_recommended", "hours", "date")
+
+
+@register("reviews_renamed")
+def reviews_renamed(spark, sf_dir):
+    """P2 + P7 + P10: preprocessing projection (rename, 0/1 label, hours or 0)."""
+    return CL.reviews_renamed(T.reviews_raw(spark, sf_dir))
+
+
+@register("games_projected")
+def games_projected(spark, sf_dir):
+    """P4 (games)."""
+    return CL.games_projected(T.games_raw(spark, sf_dir))
+
+
+@register("users_projected")
+def users_projected(spark, sf_dir):
+    """P4 (users)."""
+    return CL.users_projected(T.users_raw(spark, sf_dir))
+
+
+@register("ids_typed")
+def ids_typed(spark, sf_dir):
+    """P5: ID strings -> int, bad -> NULL."""
+    r = T.reviews_raw(spark, sf_dir)
+    return r.select("review_id", "app_id", "user_id",
+                    C.to_int_id("app_id").alias("app_id_int"),
+                    C.to_int_id("user_id").alias("user_id_int"))
+
+
+@register("label_typed")
+def label_typed(spark, sf_dir):
+    """P6 (and P8, kept only to show what the direct double cast loses)."""
+    r = T.reviews_raw(spark, sf_dir)
+    return r.select("review_id", "is_recommended",
+                    C.to_label("is_recommended").alias("is_recommended_label"),
+                    C.to_double("is_recommended").alias("label_direct_double"))
+
+
+@register("numerics_typed")
+def numerics_typed(spark, sf_dir):
+    """Numeric strings of games -> double, bad -> NULL."""
+    g = T.games_raw(spark, sf_dir)
+    return g.select("app_id",
+                    C.to_double("price_original").alias("price_numeric"),
+                    C.to_double("positive_ratio").alias("positive_ratio_numeric"),
+                    C.to_double("user_reviews").alias("user_reviews_numeric"))
+
+
+@register("hours_coerced")
+def hours_coerced(spark, sf_dir):
+    """P9 vs P10 on hours: NULL on bad input vs 0 on bad input."""
+    r = T.reviews_raw(spark, sf_dir)
+    return r.select("review_id", "hours",
+                    C.to_double("hours").alias("hours_numeric"),
+                    C.to_hours_or_zero("hours").alias("hours_or_zero"))
+
+
+@register("price_category")
+def price_category(spark, sf_dir):
+    """P11 over every game, including NULL and unparseable prices."""
+    g = T.games_raw(spark, sf_dir).select("app_id", C.to_double("price_original").alias("price_numeric"))
+    return g.withColumn("price_category", _price_category(F.col("price_numeric")))
+
+
+@register("quality_score")
+def quality_score(spark, sf_dir):
+    """P12 over every game."""
+    g = T.games_raw(spark, sf_dir).select(
+        "app_id",
+        C.to_double("positive_ratio").alias("positive_ratio_numeric"),
+        C.to_double("user_reviews").alias("user_reviews_numeric"))
+    return g.withColumn("quality_score",
+                        _quality_score(F.col("positive_ratio_numeric"), F.col("user_reviews_numeric")))
+
+
+# ---------------------------------------------------------------- joins
+@register("join_users")
+def join_users(spark, sf_dir):
+    """Reviews x users (inner, on the raw user_id text)."""
+    return J.join_users(T.reviews_raw(spark, sf_dir), T.users_raw(spark, sf_dir))
+
+
+@register("join_games")
+def join_games(spark, sf_dir):
+    """J1 then J2: reviews x users x games."""
+    return joined_reviews(*raw(spark, sf_dir))
+
+
+@register("model_columns")
+def model_columns(spark, sf_dir):
+    """The 9 model columns (+ review key) after both joins."""
+    return CL.model_columns(joined_reviews(*raw(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- filters
+@register("drop_nulls")
+def drop_nulls(spark, sf_dir):
+    """F1 only: typed rows with app, user, label and hours present."""
+    return CL.drop_incomplete(CL.typed_with_features(joined_reviews(*raw(spark, sf_dir))))
+
+
+@register("range_filtered")
+def range_filtered(spark, sf_dir):
+    """F2 only: plausibility bounds on hours, price and ratio."""
+    return CL.in_plausible_range(CL.typed_with_features(joined_reviews(*raw(spark, sf_dir))))
+
+
+@register("feature_complete_keys")
+def feature_complete_keys(spark, sf_dir):
+    """keys that survive the assembler's handleInvalid='skip'."""
+    asm = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="skip")
+    return asm.transform(processed_reviews(spark, sf_dir)).select("review_id")
+
+
+# ---------------------------------------------------------------- sampling
+def _sample(spark, sf_dir, n=SAMPLE_ROWS):
+    return S.sample_fixed_size(T.reviews_raw(spark, sf_dir), n, "review_id", SAMPLE_SEED)
+
+
+@register("sample_fixed_size")
+def sample_fixed_size(spark, sf_dir):
+    """L3 + P2: a seeded uniform sample of exactly 5,000 reviews, renamed."""
+    return CL.reviews_renamed(_sample(spark, sf_dir), keep=("review_id",))
+
+
+@register("games_in_sample")
+def games_in_sample(spark, sf_dir):
+    """J3 + P4: games reviewed in the sample."""
+    return CL.games_projected(J.games_in_sample(T.games_raw(spark, sf_dir), _sample(spark, sf_dir)))
+
+
+@register("users_in_sample")
+def users_in_sample(spark, sf_dir):
+    """J4 + P4: users who reviewed in the sample."""
+    return CL.users_projected(J.users_in_sample(T.users_raw(spark, sf_dir), _sample(spark, sf_dir)))
+
+
+@register("distinct_ids")
+def distinct_ids(spark, sf_dir):
+    """A2: distinct app and user IDs of the sample."""
+    return A.distinct_ids(_sample(spark, sf_dir))
+
+
+@register("first_n_reviews")
+def first_n_reviews(spark, sf_dir):
+    """L1: the LR training rows: first 500,000 processed rows by review key."""
+    return S.first_n_by_key(processed_reviews(spark, sf_dir), LR_ROWS)
+
+
+@register("trimmed_rows")
+def trimmed_rows(spark, sf_dir):
+    """L2: a 5,000,000-line trim (header included) of the reviews file."""
+    return S.trim_rows(T.reviews_raw(spark, sf_dir), TRIM_LINES)
+
+
+# ---------------------------------------------------------------- aggregates
+@register("stage_counts")
+def stage_counts(spark, sf_dir):
+    """A1: rows per input and per prepare stage."""
+    return A.stage_counts(*raw(spark, sf_dir))
+
+
+@register("als_triples")
+def als_triples(spark, sf_dir):
+    """P3 + F3: ALS input from processed reviews."""
+    return CL.als_triples(processed_reviews(spark, sf_dir))
+
+
+@register("auc_exact")
+def auc_exact(spark, sf_dir):
+    """A3: exact AUC of extended price as a score for the 'R' return flag."""
+    li = T.table(spark, sf_dir, "lineitem").select(
+        "l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return A.exact_auc(li, "l_extendedprice", "label")
+
+
+@register("rmse")
+def rmse(spark, sf_dir):
+    """RMSE of extended price / 1000 as a prediction of quantity."""
+    li = T.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_extendedprice") / 1000.0).alias("prediction"), F.col("l_quantity").alias("label"))
+    return A.rmse(li, "prediction", "label")
+
+
+# ---------------------------------------------------------------- messages
+@register("review_messages")
+def review_messages(spark, sf_dir):
+    """K3 + P16: the JSON payload published for each review."""
+    r = T.reviews_raw(spark, sf_dir)
+    return r.select("review_id", encode_message().alias("value"))
+
+
+@register("message_decoded")
+def message_decoded(spark, sf_dir):
+    """P17 + F5 + P15: landable messages, aligned to the five fields."""
+    return landable(decode_messages(T.messages_raw(spark, sf_dir)), keep=("msg_id",))
+
+
+@register("messages_quarantined")
+def messages_quarantined(spark, sf_dir):
+    """messages that are not JSON objects, with a reason."""
+    return quarantined(decode_messages(T.messages_raw(spark, sf_dir)), keep=("msg_id",))
+
+
+# ---------------------------------------------------------------- requests
+def _requests_split(spark, sf_dir):
+    req = T.requests(spark, sf_dir)
+    ok = F.col("hours").isNotNull() & ~F.isnan("hours")
+    return req.filter(ok), req.filter(~ok | F.col("hours").isNull())
+
+
+@register("request_features")
+def request_features(spark, sf_dir):
+    """P13 + P14: serving features with defaults, for valid requests."""
+    return _request_features(_requests_split(spark, sf_dir)[0])
+
+
+@register("requests_rejected")
+def requests_rejected(spark, sf_dir):
+    """requests without hours, with the reason."""
+    return _requests_split(spark, sf_dir)[1].select(
+        "request_id", F.lit("missing 'hours' in features").alias("reason"))

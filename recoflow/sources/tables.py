@@ -122,3 +122,62 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").try_cast("int").alias("item"),
         F.col("l_quantity").alias("rating"),
     )
+
+
+def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review messages as JSON text (the topic payload), from the reviews.
+
+    ``msg_id`` is the message position (the review's event id). Edge messages
+    replace the payload at fixed positions: broken JSON, an array, ``{}``,
+    JSON ``null``, a bare number, and an object with a numeric value and an
+    unknown key.
+    """
+    from ..functions.json_codec import encode_message
+
+    reviews = reviews_raw(spark, sf_dir)
+    mid = F.col("review_id").cast("bigint")
+    value = (
+        F.when(mid % 1009 == 1, F.lit("{bad"))
+        .when(mid % 1013 == 2, F.lit("[1,2]"))
+        .when(mid % 1019 == 3, F.lit("{}"))
+        .when(mid % 1021 == 4, F.lit("null"))
+        .when(mid % 1031 == 5, F.lit("3"))
+        .when(mid % 1033 == 6, F.concat(F.lit('{"app_id": 12, "user_id": "'),
+                                        F.col("user_id"), F.lit('", "extra": "x"}')))
+        .otherwise(encode_message())
+    )
+    return reviews.select(mid.alias("msg_id"), value.alias("value"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests: one per review of a known game, features as doubles.
+
+    ``hours`` is missing for ids ending in 0, ``price`` for 1, the ratio for 2.
+    """
+    reviews = reviews_raw(spark, sf_dir)
+    games = games_raw(spark, sf_dir)
+    rid = F.col("review_id").cast("bigint")
+
+    def unless(digit: int, c: Column) -> Column:
+        return F.when(rid % 10 == digit, F.lit(None).cast("double")).otherwise(c.try_cast("double"))
+
+    return reviews.join(games, "app_id", "inner").select(
+        F.col("review_id").alias("request_id"),
+        unless(0, F.col("hours")).alias("hours"),
+        unless(1, F.col("price_original")).alias("price"),
+        unless(2, F.col("positive_ratio")).alias("positive_ratio"),
+        F.col("user_reviews").try_cast("double").alias("user_reviews"),
+    )
+
+
+def labelled(processed: DataFrame) -> DataFrame:
+    """Model-test rows: processed reviews with a planted label.
+
+    label = ``hours_numeric > 40``, flipped when ``event_id * 7919 % 10 = 0``
+    (10 % noise). The driver tables carry no signal of their own.
+    """
+    eid = F.col("review_id").cast("bigint")
+    signal = F.col("hours_numeric") > 40
+    flip = (eid * 7919 % 10) == 0
+    label = F.when(flip, ~signal).otherwise(signal).cast("double")
+    return processed.withColumn("is_recommended_label", label)
