@@ -348,3 +348,13 @@ FROM (
 SQL["requests_rejected"] = with_ctes(REVIEWS_RAW, GAMES_RAW, REQUESTS, body="""
 SELECT request_id, 'missing ''hours'' in features' AS reason
 FROM req WHERE hours IS NULL OR isnan(hours)""")
+
+SQL["ingest_stream"] = with_ctes(REVIEWS_RAW, MESSAGES, body=r"""
+SELECT md5(value) AS msg_key,
+       json_extract_string(value, '$.app_id') AS app_id,
+       json_extract_string(value, '$.user_id') AS user_id,
+       json_extract_string(value, '$.is_recommended') AS is_recommended,
+       json_extract_string(value, '$.hours') AS hours,
+       json_extract_string(value, '$.date') AS date
+FROM routed
+WHERE jtype = 'OBJECT' AND NOT regexp_matches(trim(value), '^\{\s*\}$')""")

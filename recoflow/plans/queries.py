@@ -287,3 +287,77 @@ def requests_rejected(spark, sf_dir):
     """requests without hours, with the reason."""
     return _requests_split(spark, sf_dir)[1].select(
         "request_id", F.lit("missing 'hours' in features").alias("reason"))
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+from ..operators import scoring as SC  # noqa: E402
+from ..operators import training as TR  # noqa: E402
+
+
+def _labelled(spark, sf_dir):
+    return T.labelled(processed_reviews(spark, sf_dir))
+
+
+@register("lr_scores")
+def lr_scores(spark, sf_dir):
+    """M1 + M7 + M4 + P19: LR on the first 500k labelled rows, scoring every valid request."""
+    model = TR.train_lr(_labelled(spark, sf_dir)).model
+    return SC.score_requests(model, request_features(spark, sf_dir))
+
+
+@register("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    """M2 + M7 + M4 + P19: GBT on the first 750k labelled rows, scoring every valid request."""
+    model = TR.train_gbt(_labelled(spark, sf_dir)).model
+    return SC.score_requests(model, request_features(spark, sf_dir))
+
+
+@register("train_metrics")
+def train_metrics(spark, sf_dir):
+    """A3 + A5: exact train / hold-out AUC and the > 0.70 gate for LR and GBT."""
+    rows = []
+    for res in (TR.train_lr(_labelled(spark, sf_dir), holdout=0.2),
+                TR.train_gbt(_labelled(spark, sf_dir), holdout=0.2)):
+        rows.append((res.name, res.rows, res.train_auc, res.test_auc, res.passed))
+    return spark.createDataFrame(
+        rows, "model string, train_rows long, train_auc double, test_auc double, passed boolean")
+
+
+@register("als_review_recommendations")
+def als_review_recommendations(spark, sf_dir):
+    """M3 + L5 + P20: ALS on (user, app, hours) of processed reviews; top 10 per user."""
+    model = TR.train_als_from_processed(processed_reviews(spark, sf_dir)).model
+    return SC.recommend_all(model)
+
+
+@register("als_recommendations")
+def als_recommendations(spark, sf_dir):
+    """M3 + L5 + P20 at scale: ALS on orders x lineitem interactions; top 10 per user."""
+    model = TR.train_als(T.interactions(spark, sf_dir)).model
+    return SC.recommend_all(model)
+
+
+@register("recommend_requests")
+def recommend_requests(spark, sf_dir):
+    """M5 + F7: top 10 for every customer; customers without orders are flagged unknown."""
+    model = TR.train_als(T.interactions(spark, sf_dir)).model
+    users = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user"))
+    return SC.recommend_for(model, users)
+
+
+# ---------------------------------------------------------------- streaming
+from ..schemas import MESSAGE_COLUMNS  # noqa: E402
+from ..streaming import ingest as IN  # noqa: E402
+
+
+@register("ingest_stream")
+def ingest_stream(spark, sf_dir):
+    """T1 + T3 + K4: the review messages written as JSON-lines files, landed by
+    a checkpointed stream (availableNow), read back from the landed batches."""
+    base = IN.scratch_dir(spark, "ingest")
+    T.messages_raw(spark, sf_dir).select("value").write.text(f"{base}/in")
+    query = IN.start_ingest(IN.read_json_lines(spark, f"{base}/in", files_per_trigger=4),
+                            f"{base}/landed", f"{base}/quarantine", f"{base}/checkpoint",
+                            trigger={"availableNow": True})
+    query.awaitTermination()
+    return IN.read_landed(spark, f"{base}/landed").select("msg_key", *MESSAGE_COLUMNS)
