@@ -26,34 +26,44 @@ def encode_message(*cols: str) -> Column:
 
 
 def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse ``value`` into the five fields plus routing columns.
+    """Parse ``value`` once into a one-element ``_routed`` array of
+    ``struct(m, reason, empty)``.
 
-    Adds ``_msg`` (struct) and ``_reason``: NULL for a landable message,
-    otherwise why it is quarantined. ``_empty`` marks ``{}``, which the
+    ``m`` holds the five fields, ``reason`` is NULL for a landable message and
+    otherwise says why it is quarantined, ``empty`` marks ``{}``, which the
     reference drops silently (an empty dict is falsy) rather than quarantines.
+
+    The outputs are taken with ``explode(filter(_routed, ...))`` (0 or 1 rows
+    per message) instead of a ``Filter``: Catalyst would push a filter on the
+    parsed struct below the projection and inline ``from_json`` into it, parsing
+    each message again for every branch.
     """
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    parsed = df.withColumn("_msg", F.from_json(F.col(value_col), MESSAGE_PARSE_SCHEMA, opts))
-    text = F.trim(F.col(value_col))
-    bad = F.col("_msg").isNull() | F.col(f"_msg.{CORRUPT_COLUMN}").isNotNull()
-    reason = (
-        F.when(~bad, F.lit(None).cast("string"))
-        .when(F.try_parse_json(F.col(value_col)).isNull(), F.lit(REASON_MALFORMED))
-        .otherwise(F.lit(REASON_NOT_OBJECT))
-    )
-    return parsed.withColumns({
-        "_reason": reason,
-        "_empty": (~bad) & text.rlike(r"^\{\s*\}$"),
-    })
+    value = F.col(value_col)
+    rec = F.struct(F.from_json(value, MESSAGE_PARSE_SCHEMA, opts).alias("m"), value.alias("v"))
+
+    def route(r: Column) -> Column:
+        bad = r["m"].isNull() | r["m"][CORRUPT_COLUMN].isNotNull()
+        reason = (
+            F.when(~bad, F.lit(None).cast("string"))
+            .when(F.try_parse_json(r["v"]).isNull(), F.lit(REASON_MALFORMED))
+            .otherwise(F.lit(REASON_NOT_OBJECT))
+        )
+        empty = (~bad) & F.trim(r["v"]).rlike(r"^\{\s*\}$")
+        return F.struct(r["m"].alias("m"), reason.alias("reason"), empty.alias("empty"))
+
+    return df.withColumn("_routed", F.transform(F.array(rec), route))
 
 
 def landable(decoded: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """F5 + P15: good messages aligned to the fixed column list and order."""
-    good = decoded.filter(F.col("_reason").isNull() & ~F.col("_empty"))
-    return good.select(*keep, *[F.col(f"_msg.{c}").alias(c) for c in MESSAGE_COLUMNS])
+    good = F.filter("_routed", lambda r: r["reason"].isNull() & ~r["empty"])
+    return decoded.select(*keep, F.explode(good).alias("_r")).select(
+        *keep, *[F.col(f"_r.m.{c}").alias(c) for c in MESSAGE_COLUMNS])
 
 
 def quarantined(decoded: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """messages that are not JSON objects, with the raw text and the reason."""
-    return decoded.filter(F.col("_reason").isNotNull()).select(
-        *keep, F.col(value_col).alias("value"), F.col("_reason").alias("reason"))
+    bad = F.filter("_routed", lambda r: r["reason"].isNotNull())
+    return decoded.select(*keep, F.col(value_col).alias("value"), F.explode(bad).alias("_r")).select(
+        *keep, "value", F.col("_r.reason").alias("reason"))

@@ -20,17 +20,18 @@ _RANK = "_rank_value"
 
 
 def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
-                  surplus_limit: int = SURPLUS_LIMIT) -> DataFrame:
+                  surplus_limit: int = SURPLUS_LIMIT, total: int | None = None) -> DataFrame:
     """Exactly the first ``n`` rows of ``df`` under ``order``.
 
     ``rank`` is a numeric, non-NULL column that is monotone with ``order``'s
     first term (ties broken by the rest of ``order``). Result equals
-    ``df.orderBy(*order).limit(n)``.
+    ``df.orderBy(*order).limit(n)``. ``total`` is the row count if the caller
+    already has it.
     """
     if n <= 0:
         return df.limit(0)
     ranked = df.withColumn(_RANK, rank)
-    cand, count = ranked, ranked.count()
+    cand, count = ranked, (ranked.count() if total is None else total)
     if count <= n:
         return df
     while count - n > surplus_limit:
@@ -56,9 +57,13 @@ def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
     """
     num = F.col(key).try_cast("bigint")
     order = [num.asc_nulls_last(), F.col(key).asc_nulls_last()]
-    if df.filter(num.isNull()).limit(1).count():
+    # One pass gives both the size and whether every key is numeric.
+    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(num.isNull()).alias("nulls")).first()
+    if stats["rows"] <= n:
+        return df
+    if stats["nulls"]:
         return df.orderBy(*order).limit(n)
-    return exact_first_n(df, n, order, num)
+    return exact_first_n(df, n, order, num, total=stats["rows"])
 
 
 def trim_rows(df: DataFrame, n_lines: int, key: str = "review_id") -> DataFrame:

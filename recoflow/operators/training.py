@@ -113,8 +113,13 @@ def _auc(model: PipelineModel, rows: DataFrame, label: str) -> float:
 
 
 def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows: int,
-                     label: str = LABEL_COLUMN, holdout: float = 0.0) -> TrainResult:
-    """M1/M2: first ``n_rows`` by key -> (hold-out split) -> fit -> exact AUC."""
+                     label: str = LABEL_COLUMN, holdout: float = 0.0,
+                     evaluate: bool = True) -> TrainResult:
+    """M1/M2: first ``n_rows`` by key -> (hold-out split) -> fit -> exact AUC.
+
+    ``evaluate=False`` skips the AUC passes (a scoring run that only needs the
+    model).
+    """
     rows = first_n_by_key(processed, n_rows)
     if not has_min_rows(rows):
         raise NotEnoughData(f"not enough data for {name}")
@@ -126,21 +131,27 @@ def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows
         else:
             test, train = None, rows
         model = pipeline.fit(train)
-        result = TrainResult(name, model, train.count(), _auc(model, train, label))
-        if test is not None and has_min_rows(test, 1):
-            result.test_auc = _auc(model, test, label)
-        log.info("%s trained on %d rows, train AUC %.4f", name, result.rows, result.train_auc)
+        result = TrainResult(name, model, train.count())
+        if evaluate:
+            result.train_auc = _auc(model, train, label)
+            if test is not None and has_min_rows(test, 1):
+                result.test_auc = _auc(model, test, label)
+            log.info("%s trained on %d rows, train AUC %.4f", name, result.rows, result.train_auc)
         return result
     finally:
         rows.unpersist()
 
 
-def train_lr(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0) -> TrainResult:
-    return train_classifier(processed, LR_NAME, lr_pipeline(label), LR_ROWS, label, holdout)
+def train_lr(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0,
+             evaluate: bool = True) -> TrainResult:
+    return train_classifier(processed, LR_NAME, lr_pipeline(label), LR_ROWS, label, holdout,
+                            evaluate)
 
 
-def train_gbt(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0) -> TrainResult:
-    return train_classifier(processed, GBT_NAME, gbt_pipeline(label), GBT_ROWS, label, holdout)
+def train_gbt(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0,
+              evaluate: bool = True) -> TrainResult:
+    return train_classifier(processed, GBT_NAME, gbt_pipeline(label), GBT_ROWS, label, holdout,
+                            evaluate)
 
 
 def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:
