@@ -62,6 +62,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     args = _parser().parse_args(argv)
+    from pyspark.sql import SparkSession
+    owned = SparkSession.getActiveSession() is None  # stop only a session we start
     spark = jobs.session_for_jobs(f"recoflow-{args.cmd}")
     try:
         if args.cmd in ("prepare", "preprocess"):
@@ -99,7 +101,8 @@ def main(argv: list[str] | None = None) -> int:
             jobs.recommend(args.model, spark.read.parquet(args.users), args.out)
         return 0
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
 
 
 if __name__ == "__main__":

@@ -361,3 +361,11 @@ def ingest_stream(spark, sf_dir):
                             trigger={"availableNow": True})
     query.awaitTermination()
     return IN.read_landed(spark, f"{base}/landed").select("msg_key", *MESSAGE_COLUMNS)
+
+
+@register("als_train_rmse")
+def als_train_rmse(spark, sf_dir):
+    """A6 on the model: RMSE of ALS (reviews) predictions on its training triples."""
+    triples = CL.als_triples(processed_reviews(spark, sf_dir))
+    model = TR.train_als(triples).model
+    return A.rmse(model.transform(triples), "prediction", "rating")
