@@ -2,10 +2,12 @@
 
 ``orderBy(k).limit(n)`` plans as TakeOrderedAndProject: every partition sends
 its own top n rows to ONE task. With 10^5 partitions and n = 5M that single
-task would receive up to 5*10^11 rows. :func:`exact_first_n` first narrows the
-input to a candidate set barely larger than n with distributed passes
-(``approxQuantile`` for a cut value + ``count``), so the final top-n merge only
-sees about n rows. Only scalars (counts, one cut value) reach the driver.
+task would receive up to 5*10^11 rows. :func:`exact_first_n` instead brackets
+the n-th row between two ``approxQuantile`` cut values (one distributed pass)
+and counts both sides (one more pass): every row below the lower cut is in the
+result by a plain filter, so the output stays distributed, and only the thin
+band between the cuts (at most ``BOUNDARY_LIMIT`` rows) is ranked exactly.
+Only scalars (counts and cut values) reach the driver.
 """
 
 from __future__ import annotations
@@ -13,40 +15,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Narrow until at most this many surplus candidates remain before the merge.
-SURPLUS_LIMIT = 1_000_000
+# Rows between the two cuts that may go to the final exact top-k merge.
+BOUNDARY_LIMIT = 1_000_000
 QUANTILE_REL_ERR = 1e-4
 _RANK = "_rank_value"
 
 
 def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
-                  surplus_limit: int = SURPLUS_LIMIT, total: int | None = None) -> DataFrame:
-    """Exactly the first ``n`` rows of ``df`` under ``order``.
+                  boundary_limit: int = BOUNDARY_LIMIT, total: int | None = None) -> DataFrame:
+    """Exactly the rows of ``df.orderBy(*order).limit(n)`` (as a set, unordered
+    when the input is large).
 
     ``rank`` is a numeric, non-NULL column that is monotone with ``order``'s
-    first term (ties broken by the rest of ``order``). Result equals
-    ``df.orderBy(*order).limit(n)``. ``total`` is the row count if the caller
-    already has it.
+    first term (ties broken by the rest of ``order``). ``total`` is the row
+    count if the caller already has it.
+
+    GK guarantee of ``approxQuantile`` (rank error at most ``err * count``):
+    the lower cut has fewer than n rows below it and the upper cut at least n
+    rows at or below it; the counts re-check both before a cut is used.
+    Heavy ties on ``rank`` stop the narrowing and leave a wider band.
     """
     if n <= 0:
         return df.limit(0)
     ranked = df.withColumn(_RANK, rank)
-    cand, count = ranked, (ranked.count() if total is None else total)
+    count = ranked.count() if total is None else total
     if count <= n:
         return df
-    while count - n > surplus_limit:
-        q = min(1.0, (n + 1) / count + 2 * QUANTILE_REL_ERR)
-        cut = cand.approxQuantile(_RANK, [q], QUANTILE_REL_ERR)[0]
-        # GK guarantee: rank(cut) >= floor((q - err) * count) > n, so the filter
-        # keeps every row of the first n; the count below re-checks it.
-        narrowed = cand.filter(F.col(_RANK) <= F.lit(cut))
-        new_count = narrowed.count()
-        if new_count >= count:  # heavy ties on the rank value: cannot narrow
-            break
-        if new_count < n:  # never trust a cut that would lose rows
+    r = F.col(_RANK)
+    band, need, size, low = ranked, n, count, None
+    while size > boundary_limit:
+        p_lo = max(0.0, need / size - 2 * QUANTILE_REL_ERR)
+        p_hi = min(1.0, (need + 1) / size + 2 * QUANTILE_REL_ERR)
+        cut_lo, cut_hi = band.approxQuantile(_RANK, [p_lo, p_hi], QUANTILE_REL_ERR)
+        below = band.agg(F.count_if(r < F.lit(cut_lo)).alias("a"),
+                         F.count_if(r <= F.lit(cut_hi)).alias("b")).first()
+        a, b = below["a"], below["b"]
+        if not (a <= need <= b) or b - a >= size:  # guarantee broken or no progress
             break
-        cand, count = narrowed, new_count
-    return cand.orderBy(*order).limit(n).drop(_RANK)
+        band = band.filter((r >= F.lit(cut_lo)) & (r <= F.lit(cut_hi)))
+        need, size, low = need - a, b - a, cut_lo
+    if low is None:
+        return ranked.orderBy(*order).limit(n).drop(_RANK)
+    head = ranked.filter(r < F.lit(low))
+    return head.unionByName(band.orderBy(*order).limit(need)).drop(_RANK)
 
 
 def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:

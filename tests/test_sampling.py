@@ -16,7 +16,7 @@ def test_exact_first_n_narrowing_equals_brute_force(spark):
     reviews = T.reviews_raw(spark, SF_MID)
     num = F.col("review_id").cast("bigint")
     brute = _keys(reviews.orderBy(num, "review_id").limit(1234))
-    fast = S.exact_first_n(reviews, 1234, [num, F.col("review_id")], num, surplus_limit=10)
+    fast = S.exact_first_n(reviews, 1234, [num, F.col("review_id")], num, boundary_limit=10)
     assert sorted(_keys(fast), key=int) == brute
 
 
@@ -24,12 +24,12 @@ def test_sample_equals_brute_force_and_is_exact(spark):
     reviews = T.reviews_raw(spark, SF_MID)
     h = F.md5(F.concat(F.lit("42:"), F.col("review_id")))
     brute = set(_keys(reviews.orderBy(h, "review_id").limit(777)))
-    old = S.SURPLUS_LIMIT
+    old = S.BOUNDARY_LIMIT
     fast = S.exact_first_n(
         reviews, 777, [h, F.col("review_id")],
-        F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"), surplus_limit=5)
+        F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"), boundary_limit=5)
     assert set(_keys(fast)) == brute and len(brute) == 777
-    assert S.SURPLUS_LIMIT == old
+    assert S.BOUNDARY_LIMIT == old
 
 
 def test_sample_larger_than_table_returns_all(spark):
@@ -53,3 +53,15 @@ def test_trim(spark):
     assert _keys(S.trim_rows(reviews, 4)) == ["0", "1", "2"]
     with pytest.raises(ValueError):
         S.trim_rows(reviews, 0)
+
+
+def test_large_n_band_path_equals_brute_force(spark):
+    """n = half of 100k rows; the band path must return exactly the brute-force set."""
+    reviews = T.reviews_raw(spark, "/root/testdata/sf0.1")
+    h = F.md5(F.concat(F.lit("7:"), F.col("review_id")))
+    rank = F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint")
+    brute = set(_keys(reviews.orderBy(h, "review_id").limit(50_000)))
+    fast = S.exact_first_n(reviews, 50_000, [h, F.col("review_id")], rank, boundary_limit=1000)
+    got = _keys(fast)
+    assert len(got) == 50_000 and set(got) == brute
+    assert "Union" in fast._jdf.queryExecution().optimizedPlan().toString()
