@@ -66,11 +66,10 @@ def recommend_for(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFram
     """
     wanted = users.select(F.col("user").cast("int").alias("user")).distinct()
     recs = recommend_from(model, wanted, n)
-    known = model.userFactors.select(F.col("id").alias("user"), F.lit(True).alias("known"))
-    return (wanted.join(known, "user", "left")
-            .withColumn("known", F.coalesce("known", F.lit(False)))
-            .join(recs, "user", "left")
-            .select("user", "known", "rank", "app_id", "score"))
+    # A user with factors always gets items, so "known" needs no second join
+    # against the model's (large) user factor table.
+    return (wanted.join(recs, "user", "left")
+            .select("user", F.col("rank").isNotNull().alias("known"), "rank", "app_id", "score"))
 
 
 def recommend_from(model: ALSModel, users: DataFrame, n: int) -> DataFrame:

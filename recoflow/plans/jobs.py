@@ -139,5 +139,5 @@ def recommend(model_path: str, users: DataFrame, out_path: str, n: int = SC.TOP_
 
 
 def session_for_jobs(app: str) -> SparkSession:
-    from ..session import build_session
-    return build_session(app_name=app)
+    from ..session import build_cluster_session
+    return build_cluster_session(app)

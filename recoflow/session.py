@@ -61,6 +61,29 @@ def build_session(
     return spark
 
 
+# Cluster jobs: start shuffles wide enough for ~100 TB inputs (128 MB x 8192 ~ 1 TB
+# per shuffle at the advisory size, more with larger partitions) and let AQE
+# coalesce them to the measured size; spark-submit settings win.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
+def build_cluster_session(app_name: str) -> SparkSession:
+    """Session for ``spark-submit`` jobs: scale settings plus wide initial
+    shuffles, unless the submitter already set them."""
+    from pyspark import SparkConf
+
+    active = SparkSession.getActiveSession()
+    if active is not None:  # embedded use (tests, notebooks): keep its settings
+        return active
+    submitted = SparkConf()
+    extra = {k: v for k, v in CLUSTER_CONF.items() if not submitted.contains(k)}
+    return build_session(app_name=app_name, extra_conf=extra)
+
+
 def apply_scale_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable scale settings to an existing session."""
     for key, value in SCALE_CONF.items():
