@@ -358,3 +358,25 @@ SELECT md5(value) AS msg_key,
        json_extract_string(value, '$.date') AS date
 FROM routed
 WHERE jtype = 'OBJECT' AND NOT regexp_matches(trim(value), '^\{\s*\}$')""")
+
+
+SQL["join_users_semi"] = with_ctes(REVIEWS_RAW, USERS_RAW, body="""
+SELECT * FROM reviews_raw WHERE user_id IN (SELECT user_id FROM users_raw)""")
+
+_MESSAGE_SOURCE = REVIEWS_RAW.replace("reviews_raw AS (", "review_src AS (", 1)
+_MESSAGES_FROM_SRC = MESSAGES.replace("FROM reviews_raw", "FROM review_src")
+_REVIEWS_FROM_MESSAGES = r"""
+reviews_raw AS (
+  SELECT json_extract_string(value, '$.app_id') AS app_id,
+         NULL::VARCHAR AS helpful, NULL::VARCHAR AS funny,
+         json_extract_string(value, '$.date') AS date,
+         json_extract_string(value, '$.is_recommended') AS is_recommended,
+         json_extract_string(value, '$.hours') AS hours,
+         json_extract_string(value, '$.user_id') AS user_id,
+         CAST(msg_id AS VARCHAR) AS review_id
+  FROM routed
+  WHERE jtype = 'OBJECT' AND NOT regexp_matches(trim(value), '^\{\s*\}$')
+)"""
+SQL["processed_from_messages"] = with_ctes(
+    _MESSAGE_SOURCE, _MESSAGES_FROM_SRC, _REVIEWS_FROM_MESSAGES, GAMES_RAW, USERS_RAW, TYPED,
+    body="SELECT * FROM processed")

@@ -369,3 +369,18 @@ def als_train_rmse(spark, sf_dir):
     triples = CL.als_triples(processed_reviews(spark, sf_dir))
     model = TR.train_als(triples).model
     return A.rmse(model.transform(triples), "prediction", "rating")
+
+
+@register("join_users_semi")
+def join_users_semi(spark, sf_dir):
+    """J1 with the user key declared unique: a semi join (no repeats, no user columns)."""
+    return J.join_users(T.reviews_raw(spark, sf_dir), T.users_raw(spark, sf_dir), users_unique=True)
+
+
+@register("processed_from_messages")
+def processed_from_messages(spark, sf_dir):
+    """The two data paths joined: landable review messages go through the same
+    casts, joins and filters as the CSV path (the message position is the key)."""
+    landed = landable(decode_messages(T.messages_raw(spark, sf_dir)), keep=("msg_id",))
+    reviews = IN.reviews_from_landed(landed.withColumn("msg_key", F.col("msg_id").cast("string")))
+    return _processed(reviews, T.users_raw(spark, sf_dir), T.games_raw(spark, sf_dir))

@@ -53,7 +53,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("app_id"),
         _null().alias("helpful"),
         _null().alias("funny"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.col("ts").cast("date").cast("string").alias("date"),  # yyyy-MM-dd, no time zone
         is_recommended.alias("is_recommended"),
         hours.alias("hours"),
         user_id.alias("user_id"),
