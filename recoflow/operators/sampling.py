@@ -60,8 +60,9 @@ def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
     return head.unionByName(band.orderBy(*order).limit(need)).drop(_RANK)
 
 
-def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
-    """L1: the first ``n`` rows by the stable (numeric-text) review key.
+def first_n_with_count(df: DataFrame, n: int, key: str = "review_id") -> tuple[DataFrame, int]:
+    """L1: the first ``n`` rows by the stable (numeric-text) review key, and how
+    many rows that is.
 
     Replaces the reference's partition-dependent ``monotonically_increasing_id``
     order: the same rows come back for any partitioning.
@@ -71,10 +72,15 @@ def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
     # One pass gives both the size and whether every key is numeric.
     stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(num.isNull()).alias("nulls")).first()
     if stats["rows"] <= n:
-        return df
+        return df, stats["rows"]
     if stats["nulls"]:
-        return df.orderBy(*order).limit(n)
-    return exact_first_n(df, n, order, num, total=stats["rows"])
+        return df.orderBy(*order).limit(n), n
+    return exact_first_n(df, n, order, num, total=stats["rows"]), n
+
+
+def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
+    """L1 (see :func:`first_n_with_count`)."""
+    return first_n_with_count(df, n, key)[0]
 
 
 def trim_rows(df: DataFrame, n_lines: int, key: str = "review_id") -> DataFrame:

@@ -29,7 +29,7 @@ from ..schemas import FEATURE_COLUMNS, KEY_COLUMN, LABEL_COLUMN
 from ..session import checkpoint_dir
 from .aggregates import exact_auc
 from .clean import als_triples
-from .sampling import first_n_by_key
+from .sampling import first_n_with_count
 
 log = logging.getLogger(__name__)
 
@@ -42,6 +42,8 @@ ALS_MAX_ITER, ALS_REG_PARAM = 5, 0.01
 MIN_TRAINING_ROWS = 100
 AUC_TARGET = 0.70
 SEED = 42
+# Rows per partition of a (small, capped) classifier training set.
+TRAIN_ROWS_PER_PARTITION = 50_000
 
 
 class NotEnoughData(Exception):
@@ -120,10 +122,16 @@ def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows
     ``evaluate=False`` skips the AUC passes (a scoring run that only needs the
     model).
     """
-    rows = first_n_by_key(processed, n_rows)
-    if not has_min_rows(rows):
+    rows, count = first_n_with_count(processed, n_rows)
+    if count < MIN_TRAINING_ROWS:
         raise NotEnoughData(f"not enough data for {name}")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # The capped training set is small, but at scale it comes out of a filter
+    # over the whole input, spread thinly over every input partition. Gather it
+    # into a few partitions (a shuffle of at most n_rows rows; the scan keeps
+    # its parallelism) so each fit iteration schedules a few tasks, not 10^5.
+    sc = processed.sparkSession.sparkContext
+    parts = max(1, min(sc.defaultParallelism, -(-count // TRAIN_ROWS_PER_PARTITION)))
+    rows = rows.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if holdout > 0:
             test = rows.filter(holdout_flag(fraction=holdout))
@@ -159,10 +167,14 @@ def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:
 
     ALS iterates; its lineage is cut every 2 iterations in the shared
     checkpoint folder, so a lost executor does not replay every iteration.
+    User and item blocks scale with the cluster (MLlib's default is 10 blocks,
+    which would put a 100 TB rating table into 10 tasks per iteration).
     """
-    checkpoint_dir(triples.sparkSession)
+    spark = triples.sparkSession
+    checkpoint_dir(spark)
     if not has_min_rows(triples):
         raise NotEnoughData(f"not enough data for {ALS_NAME}")
+    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
     model = als_estimator(blocks=blocks).fit(triples)
     return TrainResult(ALS_NAME, model, -1)
 
