@@ -158,6 +158,34 @@ def publish(reviews: DataFrame) -> DataFrame:
     return reviews.select(encode_message(*MESSAGE_COLUMNS).alias("value"))
 
 
+def read_reviews_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """S9 as a stream: review CSV files arriving in a folder, all values as text."""
+    from ..schemas import REVIEWS_SCHEMA
+
+    reader = (spark.readStream.schema(REVIEWS_SCHEMA).option("header", "true")
+              .option("escape", '"'))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    return reader.csv(path)
+
+
+def start_publish(reviews: DataFrame, checkpoint: str, bootstrap_servers: str | None = None,
+                  path: str | None = None, topic: str = TOPIC,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """T4: publish every review as a JSON message.
+
+    To a topic with ``bootstrap_servers`` (Kafka sink, acks=all), or as
+    JSON-lines files under ``path`` (the file-source ingest reads those).
+    The checkpoint makes the publisher resume where it stopped.
+    """
+    writer = publish(reviews).writeStream.option("checkpointLocation", checkpoint)
+    if bootstrap_servers:
+        writer = writer.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic))
+    else:
+        writer = writer.format("text").option("path", path)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

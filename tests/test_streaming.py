@@ -38,3 +38,23 @@ def test_kafka_options():
     assert opts["maxTriggerDelay"] == "5m"
     sink = IN.kafka_sink_options("broker:9093")
     assert sink["kafka.acks"] == "all" and sink["kafka.retries"] == "3"
+
+
+def test_publish_csv_stream_then_ingest(spark, tmp):
+    """T4 then T1: review CSV files -> JSON messages -> landed batches."""
+    from recoflow.sinks.files import write_csv
+    from recoflow.plans.queries import review_messages
+
+    csv_dir = os.path.join(tmp, "csv")
+    write_csv(T.reviews_raw(spark, SF_SMALL).repartition(3), csv_dir)
+    out = os.path.join(tmp, "messages")
+    q = IN.start_publish(IN.read_reviews_stream(spark, csv_dir, files_per_trigger=1),
+                         os.path.join(tmp, "pub_ckpt"), path=out)
+    q.awaitTermination()
+    sent = spark.read.text(out)
+    expected = review_messages(spark, SF_SMALL).select("value")
+    assert sent.count() == expected.count()
+    assert sent.exceptAll(expected).count() == 0
+    _run(spark, out, os.path.join(tmp, "ingest"))
+    landed = IN.read_landed(spark, os.path.join(tmp, "ingest", "landed"))
+    assert landed.count() == expected.count()
