@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import with_features
 from ..operators.clean import REQUIRED_COLUMNS, with_typed_columns
+from ..session import checkpoint_dir
 
 
 def distinct_ids(sample: DataFrame) -> DataFrame:
@@ -80,12 +81,20 @@ def exact_auc(df: DataFrame, score: str, label: str, target_rows_per_bucket: int
     3. running sums of negatives inside each bucket (window partitioned by
        bucket) plus the bucket's offset (prefix sum over the small per-bucket
        table, broadcast: its size is bounded by the bucket count).
+
+    The per-score table is checkpointed (reliable, in ``spark.checkpoint.dir``)
+    because three passes read it.
     """
     valid = df.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
     per_score = valid.groupBy(score).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("bigint").alias("neg"),
     )
+    # Three passes read the per-score table (size, split points, prefix sums):
+    # materialise it once in the shared checkpoint folder instead of
+    # re-aggregating the input for each.
+    checkpoint_dir(df.sparkSession)
+    per_score = per_score.checkpoint(eager=True)
     distinct = per_score.count()
     n_buckets = max(1, min(100_000, math.ceil(distinct / target_rows_per_bucket)))
     if n_buckets > 1:

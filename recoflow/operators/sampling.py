@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 # Rows between the two cuts that may go to the final exact top-k merge.
 BOUNDARY_LIMIT = 1_000_000
 QUANTILE_REL_ERR = 1e-4
@@ -54,6 +56,12 @@ def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
             break
         band = band.filter((r >= F.lit(cut_lo)) & (r <= F.lit(cut_hi)))
         need, size, low = need - a, b - a, cut_lo
+        if size > boundary_limit:
+            # Another level will read the band twice more: materialise it once
+            # (reliable checkpoint in the shared folder) instead of re-scanning
+            # the whole input for each pass.
+            checkpoint_dir(df.sparkSession)
+            band = band.checkpoint(eager=True)
     if low is None:
         return ranked.orderBy(*order).limit(n).drop(_RANK)
     head = ranked.filter(r < F.lit(low))
