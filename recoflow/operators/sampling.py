@@ -68,22 +68,34 @@ def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
     return head.unionByName(band.orderBy(*order).limit(need)).drop(_RANK)
 
 
+def key_rank(key: Column) -> Column:
+    """A double that never decreases along ``ORDER BY try_cast(key AS BIGINT)
+    NULLS LAST, key NULLS LAST``: numeric keys by value, then other keys by
+    their first 7 bytes (zero-padded, so byte order is kept), then NULL keys.
+    Keys that share a rank are ordered by the full sort, so ties only widen
+    the exact band.
+    """
+    num = key.try_cast("bigint")
+    prefix = F.conv(F.rpad(F.hex(F.substring(key.cast("binary"), 1, 7)), 14, "0"), 16, 10)
+    return (F.when(num.isNotNull(), num.cast("double"))
+            .when(key.isNotNull(), F.lit(1e19) + prefix.cast("double"))
+            .otherwise(F.lit(2e19)))
+
+
 def first_n_with_count(df: DataFrame, n: int, key: str = "review_id") -> tuple[DataFrame, int]:
-    """L1: the first ``n`` rows by the stable (numeric-text) review key, and how
-    many rows that is.
+    """L1: the first ``n`` rows by the stable review key, and how many rows
+    that is.
 
     Replaces the reference's partition-dependent ``monotonically_increasing_id``
-    order: the same rows come back for any partitioning.
+    order: the same rows come back for any partitioning. Numeric keys sort by
+    value, other keys (message hashes, positions) by text after them.
     """
-    num = F.col(key).try_cast("bigint")
-    order = [num.asc_nulls_last(), F.col(key).asc_nulls_last()]
-    # One pass gives both the size and whether every key is numeric.
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(num.isNull()).alias("nulls")).first()
-    if stats["rows"] <= n:
-        return df, stats["rows"]
-    if stats["nulls"]:
-        return df.orderBy(*order).limit(n), n
-    return exact_first_n(df, n, order, num, total=stats["rows"]), n
+    k = F.col(key)
+    order = [k.try_cast("bigint").asc_nulls_last(), k.asc_nulls_last()]
+    total = df.count()
+    if total <= n:
+        return df, total
+    return exact_first_n(df, n, order, key_rank(k), total=total), n
 
 
 def first_n_by_key(df: DataFrame, n: int, key: str = "review_id") -> DataFrame:
