@@ -67,8 +67,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = jobs.session_for_jobs(f"recoflow-{args.cmd}")
     try:
         if args.cmd in ("prepare", "preprocess"):
-            users = files.read_users_csv(spark, args.users)
-            games = files.read_games_csv(spark, args.games)
+            from ..schemas import GAMES_SCHEMA, USERS_SCHEMA
+            if args.cmd == "preprocess":  # S7: a missing dimension file -> empty table
+                users = files.read_or_empty(spark, args.users, USERS_SCHEMA)
+                games = files.read_or_empty(spark, args.games, GAMES_SCHEMA)
+            else:
+                users = files.read_users_csv(spark, args.users)
+                games = files.read_games_csv(spark, args.games)
             if args.landed:
                 reviews = ingest.reviews_from_landed(ingest.read_landed(spark, args.reviews))
             else:

@@ -78,3 +78,32 @@ def test_train_segments(spark, tmp):
     for rep in reports.values():
         assert json.loads(rep.to_json())["trained"]
     assert os.path.isdir(os.path.join(tmp, "seg_models", "seg=0", "M1_LR"))
+
+
+def test_ingest_then_prepare_landed_cli(spark, tmp):
+    """The two data paths connected: JSON-lines messages -> landed batches ->
+    the same prepare chain (P6 casts, joins, filters) as the CSV path."""
+    p = _csvs(spark, tmp)
+    src = os.path.join(tmp, "msgs")
+    T.messages_raw(spark, SF_SMALL).select("value").write.text(src)
+    out = os.path.join(tmp, "ingest")
+    assert cli.main(["ingest", "--source", src, "--out", out,
+                     "--checkpoint", os.path.join(tmp, "ckpt"), "--drain"]) == 0
+    processed = os.path.join(tmp, "processed_landed")
+    assert cli.main(["prepare", "--landed", "--reviews", f"{out}/landed", "--users", p["users"],
+                     "--games", p["games"], "--out", processed]) == 0
+    from recoflow.plans.queries import processed_from_messages
+    expected = processed_from_messages(spark, SF_SMALL)
+    got = spark.read.parquet(processed)
+    assert got.count() == expected.count() > 0
+    cols = [c for c in expected.columns if c != "review_id"]
+    assert got.select(*cols).exceptAll(expected.select(*cols)).count() == 0
+
+
+def test_preprocess_cli_missing_games(spark, tmp):
+    p = _csvs(spark, tmp)
+    out = os.path.join(tmp, "pre")
+    assert cli.main(["preprocess", "--reviews", p["reviews"], "--users", p["users"],
+                     "--games", os.path.join(tmp, "nope.csv"), "--out", out, "--rows", "200"]) == 0
+    games = spark.read.option("header", "true").csv(f"{out}/games_sampled")
+    assert games.count() == 0
