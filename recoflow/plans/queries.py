@@ -9,9 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..functions import casts as C
+from ..functions.features import price_category as _price_category
+from ..functions.features import quality_score as _quality_score
+from ..functions.features import request_features as _request_features
+from ..functions.json_codec import decode_messages, encode_message, landable, quarantined
+from ..operators import aggregates as A
+from ..operators import clean as CL
+from ..operators import joins as J
+from ..operators import sampling as S
+from ..operators import scoring as SC
+from ..operators import training as TR
+from ..schemas import FEATURE_COLUMNS, MESSAGE_COLUMNS
 from ..sources import tables as T
+from ..streaming import ingest as IN
+from .prepare import joined_reviews
 from .prepare import processed_reviews as _processed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,20 +52,7 @@ def processed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- projections
-from pyspark.ml.feature import VectorAssembler  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from ..functions import casts as C  # noqa: E402
-from ..functions.features import price_category as _price_category  # noqa: E402
-from ..functions.features import quality_score as _quality_score  # noqa: E402
-from ..functions.features import request_features as _request_features  # noqa: E402
-from ..functions.json_codec import decode_messages, encode_message, landable, quarantined  # noqa: E402
-from ..operators import aggregates as A  # noqa: E402
-from ..operators import clean as CL  # noqa: E402
-from ..operators import joins as J  # noqa: E402
-from ..operators import sampling as S  # noqa: E402
-from ..schemas import FEATURE_COLUMNS  # noqa: E402
-from .prepare import joined_reviews  # noqa: E402
+
 
 # Parameters of the registered checks. LR / trim sizes and the sample seed are
 # the reference's; the registered sample draws 5,000 rows so that sampling and
@@ -290,8 +293,6 @@ def requests_rejected(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
-from ..operators import scoring as SC  # noqa: E402
-from ..operators import training as TR  # noqa: E402
 
 
 def _labelled(spark, sf_dir):
@@ -346,8 +347,6 @@ def recommend_requests(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-from ..schemas import MESSAGE_COLUMNS  # noqa: E402
-from ..streaming import ingest as IN  # noqa: E402
 
 
 @register("ingest_stream")
