@@ -58,3 +58,35 @@ def test_publish_csv_stream_then_ingest(spark, tmp):
     _run(spark, out, os.path.join(tmp, "ingest"))
     landed = IN.read_landed(spark, os.path.join(tmp, "ingest", "landed"))
     assert landed.count() == expected.count()
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, tmp, monkeypatch):
+    """A crash after a batch's files are written but before its offsets are
+    committed: the restart replays the batch into the same folder (overwrite)."""
+    from pyspark.errors import StreamingQueryException
+
+    msgs = T.messages_raw(spark, SF_SMALL)
+    src = os.path.join(tmp, "in")
+    msgs.select("value").repartition(2).write.text(src)
+    real = IN.land_batch
+    state = {"failed": False}
+
+    def flaky(batch, batch_id, out_dir, quarantine_dir, **kw):
+        real(batch, batch_id, out_dir, quarantine_dir, **kw)
+        if batch_id == 0 and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("executor lost after writing")
+
+    monkeypatch.setattr(IN, "land_batch", flaky)
+    try:
+        _run(spark, src, tmp)
+        raise AssertionError("the first run should have failed")
+    except StreamingQueryException:
+        pass
+    assert state["failed"]
+    monkeypatch.setattr(IN, "land_batch", real)
+    _run(spark, src, tmp)
+    landed = IN.read_landed(spark, f"{tmp}/landed").select(*IN.MESSAGE_COLUMNS)
+    expected = message_decoded(spark, SF_SMALL).select(*IN.MESSAGE_COLUMNS)
+    assert landed.count() == expected.count()
+    assert landed.exceptAll(expected).count() == 0 and expected.exceptAll(landed).count() == 0
