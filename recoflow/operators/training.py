@@ -125,13 +125,16 @@ def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows
     rows, count = first_n_with_count(processed, n_rows)
     if count < MIN_TRAINING_ROWS:
         raise NotEnoughData(f"not enough data for {name}")
-    # The capped training set is small, but at scale it comes out of a filter
-    # over the whole input, spread thinly over every input partition. Gather it
-    # into a few partitions (a shuffle of at most n_rows rows; the scan keeps
-    # its parallelism) so each fit iteration schedules a few tasks, not 10^5.
-    sc = processed.sparkSession.sparkContext
-    parts = max(1, min(sc.defaultParallelism, -(-count // TRAIN_ROWS_PER_PARTITION)))
-    rows = rows.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    if count >= n_rows:
+        # The cap was hit: the training set came out of a filter over a larger
+        # input and is spread thinly over every input partition. Gather it into
+        # a few partitions (a shuffle of at most n_rows rows; the scan keeps its
+        # parallelism) so each fit iteration schedules a few tasks, not 10^5.
+        # Below the cap the set is the whole input, already partitioned by size.
+        sc = processed.sparkSession.sparkContext
+        parts = max(1, min(sc.defaultParallelism, -(-count // TRAIN_ROWS_PER_PARTITION)))
+        rows = rows.repartition(parts)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if holdout > 0:
             test = rows.filter(holdout_flag(fraction=holdout))
