@@ -24,7 +24,7 @@ _RANK = "_rank_value"
 
 
 def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
-                  boundary_limit: int = BOUNDARY_LIMIT, total: int | None = None) -> DataFrame:
+                  boundary_limit: int | None = None, total: int | None = None) -> DataFrame:
     """Exactly the rows of ``df.orderBy(*order).limit(n)`` (as a set, unordered
     when the input is large).
 
@@ -39,13 +39,15 @@ def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
     """
     if n <= 0:
         return df.limit(0)
+    if boundary_limit is None:
+        boundary_limit = BOUNDARY_LIMIT
     ranked = df.withColumn(_RANK, rank)
     count = ranked.count() if total is None else total
     if count <= n:
         return df
     r = F.col(_RANK)
     band, need, size, low = ranked, n, count, None
-    while size > boundary_limit:
+    while size > boundary_limit and need > 0:
         p_lo = max(0.0, need / size - 2 * QUANTILE_REL_ERR)
         p_hi = min(1.0, (need + 1) / size + 2 * QUANTILE_REL_ERR)
         cut_lo, cut_hi = band.approxQuantile(_RANK, [p_lo, p_hi], QUANTILE_REL_ERR)
@@ -124,8 +126,10 @@ def sample_fixed_size(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFr
     Rows are ranked by ``md5('<seed>:' || key)``; the result does not depend on
     partitioning and is the same for the same seed. The first 12 hex digits of
     the hash (a 48-bit uniform number, order-equal to the hex text) drive the
-    distributed narrowing.
+    distributed narrowing. A NULL key has a NULL hash and sorts last (as in
+    SQL's default ``NULLS LAST``), ranked above every real hash.
     """
     h = _sample_hash(F.col(key), seed)
-    prefix = F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint")
-    return exact_first_n(df, n, [h.asc(), F.col(key).asc()], prefix)
+    prefix = F.coalesce(F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"), F.lit(1 << 48))
+    order = [h.asc_nulls_last(), F.col(key).asc_nulls_last()]
+    return exact_first_n(df, n, order, prefix)

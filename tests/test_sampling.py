@@ -80,3 +80,19 @@ def test_first_n_text_keys_equals_brute_force(spark):
         brute = sorted(map(str, _keys(mixed.orderBy(*order).limit(n))))
         fast = S.exact_first_n(mixed, n, order, S.key_rank(F.col("review_id")), boundary_limit=50)
         assert sorted(map(str, _keys(fast))) == brute
+
+
+def test_sample_with_null_keys_equals_brute_force(spark):
+    reviews = T.reviews_raw(spark, SF_MID).withColumn(
+        "review_id", F.when(F.col("review_id").cast("int") % 4 == 0, F.lit(None).cast("string"))
+        .otherwise(F.col("review_id")))
+    h = F.md5(F.concat(F.lit("42:"), F.col("review_id")))
+    for n in (500, 7600, 9000):
+        brute = sorted(map(str, _keys(reviews.orderBy(h.asc_nulls_last(), F.col("review_id").asc_nulls_last()).limit(n))))
+        old = S.BOUNDARY_LIMIT
+        S.BOUNDARY_LIMIT = 20
+        try:
+            got = sorted(map(str, _keys(S.sample_fixed_size(reviews, n, "review_id"))))
+        finally:
+            S.BOUNDARY_LIMIT = old
+        assert got == brute
