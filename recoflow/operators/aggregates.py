@@ -115,9 +115,13 @@ def exact_auc(df: DataFrame, score: str, label: str, target_rows_per_bucket: int
     within = Window.partitionBy("bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     ranked = bucketed.withColumn("below", F.coalesce(F.sum("neg").over(within), F.lit(0)))
     ranked = ranked.join(F.broadcast(offsets), "bucket")
-    twice = F.col("pos") * (2 * (F.col("offset") + F.col("below")) + F.col("neg"))
+    # pos x (negatives below) reaches ~10^24 at 10^12 rows: exact in decimal(38,0),
+    # not in bigint.
+    exact = "decimal(38,0)"
+    twice = F.col("pos").cast(exact) * (
+        F.lit(2) * (F.col("offset") + F.col("below")) + F.col("neg")).cast(exact)
     agg = ranked.agg(
-        F.sum(twice).cast("bigint").alias("s2"),
+        F.sum(twice).alias("s2"),
         F.sum("pos").cast("bigint").alias("p"),
         F.sum("neg").cast("bigint").alias("n"),
     )
