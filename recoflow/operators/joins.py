@@ -7,8 +7,8 @@ Strategy is left to Catalyst/AQE on purpose:
 * games is a catalogue; it is broadcast when its estimated (planning) or
   measured (AQE) size is under the session's broadcast bound, and stays a
   shuffled join above it. No unconditional ``broadcast()`` hint is used.
-* the semi joins (J3, J4) only need the distinct keys of the sample; Spark
-  de-duplicates them map-side before the shuffle.
+* the semi joins (J3, J4) only need the distinct keys of the sample; they are
+  de-duplicated map-side (partial aggregation) before the shuffle.
 """
 
 from __future__ import annotations
@@ -34,10 +34,15 @@ def join_games(reviews: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def games_in_sample(games: DataFrame, sample: DataFrame) -> DataFrame:
-    """Games whose ``app_id`` occurs in the sampled reviews (semi join)."""
-    return games.join(sample.select("app_id"), "app_id", "left_semi")
+    """Games whose ``app_id`` occurs in the sampled reviews (semi join).
+
+    The sample's keys are de-duplicated first (partial aggregation, map-side),
+    so a game reviewed millions of times is one key on the build side.
+    """
+    return games.join(sample.select("app_id").distinct(), "app_id", "left_semi")
 
 
 def users_in_sample(users: DataFrame, sample: DataFrame) -> DataFrame:
-    """Users whose ``user_id`` occurs in the sampled reviews (semi join)."""
-    return users.join(sample.select("user_id"), "user_id", "left_semi")
+    """Users whose ``user_id`` occurs in the sampled reviews (semi join),
+    with the sample's keys de-duplicated map-side first."""
+    return users.join(sample.select("user_id").distinct(), "user_id", "left_semi")
