@@ -88,7 +88,12 @@ def main(argv: list[str] | None = None) -> int:
                 messages = ingest.read_kafka(spark, args.bootstrap, topic=args.topic)
             else:
                 messages = ingest.read_json_lines(spark, args.source)
-            trigger = {"availableNow": True} if args.drain else None
+            if args.drain:
+                trigger = {"availableNow": True}
+            elif args.bootstrap:
+                trigger = {"processingTime": ingest.KAFKA_POLL}
+            else:
+                trigger = None  # file source: flush every BATCH_TIMEOUT
             q = ingest.start_ingest(messages, f"{args.out}/landed", f"{args.out}/quarantine",
                                     args.checkpoint, trigger)
             q.awaitTermination()

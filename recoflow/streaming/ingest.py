@@ -33,6 +33,9 @@ TOPIC = "game.reviews"
 GROUP_ID = "parquet_consumer_group"
 BATCH_ROWS = 500_000
 BATCH_TIMEOUT = "5 minutes"
+# Kafka: the trigger only polls; minOffsetsPerTrigger / maxTriggerDelay decide
+# when a batch closes (500k messages or 5 minutes, whichever comes first).
+KAFKA_POLL = "10 seconds"
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str = TOPIC,
@@ -109,7 +112,9 @@ def start_ingest(messages: DataFrame, out_dir: str, quarantine_dir: str, checkpo
                  trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
     """T1 (+T2/T3 via ``trigger``): start the landing query.
 
-    ``trigger``: ``{"processingTime": "5 minutes"}`` for a running consumer,
+    ``trigger``: ``{"processingTime": KAFKA_POLL}`` for a Kafka consumer (the
+    source options close batches at 500k messages or 5 minutes),
+    ``{"processingTime": "5 minutes"}`` (the default) for a file source, or
     ``{"availableNow": True}`` to drain what is there and stop (T3).
     """
     writer = (messages.writeStream
