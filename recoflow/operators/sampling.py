@@ -19,7 +19,10 @@ from ..session import checkpoint_dir
 
 # Rows between the two cuts that may go to the final exact top-k merge.
 BOUNDARY_LIMIT = 1_000_000
-QUANTILE_REL_ERR = 1e-4
+# approxQuantile relative error per level: the largest value whose band
+# (about 4 * err * rows) fits the boundary limit, within these bounds (the GK
+# summary grows as 1/err, so 1e-6 keeps it to a few MB per task).
+MAX_REL_ERR, MIN_REL_ERR = 1e-4, 1e-6
 _RANK = "_rank_value"
 
 
@@ -48,9 +51,10 @@ def exact_first_n(df: DataFrame, n: int, order: list[Column], rank: Column,
     r = F.col(_RANK)
     band, need, size, low = ranked, n, count, None
     while size > boundary_limit and need > 0:
-        p_lo = max(0.0, need / size - 2 * QUANTILE_REL_ERR)
-        p_hi = min(1.0, (need + 1) / size + 2 * QUANTILE_REL_ERR)
-        cut_lo, cut_hi = band.approxQuantile(_RANK, [p_lo, p_hi], QUANTILE_REL_ERR)
+        err = min(MAX_REL_ERR, max(MIN_REL_ERR, boundary_limit / (4.0 * size)))
+        p_lo = max(0.0, need / size - 2 * err)
+        p_hi = min(1.0, (need + 1) / size + 2 * err)
+        cut_lo, cut_hi = band.approxQuantile(_RANK, [p_lo, p_hi], err)
         below = band.agg(F.count_if(r < F.lit(cut_lo)).alias("a"),
                          F.count_if(r <= F.lit(cut_hi)).alias("b")).first()
         a, b = below["a"], below["b"]
