@@ -114,35 +114,44 @@ def _auc(model: PipelineModel, rows: DataFrame, label: str) -> float:
     return exact_auc(scored, "score", label).first()["auc"]
 
 
-def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows: int,
-                     label: str = LABEL_COLUMN, holdout: float = 0.0,
-                     evaluate: bool = True) -> TrainResult:
-    """M1/M2: first ``n_rows`` by key -> (hold-out split) -> fit -> exact AUC.
-
-    ``evaluate=False`` skips the AUC passes (a scoring run that only needs the
-    model).
+def select_training_rows(processed: DataFrame, n_rows: int) -> tuple[DataFrame, int]:
+    """The first ``n_rows`` rows by key, persisted, and their count.
+
+    When the cap is hit the rows came out of a filter over a larger input and
+    are spread thinly over every input partition; they are gathered into a few
+    partitions (a shuffle of at most ``n_rows`` rows; the scan keeps its
+    parallelism) so each fit iteration schedules a few tasks, not 10^5. Below
+    the cap the set is the whole input, already partitioned by size.
     """
     rows, count = first_n_with_count(processed, n_rows)
-    if count < MIN_TRAINING_ROWS:
-        raise NotEnoughData(f"not enough data for {name}")
     if count >= n_rows:
-        # The cap was hit: the training set came out of a filter over a larger
-        # input and is spread thinly over every input partition. Gather it into
-        # a few partitions (a shuffle of at most n_rows rows; the scan keeps its
-        # parallelism) so each fit iteration schedules a few tasks, not 10^5.
-        # Below the cap the set is the whole input, already partitioned by size.
         sc = processed.sparkSession.sparkContext
         parts = max(1, min(sc.defaultParallelism, -(-count // TRAIN_ROWS_PER_PARTITION)))
         rows = rows.repartition(parts)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK), count
+
+
+def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows: int,
+                     label: str = LABEL_COLUMN, holdout: float = 0.0,
+                     evaluate: bool = True, selected: tuple[DataFrame, int] | None = None
+                     ) -> TrainResult:
+    """M1/M2: first ``n_rows`` by key -> (hold-out split) -> fit -> exact AUC.
+
+    ``evaluate=False`` skips the AUC passes (a scoring run that only needs the
+    model). ``selected`` passes rows already chosen by
+    :func:`select_training_rows` (the caller unpersists them).
+    """
+    rows, count = selected if selected is not None else select_training_rows(processed, n_rows)
     try:
+        if count < MIN_TRAINING_ROWS:
+            raise NotEnoughData(f"not enough data for {name}")
         if holdout > 0:
             test = rows.filter(holdout_flag(fraction=holdout))
             train = rows.filter(~holdout_flag(fraction=holdout))
         else:
             test, train = None, rows
         model = pipeline.fit(train)
-        result = TrainResult(name, model, train.count())
+        result = TrainResult(name, model, train.count() if holdout > 0 else count)
         if evaluate:
             result.train_auc = _auc(model, train, label)
             if test is not None and has_min_rows(test, 1):
@@ -150,19 +159,20 @@ def train_classifier(processed: DataFrame, name: str, pipeline: Pipeline, n_rows
             log.info("%s trained on %d rows, train AUC %.4f", name, result.rows, result.train_auc)
         return result
     finally:
-        rows.unpersist()
+        if selected is None:
+            rows.unpersist()
 
 
 def train_lr(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0,
-             evaluate: bool = True) -> TrainResult:
+             evaluate: bool = True, selected: tuple[DataFrame, int] | None = None) -> TrainResult:
     return train_classifier(processed, LR_NAME, lr_pipeline(label), LR_ROWS, label, holdout,
-                            evaluate)
+                            evaluate, selected)
 
 
 def train_gbt(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float = 0.0,
-              evaluate: bool = True) -> TrainResult:
+              evaluate: bool = True, selected: tuple[DataFrame, int] | None = None) -> TrainResult:
     return train_classifier(processed, GBT_NAME, gbt_pipeline(label), GBT_ROWS, label, holdout,
-                            evaluate)
+                            evaluate, selected)
 
 
 def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:

@@ -73,11 +73,36 @@ def train_all(processed: DataFrame, model_dir: str, holdout: float = 0.0,
               als_blocks: int | None = None) -> TrainReport:
     """Plan A (models), M6: train only models that are missing or do not load."""
     report = TrainReport()
+    # LR's rows (first 500k by key) are the first 500k of GBT's rows (first
+    # 750k): select GBT's set once from the large input and LR's from that
+    # small persisted set, instead of two selections over the whole input.
+    # Selected only if a model actually needs training.
+    selected: dict[str, tuple[DataFrame, int]] = {}
+
+    def gbt_rows():
+        if "gbt" not in selected:
+            selected["gbt"] = TR.select_training_rows(processed, TR.GBT_ROWS)
+        return selected["gbt"]
+
+    def lr_rows():
+        if "lr" not in selected:
+            selected["lr"] = TR.select_training_rows(gbt_rows()[0], TR.LR_ROWS)
+        return selected["lr"]
+
     jobs = {
-        TR.LR_NAME: lambda: TR.train_lr(processed, holdout=holdout),
-        TR.GBT_NAME: lambda: TR.train_gbt(processed, holdout=holdout),
+        TR.LR_NAME: lambda: TR.train_lr(processed, holdout=holdout, selected=lr_rows()),
+        TR.GBT_NAME: lambda: TR.train_gbt(processed, holdout=holdout, selected=gbt_rows()),
         TR.ALS_NAME: lambda: TR.train_als_from_processed(processed, als_blocks),
     }
+    try:
+        _train_each(jobs, model_dir, report)
+    finally:
+        for rows, _ in selected.values():
+            rows.unpersist()
+    return report
+
+
+def _train_each(jobs: dict, model_dir: str, report: TrainReport) -> None:
     for name, train in jobs.items():
         path = f"{model_dir}/{name}"
         result: dict = {}
@@ -99,7 +124,6 @@ def train_all(processed: DataFrame, model_dir: str, holdout: float = 0.0,
             if result.get("passed") is False:
                 log.warning("%s AUC %.4f is below the target %.2f", name,
                             result["train_auc"], TR.AUC_TARGET)
-    return report
 
 
 def train_segments(processed: DataFrame, segment_col: str, model_dir: str,

@@ -316,10 +316,16 @@ def gbt_scores(spark, sf_dir):
 @register("train_metrics")
 def train_metrics(spark, sf_dir):
     """A3 + A5: exact train / hold-out AUC and the > 0.70 gate for LR and GBT."""
-    rows = []
-    for res in (TR.train_lr(_labelled(spark, sf_dir), holdout=0.2),
-                TR.train_gbt(_labelled(spark, sf_dir), holdout=0.2)):
-        rows.append((res.name, res.rows, res.train_auc, res.test_auc, res.passed))
+    labelled = _labelled(spark, sf_dir)
+    gbt_sel = TR.select_training_rows(labelled, TR.GBT_ROWS)
+    lr_sel = TR.select_training_rows(gbt_sel[0], TR.LR_ROWS)  # first 500k of the first 750k
+    try:
+        results = (TR.train_lr(labelled, holdout=0.2, selected=lr_sel),
+                   TR.train_gbt(labelled, holdout=0.2, selected=gbt_sel))
+    finally:
+        lr_sel[0].unpersist()
+        gbt_sel[0].unpersist()
+    rows = [(r.name, r.rows, r.train_auc, r.test_auc, r.passed) for r in results]
     return spark.createDataFrame(
         rows, "model string, train_rows long, train_auc double, test_auc double, passed boolean")
 
