@@ -4,6 +4,8 @@
     ... preprocess --reviews R --users U --games G --out DIR [--rows 5000000]
     ... ingest --source DIR|--bootstrap HOST:PORT --out DIR --checkpoint DIR [--drain]
     ... train --processed P --models DIR [--holdout 0.2] [--segment COL]
+    (prepare --partition-by date + train --segment date: one model set per day,
+    each read from its own partition)
     ... score --model DIR/M1_LR --requests PARQUET --out DIR
     ... recommend --model DIR/M3_ALS --users PARQUET --out DIR
 
@@ -36,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--landed", action="store_true", help="reviews are landed Parquet batches")
         s.add_argument("--rows", type=int, default=jobs.SAMPLE_ROWS)
         s.add_argument("--users-unique", action="store_true")
+        s.add_argument("--partition-by", help="comma-separated columns, e.g. date (for M8 segments)")
 
     s = sub.add_parser("ingest")
     s.add_argument("--source")
@@ -79,7 +82,8 @@ def main(argv: list[str] | None = None) -> int:
             else:
                 reviews = files.read_reviews_csv(spark, args.reviews)
             if args.cmd == "prepare":
-                out = jobs.prepare(reviews, users, games, args.out, args.users_unique)
+                parts = args.partition_by.split(",") if args.partition_by else None
+                out = jobs.prepare(reviews, users, games, args.out, args.users_unique, parts)
             else:
                 out = jobs.preprocess(reviews, games, users, args.out, args.rows)
             print(json.dumps(out))

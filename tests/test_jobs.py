@@ -107,3 +107,17 @@ def test_preprocess_cli_missing_games(spark, tmp):
                      "--games", os.path.join(tmp, "nope.csv"), "--out", out, "--rows", "200"]) == 0
     games = spark.read.option("header", "true").csv(f"{out}/games_sampled")
     assert games.count() == 0
+
+
+def test_prepare_partitioned_by_date(spark, tmp):
+    p = _csvs(spark, tmp)
+    out = os.path.join(tmp, "processed_by_date")
+    assert cli.main(["prepare", "--reviews", p["reviews"], "--users", p["users"],
+                     "--games", p["games"], "--out", out, "--partition-by", "date"]) == 0
+    dates = [d for d in os.listdir(out) if d.startswith("date=")]
+    assert len(dates) > 1
+    one = dates[0].split("=", 1)[1]
+    part = spark.read.parquet(out).filter(F.col("date") == one)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan  # pruned to one folder
+    assert part.count() == processed_reviews(spark, SF_SMALL).filter(F.col("date") == one).count()
