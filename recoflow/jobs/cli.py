@@ -1,6 +1,7 @@
-"""Command-line entry points for ``spark-submit``.
+"""Job subcommands (``spark-submit --py-files recoflow.zip run_job.py <sub> ...``,
+or locally ``python -m recoflow.jobs.cli <sub> ...``).
 
-    spark-submit -m recoflow.jobs.cli prepare --reviews R --users U --games G --out P
+    ... prepare --reviews R --users U --games G --out P [--partition-by date]
     ... preprocess --reviews R --users U --games G --out DIR [--rows 5000000]
     ... ingest --source DIR|--bootstrap HOST:PORT --out DIR --checkpoint DIR [--drain]
     ... train --processed P --models DIR [--holdout 0.2] [--segment COL]
