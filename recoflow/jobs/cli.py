@@ -74,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
             from ..schemas import GAMES_SCHEMA, USERS_SCHEMA
             if args.cmd == "preprocess":  # S7: a missing dimension file -> empty table
                 users = files.read_or_empty(spark, args.users, USERS_SCHEMA)
-                games = files.read_or_empty(spark, args.games, GAMES_SCHEMA)
+                games = files.read_or_empty(spark, args.games, GAMES_SCHEMA, multiline=True)
             else:
                 users = files.read_users_csv(spark, args.users)
                 games = files.read_games_csv(spark, args.games)

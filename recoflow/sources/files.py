@@ -2,9 +2,10 @@
 
 CSV is read with an explicit all-string schema and the options that make a
 Spark read agree with Python's ``csv`` module: doubled quotes inside a quoted
-field (``escape='"'``), quoted newlines (``multiLine``), and a header that
-must match the schema by name (``enforceSchema=false``), so a reordered file
-fails loudly instead of silently swapping columns.
+field (``escape='"'``), quoted newlines (``multiLine``, games only: it makes a
+file unsplittable), and a header that must match the schema by name
+(``enforceSchema=false``), so a reordered file fails loudly instead of
+silently swapping columns.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from pyspark.sql.types import StructType
 from ..schemas import BATCH_SCHEMA, GAMES_SCHEMA, REVIEWS_SCHEMA, USERS_SCHEMA
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
     """Header CSV with a fixed schema, all values as strings.
 
-    ``multiline=False`` lets Spark split one large file across many tasks; keep
-    it only when no field contains a line break.
+    ``multiline=True`` is needed only when quoted fields contain line breaks;
+    it makes every file one unsplittable task, so it is used only for the small
+    games catalogue (free-text titles). The large tables are read splittable.
     """
     return (spark.read.schema(schema)
             .option("header", "true")
@@ -31,19 +33,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool
             .csv(path))
 
 
-def read_users_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """S1."""
-    return read_csv(spark, path, USERS_SCHEMA, **kw)
+def read_users_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Ids and counts only, read splittable."""
+    return read_csv(spark, path, USERS_SCHEMA, multiline)
 
 
-def read_games_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """S2."""
-    return read_csv(spark, path, GAMES_SCHEMA, **kw)
+def read_games_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Titles may hold quoted line breaks; a catalogue is small."""
+    return read_csv(spark, path, GAMES_SCHEMA, multiline)
 
 
-def read_reviews_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """S3 / S9 (the producer reads the same file as string records)."""
-    return read_csv(spark, path, REVIEWS_SCHEMA, **kw)
+def read_reviews_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """S3 / S9 (the producer reads the same file as string records): the
+    largest table; ids, flags, numbers and dates only, read splittable."""
+    return read_csv(spark, path, REVIEWS_SCHEMA, multiline)
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType = BATCH_SCHEMA) -> DataFrame:
@@ -55,10 +58,10 @@ def read_batches(spark: SparkSession, path: str, schema: StructType = BATCH_SCHE
             .parquet(path))
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType, reader=read_csv) -> DataFrame:
-    """The table if the path exists, else an empty table with the columns."""
+def read_or_empty(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+    """The CSV table if the path exists, else an empty table with the columns."""
     try:
-        df = reader(spark, path, schema)
+        df = read_csv(spark, path, schema, multiline)
         df.schema  # resolve now so a missing path fails here
         return df
     except AnalysisException as e:
