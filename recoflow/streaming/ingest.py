@@ -73,12 +73,21 @@ def kafka_sink_options(bootstrap_servers: str, topic: str = TOPIC) -> dict[str,
     }
 
 
+def kafka_message_key(partition, offset):
+    """Stable numeric key of a message in the (single) topic:
+    ``partition * 2^40 + offset``, as text. Unique, ordered by partition then
+    offset, and numeric, so first-n over landed rows takes the distributed
+    numeric-rank path (a ``topic:partition:offset`` text key would tie on its
+    common prefix)."""
+    return (F.col(partition).cast("bigint") * F.lit(1 << 40) + F.col(offset)).cast("string")
+
+
 def read_kafka(spark: SparkSession, bootstrap_servers: str, **kw) -> DataFrame:
     """Messages from a topic, with their position as the stable key."""
     raw = spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, **kw)).load()
     return raw.select(
         F.col("value").cast("string").alias("value"),
-        F.concat_ws(":", "topic", "partition", "offset").alias("msg_key"),
+        kafka_message_key("partition", "offset").alias("msg_key"),
     )
 
 

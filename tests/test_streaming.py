@@ -90,3 +90,9 @@ def test_failed_batch_is_replayed_without_duplicates(spark, tmp, monkeypatch):
     expected = message_decoded(spark, SF_SMALL).select(*IN.MESSAGE_COLUMNS)
     assert landed.count() == expected.count()
     assert landed.exceptAll(expected).count() == 0 and expected.exceptAll(landed).count() == 0
+
+
+def test_kafka_message_key_is_numeric_and_ordered(spark):
+    df = spark.createDataFrame([(0, 5), (0, 6), (1, 0), (3, 2**39)], "partition int, offset long")
+    keys = [int(r["k"]) for r in df.select(IN.kafka_message_key("partition", "offset").alias("k")).collect()]
+    assert keys == sorted(keys) and len(set(keys)) == 4
