@@ -28,3 +28,22 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["processed_reviews", "stage_counts", "join_games",
+                                  "games_in_sample", "processed_from_messages"])
+def test_shuffle_join_plan_matches_oracle(spark, con, name):
+    """The plan used above the broadcast bound (sort-merge joins, AQE skew
+    handling) gives the oracle's result too, not just the broadcast plan."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = E.queries()[name](spark, SF_SMALL)
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        r = compare(spark, con, name, E.queries()[name], SQL[name], SF_SMALL)
+        assert r["status"] == "ok", r
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
