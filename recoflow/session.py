@@ -101,7 +101,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch folder, because a machine-local folder is not visible to other
     executors on a cluster.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         current = sc.getCheckpointDir()
