@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_COLUMNS, KEY_COLUMN, LABEL_COLUMN
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, default_parallelism
 from .aggregates import exact_auc
 from .clean import als_triples
 from .sampling import first_n_with_count
@@ -125,8 +125,8 @@ def select_training_rows(processed: DataFrame, n_rows: int) -> tuple[DataFrame,
     """
     rows, count = first_n_with_count(processed, n_rows)
     if count >= n_rows:
-        sc = processed.sparkSession.sparkContext
-        parts = max(1, min(sc.defaultParallelism, -(-count // TRAIN_ROWS_PER_PARTITION)))
+        slots = default_parallelism(processed.sparkSession)
+        parts = max(1, min(slots, -(-count // TRAIN_ROWS_PER_PARTITION)))
         rows = rows.repartition(parts)
     return rows.persist(StorageLevel.MEMORY_AND_DISK), count
 
@@ -187,7 +187,7 @@ def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:
     checkpoint_dir(spark)
     if not has_min_rows(triples):
         raise NotEnoughData(f"not enough data for {ALS_NAME}")
-    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
+    blocks = blocks or max(10, default_parallelism(spark))
     model = als_estimator(blocks=blocks).fit(triples)
     return TrainResult(ALS_NAME, model, -1)
 

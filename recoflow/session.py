@@ -93,6 +93,15 @@ def apply_scale_conf(spark: SparkSession) -> None:
             pass
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (cores); a setting-based guess on Spark Connect."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", None)
+                   or spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cutting lineage.
 
