@@ -40,3 +40,34 @@ def test_exact_auc_equals_rank_sum(spark, rows, per_bucket):
     expected = (ranks[pos].sum() - p * (p + 1) / 2) / (p * q)
     got = exact_auc(df, "score", "label", target_rows_per_bucket=per_bucket).first()["auc"]
     assert abs(got - expected) < 1e-12
+
+
+_num = st.integers(min_value=0, max_value=10**15).map(str)
+_text = st.text(alphabet="abcxyz0123456789:-", min_size=1, max_size=12).filter(
+    lambda s: not s.isdigit())
+
+
+@SETTINGS
+@given(keys=st.lists(st.one_of(_num, _text, st.none()), min_size=1, max_size=80))
+def test_key_rank_is_monotone_with_sql_order(spark, keys):
+    """ORDER BY try_cast(k AS BIGINT) NULLS LAST, k NULLS LAST never goes down in rank."""
+    from recoflow.operators.sampling import key_rank
+
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    rows = df.select("k", key_rank(F.col("k")).alias("r")).collect()
+
+    import re
+
+    def as_bigint(k):  # try_cast(k AS BIGINT)
+        if k is None or not re.fullmatch(r"\s*[+-]?\d+\s*", k):
+            return None
+        v = int(k)
+        return v if -2**63 <= v < 2**63 else None
+
+    def sql_order(k):
+        num = as_bigint(k)
+        return (num is None, num if num is not None else 0,
+                k is None, (k or "").encode("utf-8"))
+
+    ranks = [r["r"] for r in sorted(rows, key=lambda r: sql_order(r["k"]))]
+    assert all(a <= b for a, b in zip(ranks, ranks[1:]))
