@@ -54,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--models", required=True)
     s.add_argument("--holdout", type=float, default=0.0)
     s.add_argument("--segment")
+    s.add_argument("--als-blocks", type=int, help="ALS user/item blocks (default: cluster parallelism)")
 
     for name in ("score", "recommend"):
         s = sub.add_parser(name)
@@ -106,10 +107,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.cmd == "train":
             processed = spark.read.parquet(args.processed)
             if args.segment:
-                reports = jobs.train_segments(processed, args.segment, args.models, args.holdout)
+                reports = jobs.train_segments(processed, args.segment, args.models, args.holdout,
+                                              args.als_blocks)
                 print(json.dumps({k: v.__dict__ for k, v in reports.items()}, sort_keys=True))
             else:
-                print(jobs.train_all(processed, args.models, args.holdout).to_json())
+                print(jobs.train_all(processed, args.models, args.holdout, args.als_blocks).to_json())
         elif args.cmd == "score":
             jobs.score(args.model, spark.read.parquet(args.requests), args.out)
         elif args.cmd == "recommend":

@@ -127,7 +127,7 @@ def _train_each(jobs: dict, model_dir: str, report: TrainReport) -> None:
 
 
 def train_segments(processed: DataFrame, segment_col: str, model_dir: str,
-                   holdout: float = 0.0) -> dict[str, TrainReport]:
+                   holdout: float = 0.0, als_blocks: int | None = None) -> dict[str, TrainReport]:
     """M8: one model set per data segment (e.g. landing date).
 
     Segment values come from a distributed ``distinct`` (a short list); each
@@ -138,7 +138,7 @@ def train_segments(processed: DataFrame, segment_col: str, model_dir: str,
     reports = {}
     for v in sorted(values, key=str):
         part = processed.filter(F.col(segment_col) == F.lit(v))
-        reports[str(v)] = train_all(part, f"{model_dir}/{segment_col}={v}", holdout)
+        reports[str(v)] = train_all(part, f"{model_dir}/{segment_col}={v}", holdout, als_blocks)
     return reports
 
 
