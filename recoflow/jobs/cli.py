@@ -9,6 +9,7 @@ or locally ``python -m recoflow.jobs.cli <sub> ...``).
     each read from its own partition)
     ... score --model DIR/M1_LR --requests PARQUET --out DIR
     ... recommend --model DIR/M3_ALS --users PARQUET --out DIR
+    ... status --models DIR          (which models load: healthy / degraded)
 
 Paths are parameters; nothing is hard-coded. Every subcommand exits non-zero
 on failure.
@@ -56,6 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--segment")
     s.add_argument("--als-blocks", type=int, help="ALS user/item blocks (default: cluster parallelism)")
 
+    s = sub.add_parser("status")
+    s.add_argument("--models", required=True)
+
     for name in ("score", "recommend"):
         s = sub.add_parser(name)
         s.add_argument("--model", required=True)
@@ -112,6 +116,8 @@ def main(argv: list[str] | None = None) -> int:
                 print(json.dumps({k: v.__dict__ for k, v in reports.items()}, sort_keys=True))
             else:
                 print(jobs.train_all(processed, args.models, args.holdout, args.als_blocks).to_json())
+        elif args.cmd == "status":
+            print(json.dumps(jobs.model_status(args.models), sort_keys=True))
         elif args.cmd == "score":
             jobs.score(args.model, spark.read.parquet(args.requests), args.out)
         elif args.cmd == "recommend":

@@ -162,6 +162,19 @@ def recommend(model_path: str, users: DataFrame, out_path: str, n: int = SC.TOP_
     SC.recommend_for(ALSModel.load(model_path), users, n).write.mode("overwrite").parquet(out_path)
 
 
+def model_status(model_dir: str) -> dict:
+    """Which saved models load (the health check, without a server):
+    ``{"status": "healthy" | "degraded", "models": {name: bool}}``."""
+    loaded = {}
+    for name in (TR.LR_NAME, TR.GBT_NAME, TR.ALS_NAME):
+        try:
+            TR.load_model(f"{model_dir}/{name}", name)
+            loaded[name] = True
+        except Exception:
+            loaded[name] = False
+    return {"status": "healthy" if all(loaded.values()) else "degraded", "models": loaded}
+
+
 def session_for_jobs(app: str) -> SparkSession:
     from ..session import build_cluster_session
     return build_cluster_session(app)

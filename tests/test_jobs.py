@@ -58,6 +58,9 @@ def test_train_score_recommend_cli(spark, tmp):
     assert cli.main(["train", "--processed", processed, "--models", models]) == 0
     for name in ("M1_LR", "M2_GBT", "M3_ALS"):
         assert os.path.isdir(os.path.join(models, name))
+    assert jobs.model_status(models) == {"status": "healthy", "models": {
+        "M1_LR": True, "M2_GBT": True, "M3_ALS": True}}
+    assert jobs.model_status(os.path.join(tmp, "none"))["status"] == "degraded"
     # Second run reuses every model (M6).
     again = jobs.train_all(spark.read.parquet(processed), models)
     assert sorted(again.reused) == ["M1_LR", "M2_GBT", "M3_ALS"] and not again.trained
