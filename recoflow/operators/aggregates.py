@@ -126,7 +126,8 @@ def exact_auc(df: DataFrame, score: str, label: str, target_rows_per_bucket: int
         F.sum("neg").cast("bigint").alias("n"),
     )
     return agg.select(
-        (F.col("s2").cast("double") / (F.lit(2.0) * F.col("p") * F.col("n"))).alias("auc"),
+        # NULL, not an error, when one class is missing (no pairs to rank)
+        F.try_divide(F.col("s2").cast("double"), F.lit(2.0) * F.col("p") * F.col("n")).alias("auc"),
         F.col("p").alias("positives"),
         F.col("n").alias("negatives"),
     )

@@ -52,3 +52,9 @@ def test_rmse(spark):
 def test_written_rows(spark, tmp):
     spark.range(123).write.parquet(tmp + "/t")
     assert written_rows(spark, tmp + "/t") == 123
+
+
+def test_auc_single_class_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "score double, label int")
+    row = exact_auc(df, "score", "label").first()
+    assert row["auc"] is None and row["positives"] == 0 and row["negatives"] == 2
