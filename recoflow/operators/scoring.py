@@ -64,7 +64,8 @@ def recommend_for(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFram
     reference returns an empty list). Items the user already rated are not
     excluded, as in the reference.
     """
-    wanted = users.select(F.col("user").cast("int").alias("user")).distinct()
+    # ALS ids are int: an id outside that range cannot be known, it is not an error
+    wanted = users.select(F.col("user").try_cast("int").alias("user")).distinct()
     recs = recommend_from(model, wanted, n)
     # A user with factors always gets items, so "known" needs no second join
     # against the model's (large) user factor table.

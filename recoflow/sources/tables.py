@@ -135,7 +135,7 @@ def messages_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.json_codec import encode_message
 
     reviews = reviews_raw(spark, sf_dir)
-    mid = F.col("review_id").cast("bigint")
+    mid = F.col("review_id").try_cast("bigint")
     value = (
         F.when(mid % 1009 == 1, F.lit("{bad"))
         .when(mid % 1013 == 2, F.lit("[1,2]"))
@@ -156,7 +156,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     reviews = reviews_raw(spark, sf_dir)
     games = games_raw(spark, sf_dir)
-    rid = F.col("review_id").cast("bigint")
+    rid = F.col("review_id").try_cast("bigint")
 
     def unless(digit: int, c: Column) -> Column:
         return F.when(rid % 10 == digit, F.lit(None).cast("double")).otherwise(c.try_cast("double"))
@@ -176,7 +176,7 @@ def labelled(processed: DataFrame) -> DataFrame:
     label = ``hours_numeric > 40``, flipped when ``event_id * 7919 % 10 = 0``
     (10 % noise). The driver tables carry no signal of their own.
     """
-    eid = F.col("review_id").cast("bigint")
+    eid = F.col("review_id").try_cast("bigint")
     signal = F.col("hours_numeric") > 40
     flip = (eid * 7919 % 10) == 0
     label = F.when(flip, ~signal).otherwise(signal).cast("double")
