@@ -25,8 +25,10 @@ def distinct_ids(sample: DataFrame) -> DataFrame:
     return apps.distinct().unionByName(users.distinct())
 
 
-def stage_counts(reviews: DataFrame, users: DataFrame, games: DataFrame) -> DataFrame:
-    """A1: row counts of the inputs and of each prepare stage, as ``(stage, rows)``.
+def stage_counts(reviews: DataFrame, users: DataFrame, games: DataFrame,
+                 lr_rows: int = 500_000, gbt_rows: int = 750_000) -> DataFrame:
+    """A1: row counts of the inputs, of each prepare stage and of each model's
+    training set, as ``(stage, rows)``.
 
     The join stages come from ONE pass: reviews are left-joined to per-key user
     multiplicities and to games, and each stage is a conditional sum weighted by
@@ -44,13 +46,23 @@ def stage_counts(reviews: DataFrame, users: DataFrame, games: DataFrame) -> Data
             complete = complete & ~F.isnan(c)
     h, p, r = F.col("hours_numeric"), F.col("price_numeric"), F.col("positive_ratio_numeric")
     ranged = (h >= 0.1) & (h <= 10000.0) & (p >= 0.0) & (p <= 200.0) & (r >= 0.0) & (r <= 100.0)
+    final = complete & F.coalesce(ranged, F.lit(False))
+    # ALS input: final rows with user, item and rating present
+    als_ok = (final & F.col("user_id_int").isNotNull() & F.col("app_id_int").isNotNull()
+              & F.col("hours_numeric").isNotNull() & ~F.isnan("hours_numeric"))
     stages = typed.agg(
         F.sum(weight).cast("bigint").alias("after_joins"),
         F.sum(F.when(complete, weight).otherwise(0)).cast("bigint").alias("after_null_filter"),
-        F.sum(F.when(complete & F.coalesce(ranged, F.lit(False)), weight).otherwise(0))
-        .cast("bigint").alias("final"),
-    ).selectExpr("stack(3, 'after_joins', after_joins, 'after_null_filter', after_null_filter, "
-                 "'final', final) AS (stage, rows)")
+        F.sum(F.when(final, weight).otherwise(0)).cast("bigint").alias("final"),
+        F.sum(F.when(als_ok, weight).otherwise(0)).cast("bigint").alias("als_rows"),
+    ).select(
+        "*",
+        # training sets per model: the first LR_ROWS / GBT_ROWS rows (M1, M2)
+        F.least("final", F.lit(lr_rows).cast("bigint")).alias("lr_rows"),
+        F.least("final", F.lit(gbt_rows).cast("bigint")).alias("gbt_rows"),
+    ).selectExpr("stack(6, 'after_joins', after_joins, 'after_null_filter', after_null_filter, "
+                 "'final', final, 'lr_rows', lr_rows, 'gbt_rows', gbt_rows, "
+                 "'als_rows', als_rows) AS (stage, rows)")
 
     def count_of(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.lit(name).alias("stage"), F.count(F.lit(1)).alias("rows"))

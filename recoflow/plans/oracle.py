@@ -271,7 +271,12 @@ UNION ALL SELECT 'users', count(*) FROM users_raw
 UNION ALL SELECT 'games', count(*) FROM games_raw
 UNION ALL SELECT 'after_joins', count(*) FROM joined
 UNION ALL SELECT 'after_null_filter', count(*) FROM complete
-UNION ALL SELECT 'final', count(*) FROM processed""")
+UNION ALL SELECT 'final', count(*) FROM processed
+UNION ALL SELECT 'lr_rows', least(count(*), 500000) FROM processed
+UNION ALL SELECT 'gbt_rows', least(count(*), 750000) FROM processed
+UNION ALL SELECT 'als_rows', count(*) FROM processed
+  WHERE user_id_int IS NOT NULL AND app_id_int IS NOT NULL
+    AND hours_numeric IS NOT NULL AND NOT isnan(hours_numeric)""")
 
 SQL["als_triples"] = with_ctes(*PROCESSED, body="""
 SELECT user_id_int AS "user", app_id_int AS item, hours_numeric AS rating
