@@ -385,3 +385,8 @@ reviews_raw AS (
 SQL["processed_from_messages"] = with_ctes(
     _MESSAGE_SOURCE, _MESSAGES_FROM_SRC, _REVIEWS_FROM_MESSAGES, GAMES_RAW, USERS_RAW, TYPED,
     body="SELECT * FROM processed")
+
+SQL["preprocess_sample"] = with_ctes(REVIEWS_RAW, body=f"""
+SELECT review_id, user_id, app_id, {LABEL_INT} AS recommended,
+       {HOURS_OR_ZERO} AS hours, date AS timestamp
+FROM (SELECT * FROM reviews_raw ORDER BY md5('42:' || review_id), review_id LIMIT 5000000)""")

@@ -192,6 +192,16 @@ def sample_fixed_size(spark, sf_dir):
     return CL.reviews_renamed(_sample(spark, sf_dir), keep=("review_id",))
 
 
+@register("preprocess_sample")
+def preprocess_sample(spark, sf_dir):
+    """L3 + P2 with the reference's own size (5,000,000 rows, seed 42): all rows
+    when the table is smaller, as the reference's sampling step does."""
+    from .jobs import SAMPLE_ROWS as REFERENCE_SAMPLE_ROWS
+    sample = S.sample_fixed_size(T.reviews_raw(spark, sf_dir), REFERENCE_SAMPLE_ROWS, "review_id",
+                                 SAMPLE_SEED)
+    return CL.reviews_renamed(sample, keep=("review_id",))
+
+
 @register("games_in_sample")
 def games_in_sample(spark, sf_dir):
     """J3 + P4: games reviewed in the sample."""
