@@ -49,6 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--drain", action="store_true", help="availableNow: land what is there, stop")
+    s.add_argument("--files-per-trigger", type=int, default=ingest.FILES_PER_TRIGGER,
+                   help="file source: bound each micro-batch (a backlog drains in several)")
 
     s = sub.add_parser("train")
     s.add_argument("--processed", required=True)
@@ -97,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
             if args.bootstrap:
                 messages = ingest.read_kafka(spark, args.bootstrap, topic=args.topic)
             else:
-                messages = ingest.read_json_lines(spark, args.source)
+                messages = ingest.read_json_lines(spark, args.source, args.files_per_trigger)
             if args.drain:
                 trigger = {"availableNow": True}
             elif args.bootstrap:

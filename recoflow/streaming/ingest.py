@@ -36,6 +36,8 @@ BATCH_TIMEOUT = "5 minutes"
 # Kafka: the trigger only polls; minOffsetsPerTrigger / maxTriggerDelay decide
 # when a batch closes (500k messages or 5 minutes, whichever comes first).
 KAFKA_POLL = "10 seconds"
+# File source: files per micro-batch, so a backlog lands in bounded batches.
+FILES_PER_TRIGGER = 100
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str = TOPIC,
