@@ -47,3 +47,25 @@ def test_shuffle_join_plan_matches_oracle(spark, con, name):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["processed_reviews", "sample_fixed_size", "first_n_reviews",
+                                  "stage_counts", "distinct_ids", "auc_exact"])
+def test_results_do_not_depend_on_shuffle_partitions(spark, name):
+    """SURVEY §5.5: the same rows at 2 and at 7 shuffle partitions (AQE off,
+    so the partition count really differs)."""
+    from check_oracle import rows_of
+
+    keys = {"spark.sql.shuffle.partitions": None, "spark.sql.adaptive.enabled": None}
+    old = {k: spark.conf.get(k) for k in keys}
+    out = []
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for parts in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            df = E.queries()[name](spark, SF_SMALL)
+            out.append(rows_of(df.columns, [tuple(r) for r in df.collect()]))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert out[0] == out[1]
