@@ -29,6 +29,8 @@ log = logging.getLogger(__name__)
 # Preprocessing sample size and seed.
 SAMPLE_ROWS = 5_000_000
 SAMPLE_SEED = 42
+# Upper bound on model sets trained by one segmented run (M8).
+MAX_SEGMENTS = 10_000
 
 
 def preprocess(reviews: DataFrame, games: DataFrame, users: DataFrame, out_dir: str,
@@ -134,7 +136,12 @@ def train_segments(processed: DataFrame, segment_col: str, model_dir: str,
     segment is trained from its own slice, saved under ``<dir>/<col>=<value>``.
     Written partitioned by the segment column, each slice reads one partition.
     """
-    values = [r[0] for r in processed.select(segment_col).distinct().collect()]
+    # A bounded list reaches the driver: at most MAX_SEGMENTS + 1 values are
+    # collected, and a high-cardinality column is refused, not loaded.
+    values = [r[0] for r in processed.select(segment_col).distinct().limit(MAX_SEGMENTS + 1).collect()]
+    if len(values) > MAX_SEGMENTS:
+        raise ValueError(f"{segment_col} has more than {MAX_SEGMENTS} segments; "
+                         "one model set per segment needs a coarser column")
     reports = {}
     for v in sorted(values, key=str):
         part = processed.filter(F.col(segment_col) == F.lit(v))

@@ -124,3 +124,11 @@ def test_prepare_partitioned_by_date(spark, tmp):
     plan = part._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan  # pruned to one folder
     assert part.count() == processed_reviews(spark, SF_SMALL).filter(F.col("date") == one).count()
+
+
+def test_train_segments_refuses_unbounded_segments(spark, tmp, monkeypatch):
+    monkeypatch.setattr(jobs, "MAX_SEGMENTS", 3)
+    data = T.labelled(processed_reviews(spark, SF_SMALL))
+    import pytest
+    with pytest.raises(ValueError):
+        jobs.train_segments(data, "review_id", os.path.join(tmp, "m"))
