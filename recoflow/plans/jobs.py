@@ -72,24 +72,37 @@ class TrainReport:
 
 
 def train_all(processed: DataFrame, model_dir: str, holdout: float = 0.0,
-              als_blocks: int | None = None) -> TrainReport:
-    """Plan A (models), M6: train only models that are missing or do not load."""
+              als_blocks: int | None = None, parallel: bool = True) -> TrainReport:
+    """Plan A (models), M6: train only models that are missing or do not load.
+
+    With ``parallel`` the three fits run as concurrent Spark jobs from driver
+    threads: LR and GBT train on capped sets and use few tasks, while ALS can
+    use the whole cluster, so running them one after another would leave
+    executors idle.
+    """
+    import threading
+    from concurrent.futures import ThreadPoolExecutor
+
     report = TrainReport()
     # LR's rows (first 500k by key) are the first 500k of GBT's rows (first
     # 750k): select GBT's set once from the large input and LR's from that
     # small persisted set, instead of two selections over the whole input.
     # Selected only if a model actually needs training.
     selected: dict[str, tuple[DataFrame, int]] = {}
+    lock = threading.Lock()
 
     def gbt_rows():
-        if "gbt" not in selected:
-            selected["gbt"] = TR.select_training_rows(processed, TR.GBT_ROWS)
-        return selected["gbt"]
+        with lock:
+            if "gbt" not in selected:
+                selected["gbt"] = TR.select_training_rows(processed, TR.GBT_ROWS)
+            return selected["gbt"]
 
     def lr_rows():
-        if "lr" not in selected:
-            selected["lr"] = TR.select_training_rows(gbt_rows()[0], TR.LR_ROWS)
-        return selected["lr"]
+        base = gbt_rows()[0]
+        with lock:
+            if "lr" not in selected:
+                selected["lr"] = TR.select_training_rows(base, TR.LR_ROWS)
+            return selected["lr"]
 
     jobs = {
         TR.LR_NAME: lambda: TR.train_lr(processed, holdout=holdout, selected=lr_rows()),
@@ -97,35 +110,45 @@ def train_all(processed: DataFrame, model_dir: str, holdout: float = 0.0,
         TR.ALS_NAME: lambda: TR.train_als_from_processed(processed, als_blocks),
     }
     try:
-        _train_each(jobs, model_dir, report)
+        if parallel:
+            with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+                futures = {name: pool.submit(_train_one, name, train, model_dir)
+                           for name, train in jobs.items()}
+                outcomes = {name: f.result() for name, f in futures.items()}
+        else:
+            outcomes = {name: _train_one(name, train, model_dir) for name, train in jobs.items()}
     finally:
         for rows, _ in selected.values():
             rows.unpersist()
+    for name in jobs:  # report in a fixed order
+        _record(report, name, *outcomes[name])
     return report
 
 
-def _train_each(jobs: dict, model_dir: str, report: TrainReport) -> None:
-    for name, train in jobs.items():
-        path = f"{model_dir}/{name}"
-        result: dict = {}
+def _train_one(name: str, train, model_dir: str) -> tuple[str, dict]:
+    """Load or train one model; returns (outcome, metrics)."""
+    result: dict = {}
 
-        def run(train=train, result=result):
-            res = train()
-            result.update(rows=res.rows, train_auc=res.train_auc, test_auc=res.test_auc,
-                          passed=res.passed)
-            return res
+    def run():
+        res = train()
+        result.update(rows=res.rows, train_auc=res.train_auc, test_auc=res.test_auc,
+                      passed=res.passed)
+        return res
 
-        try:
-            _, trained = TR.load_or_train(path, name, run)
-        except TR.NotEnoughData:
-            report.skipped.append(name)
-            continue
-        (report.trained if trained else report.reused).append(name)
-        if result:
-            report.metrics[name] = result
-            if result.get("passed") is False:
-                log.warning("%s AUC %.4f is below the target %.2f", name,
-                            result["train_auc"], TR.AUC_TARGET)
+    try:
+        _, trained = TR.load_or_train(f"{model_dir}/{name}", name, run)
+    except TR.NotEnoughData:
+        return "skipped", {}
+    return ("trained" if trained else "reused"), result
+
+
+def _record(report: TrainReport, name: str, outcome: str, result: dict) -> None:
+    getattr(report, outcome).append(name)
+    if result:
+        report.metrics[name] = result
+        if result.get("passed") is False:
+            log.warning("%s AUC %.4f is below the target %.2f", name,
+                        result["train_auc"], TR.AUC_TARGET)
 
 
 def train_segments(processed: DataFrame, segment_col: str, model_dir: str,
