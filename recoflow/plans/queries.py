@@ -328,9 +328,13 @@ def train_metrics(spark, sf_dir):
     labelled = _labelled(spark, sf_dir)
     gbt_sel = TR.select_training_rows(labelled, TR.GBT_ROWS)
     lr_sel = TR.select_training_rows(gbt_sel[0], TR.LR_ROWS)  # first 500k of the first 750k
+    from concurrent.futures import ThreadPoolExecutor
+
     try:
-        results = (TR.train_lr(labelled, holdout=0.2, selected=lr_sel),
-                   TR.train_gbt(labelled, holdout=0.2, selected=gbt_sel))
+        with ThreadPoolExecutor(max_workers=2) as pool:  # two concurrent Spark jobs
+            lr = pool.submit(TR.train_lr, labelled, holdout=0.2, selected=lr_sel)
+            gbt = pool.submit(TR.train_gbt, labelled, holdout=0.2, selected=gbt_sel)
+            results = (lr.result(), gbt.result())
     finally:
         lr_sel[0].unpersist()
         gbt_sel[0].unpersist()
