@@ -38,7 +38,10 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     parsed struct below the projection and inline ``from_json`` into it, parsing
     each message again for every branch.
     """
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    # Strict JSON, as the producer writes it: Spark would otherwise accept
+    # single-quoted strings, which standard JSON (and the SQL oracle) reject.
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+            "allowSingleQuotes": "false"}
     value = F.col(value_col)
     rec = F.struct(F.from_json(value, MESSAGE_PARSE_SCHEMA, opts).alias("m"), value.alias("v"))
 

@@ -71,3 +71,42 @@ def test_key_rank_is_monotone_with_sql_order(spark, keys):
 
     ranks = [r["r"] for r in sorted(rows, key=lambda r: sql_order(r["k"]))]
     assert all(a <= b for a, b in zip(ranks, ranks[1:]))
+
+
+_json_values = st.recursive(
+    st.none() | st.booleans() | st.integers(-10**6, 10**6) | st.text(max_size=5),
+    lambda children: st.lists(children, max_size=3)
+    | st.dictionaries(st.sampled_from(["app_id", "user_id", "hours", "x"]), children, max_size=3),
+    max_leaves=6)
+
+
+@SETTINGS
+@given(values=st.lists(_json_values, min_size=1, max_size=25),
+       single_quoted=st.lists(st.booleans(), min_size=25, max_size=25))
+def test_message_routing_matches_standard_json(spark, values, single_quoted):
+    """Land exactly the non-empty JSON objects; everything else is not landed.
+    Single-quoted text is not JSON (standard parsers reject it)."""
+    import json
+
+    from recoflow.functions.json_codec import decode_messages, landable, quarantined
+
+    texts = []
+    for v, sq in zip(values, single_quoted):
+        t = json.dumps(v)
+        texts.append(t.replace('"', "'") if sq and isinstance(v, dict) and v else t)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    dec = decode_messages(df)
+    landed = {r["i"] for r in landable(dec, keep=("i",)).collect()}
+    bad = {r["i"]: r["reason"] for r in quarantined(dec, keep=("i",)).collect()}
+
+    for i, t in enumerate(texts):
+        try:
+            v = json.loads(t)
+        except ValueError:
+            assert i not in landed and bad.get(i) == "malformed_json", t
+            continue
+        if isinstance(v, dict):
+            assert (i in landed) == bool(v), t
+            assert i not in bad, t
+        else:
+            assert i not in landed and bad.get(i) == "not_an_object", t
