@@ -176,6 +176,11 @@ def score(model_path: str, requests: DataFrame, out_path: str) -> None:
     """M4 as a batch job: requests table in, probabilities (with reasons) out."""
     from pyspark.ml import PipelineModel
 
+    from ..schemas import REQUEST_SCHEMA
+
+    # The declared request types (text id, double features), bad values -> NULL.
+    requests = requests.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
+                                 for f in REQUEST_SCHEMA.fields])
     ok = F.col("hours").isNotNull() & ~F.isnan("hours")
     features = request_features(requests.filter(ok))
     scored = SC.score_requests(PipelineModel.load(model_path), features)
