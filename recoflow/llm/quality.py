@@ -35,7 +35,7 @@ BUCKETS = 1 << 18
 DIM = 12
 EPOCHS = 6
 RATE = 0.4
-SAMPLE_DOCS = 2_000
+SAMPLE_DOCS = 1_000  # not above spark.sql.optimizer.windowGroupLimitThreshold, so that each task keeps no more
 SAMPLE_DOC_CHARS = 20_000
 SEED = 7
 _MIX = np.uint64(0x9E3779B97F4A7C15)
