@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.llm import cross_parse, html_text, quality, url_graph, warc
+from recoflow.llm import chosen_path, cross_parse, html_text, quality, url_graph, warc
 from recoflow.llm.common import id_remainder, table
 
 
@@ -39,10 +39,15 @@ def op9_cross_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
     "op8_url_graph": op8_url_graph,
     "op9_cross_parse": op9_cross_parse,
+    "op10_chosen_path": op10_chosen_path,
 }
