@@ -16,8 +16,10 @@ At each depth, for all nodes of all trees at once:
   a group of near copies, however large, with a linear number of comparisons;
 * links found so far are turned into components, and nodes within one component
   are done. A node whose members of different components make at most ``LEAF``
-  pairs per member is small and compared exhaustively (only across components;
-  the members of its largest component are not compared among themselves);
+  pairs per member is small and compared exhaustively, across components only.
+  Against a component of ``MANY`` or more members there, a document asks once
+  for the whole component, whose members are held against it block by block; so
+  a large group of near copies costs no row for each pair;
 * other nodes branch again. What is still large after ``MAX_DEPTH`` branchings
   is compared exhaustively too, so nothing is given up.
 
@@ -49,8 +51,10 @@ WIDTH = 5
 PERCENT = 80
 COORDS = 64
 TREES = 8
-LEAF = 64
-MAX_DEPTH = 6
+LEAF = 1024
+MANY = 8
+BLOCK = 256
+MAX_DEPTH = 4
 #: Of 64 four-bit tokens, a pair at 0.8 has 52 equal on average (deviation 3.1).
 MIN_EQUAL = 36
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -89,20 +93,17 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def _coefficients() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(11)
-    return (rng.integers(0, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
-            rng.integers(0, 1 << 63, COORDS, dtype=np.uint64))
+_RNG = np.random.default_rng(11)
+_A = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64)
 
 
 def minwise(s: np.ndarray) -> np.ndarray:
     """The smallest of all hashed shingles, per hash function (32 bits)."""
-    a, b = _coefficients()
-    least = np.full(COORDS, 0xFFFFFFFF, dtype=np.uint64)
-    for i in range(0, len(s), 4096):
-        h = s[i:i + 4096, None] * a[None, :] + b[None, :]
-        least = np.minimum(least, (h >> np.uint64(32)).min(axis=0))
-    return least.astype(np.uint32)
+    least = (s[None, :2048] * _A + _B).min(axis=1)
+    for i in range(2048, len(s), 2048):
+        least = np.minimum(least, (s[None, i:i + 2048] * _A + _B).min(axis=1))
+    return (least >> np.uint64(32)).astype(np.uint32)
 
 
 SIGNED = "doc_id bigint, n bigint, h1 bigint, h2 bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, sig array<int>"
@@ -165,10 +166,49 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return both.select("u", "v", "tu", "tv").mapInArrow(run, "u bigint, v bigint")
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of each id (its own id if it has no links)."""
-    comp = connected_components(links).select(F.col("id").alias("doc_id"), "component")
-    return rows.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+def confirm_in_blocks(asked: DataFrame, members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between documents and components: for each (doc_id, component) of ``asked``, one at least
+    if any member is similar enough. ``members``: (doc_id, component). Members go into blocks of about
+    ``BLOCK`` by a hash, and a task holds one block at a time; a document meets each block once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, sets, tokens, owners, sizes = None, [], [], None, None, None
+        for batch in batches:
+            u, v = [], []
+            cols = [batch.column(c).to_pylist() for c in ("component", "block", "asks", "doc_id")]
+            for component, block, asks, doc_id, text in zip(*cols, batch.column("text")):
+                if (component, block) != at:
+                    at, ids, sets, tokens = (component, block), [], [], None
+                s = shingles(text.as_py(), width)
+                if not asks:
+                    ids.append(doc_id)
+                    sets.append(s)
+                    continue
+                if not ids:
+                    continue
+                if tokens is None:
+                    sizes = np.array([len(x) for x in sets])
+                    tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+                    order = np.argsort(tokens, kind="stable")
+                    tokens, owners = tokens[order], owners[order]
+                lo, hi = np.searchsorted(tokens, s, "left"), np.searchsorted(tokens, s, "right")
+                n = hi - lo
+                hits = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                shared = np.bincount(owners[hits], minlength=len(sets))
+                for i in np.flatnonzero(100 * shared >= percent * (sizes + len(s) - shared))[:1]:
+                    u.append(max(doc_id, ids[i]))
+                    v.append(min(doc_id, ids[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    members = members.join(asked.select("component").distinct(), "component", "left_semi")
+    blocks = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    held = members.join(blocks, "component").select(
+        "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"), F.lit(0).alias("asks"), "doc_id")
+    asking = asked.join(blocks, "component").select(
+        "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "doc_id")
+    rows = held.union(asking).join(docs.select("doc_id", "text"), "doc_id")
+    rows = rows.repartition("component", "block").sortWithinPartitions("component", "block", "asks", "doc_id")
+    return rows.select("component", "block", "asks", "doc_id", "text").mapInArrow(run, "u bigint, v bigint")
 
 
 def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, leaf: int = LEAF,
@@ -178,33 +218,44 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
     member = ["node", "doc_id", "n", "k0", "k1", "k2", "k3"]
     key = F.xxhash64(F.lit("root"), "branch", "token").alias("node")
     nodes = classes.select("*", F.posexplode(F.slice("sig", 1, 2 * trees)).alias("branch", "token")).select(key, *member[1:])
-    links = None
+    links = tested = told = None
     for depth in range(1, max_depth + 1):
         ends = nodes.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
         nodes = materialize(nodes.join(ends, "node"), "nodes")
         pivots = nodes.select("doc_id", F.explode(F.array("lo", "hi")).alias("v")).where("doc_id <> v")
         pivots = pivots.select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v")).distinct()
-        links = _add(links, _checked(pivots, light, percent), docs, width, percent)
-        rows = _labelled(nodes, links)
-        # Nodes with members of several components; how many pairs those make.
-        mixed = rows.groupBy("node").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
-        rows = materialize(rows.join(mixed.select("node"), "node"), "mixed")
+        new = _untested(_checked(pivots, light, percent), tested)
+        links, tested = _plus(links, materialize(confirm(new, docs, width, percent), "links")), _plus(tested, new)
+        comp = connected_components(links).select(F.col("id").alias("doc_id"), "component")
+        rows = nodes.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        # Nodes with members of several components, and how many pairs those make.
+        rows = materialize(rows.select("component", *member), "labelled")
         by_label = rows.groupBy("node", "component").agg(F.count("*").alias("m"))
-        sizes = by_label.groupBy("node").agg(
-            F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares"),
-            F.max(F.struct("m", "component")).alias("top"))
+        sizes = by_label.groupBy("node").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares"))
         cross = (F.col("all") * F.col("all") - F.col("squares")) / 2
         small = F.lit(True) if depth == max_depth else cross <= leaf * F.col("all")
-        sizes = materialize(sizes.select("node", F.col("top.component").alias("top"), small.alias("small")), "sizes")
-        rows = rows.join(sizes, "node")
-        # Exhaustively: members outside the largest component, against all others.
-        few, every = rows.where("small and component <> top").alias("a"), rows.where("small").alias("b")
-        other = F.col("a.component") != F.col("b.component")
-        once = (F.col("b.component") == F.col("b.top")) | (F.col("a.doc_id") < F.col("b.doc_id"))
-        pairs = few.join(every, (F.col("a.node") == F.col("b.node")) & other & once & _alike("a", "b", percent))
-        pairs = pairs.select(F.greatest("a.doc_id", "b.doc_id").alias("u"), F.least("a.doc_id", "b.doc_id").alias("v")).distinct()
-        links = _add(links, pairs, docs, width, percent)
-        large = materialize(rows.where("not small").select(*member), "large")
+        sizes = sizes.where(cross > 0).select("node", small.alias("small"))
+        rows = materialize(rows.join(by_label.join(sizes, "node"), ["node", "component"]), "mixed")
+        large = rows.where("not small").select(*member)
+        # Small nodes, exhaustively: pairs of members of little components ...
+        few = rows.where(F.col("small") & (F.col("m") < MANY))
+        a, b = few.alias("a"), few.alias("b")
+        pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.doc_id") > F.col("b.doc_id"))
+                       & (F.col("a.component") != F.col("b.component")) & _alike("a", "b", percent))
+        new = _untested(pairs.select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct(), tested)
+        links, tested = _plus(links, materialize(confirm(new, docs, width, percent), "links")), _plus(tested, new)
+        # ... and members against the larger of two components, where any member of it here may be alike.
+        many = rows.where(F.col("small") & (F.col("m") >= MANY))
+        large_ones = many.select("node", F.col("component").alias("other"), F.col("m").alias("other_m")).distinct()
+        asks = rows.join(large_ones, "node").where(
+            "component <> other and (m < other_m or (m = other_m and component < other))").alias("a")
+        asks = asks.join(many.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.other") == F.col("b.component"))
+                         & _alike("a", "b", percent), "left_semi").select("doc_id", F.col("other").alias("component")).distinct()
+        total = comp.groupBy("component").agg(F.count("*").alias("size"))
+        asks = asks.join(total, "component").select("doc_id", "component", "size")
+        asks = materialize(asks if told is None else asks.join(told, ["doc_id", "component", "size"], "left_anti"), "asks")
+        links = _plus(links, materialize(confirm_in_blocks(asks.drop("size"), comp, docs, width, percent), "links"))
+        told = _plus(told, asks)
         if depth == max_depth or large.isEmpty():
             break
         at = F.pmod(F.xxhash64("node", "branch"), F.lit(COORDS)).cast("int") + 1
@@ -223,10 +274,12 @@ def _checked(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     return some.where(_alike("a", "b", percent)).select("a.u", "b.v")
 
 
-def _add(links: DataFrame | None, pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    pairs = materialize(pairs, "pairs")
-    found = materialize(confirm(pairs, docs, width, percent), "links")
-    return found if links is None else links.union(found)
+def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return materialize(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+
+
+def _plus(held: DataFrame | None, new: DataFrame) -> DataFrame:
+    return new if held is None else held.union(new)
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, leaf: int = LEAF,
