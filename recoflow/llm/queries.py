@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.llm import chosen_path, cross_parse, html_text, quality, url_graph, warc
+from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, url_graph, warc
 from recoflow.llm.common import id_remainder, table
 
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,6 +49,7 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_pstable": op3_pstable,
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
     "op8_url_graph": op8_url_graph,
