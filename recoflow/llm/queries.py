@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, url_graph, warc
+from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, suffix_dedup, url_graph, warc
 from recoflow.llm.common import id_remainder, table
 
 
@@ -32,6 +32,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False).drop("kept_text")
+
+
 def op8_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_graph.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pstable": op3_pstable,
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_graph": op8_url_graph,
     "op9_cross_parse": op9_cross_parse,
     "op10_chosen_path": op10_chosen_path,
