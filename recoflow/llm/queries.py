@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, suffix_dedup, url_graph, warc
+from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, raking, spaced_seed, suffix_dedup, url_graph, warc
 from recoflow.llm.common import id_remainder, table
 
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")).drop("text")
+
+
 def op3_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.link_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -32,6 +36,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op6_spaced_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seed.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False).drop("kept_text")
 
@@ -53,9 +61,11 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_raking": op2_raking,
     "op3_pstable": op3_pstable,
     "op4_warc": op4_warc,
     "op5_html_text": op5_html_text,
+    "op6_spaced_seed": op6_spaced_seed,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_url_graph": op8_url_graph,
     "op9_cross_parse": op9_cross_parse,

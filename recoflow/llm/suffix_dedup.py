@@ -121,10 +121,10 @@ def column_order(grid: np.ndarray, group: np.ndarray, core: int) -> Iterator[tup
         yield column, order
 
 
-def _documents(docs: DataFrame) -> DataFrame:
+def _documents(docs: DataFrame, *more: str) -> DataFrame:
     """Texts with a key (id, h1): the id (a null one before all) and hashes of the text."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"),
+    return docs.select("doc_id", *more, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), text.alias("text"),
                        F.octet_length(text).cast("long").alias("n"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("2"), text).alias("h2"))
 
 
@@ -243,7 +243,7 @@ def _cut(length: int, with_text: bool):
                 out.append((len(data), int(gone.sum()), spans, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore") if with_text else None))
             cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()))] if out else []
             if out:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *cols], names=["doc_id", "row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     return run
 
@@ -276,14 +276,18 @@ def removed_windows(rows: DataFrame, owners: DataFrame, length: int = LENGTH, gr
     return copies.union(runs).union(spread.select("p.id", "p.h1", "p.lo", F.col("p.lo").alias("hi")))
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK, with_text: bool = True) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK, with_text: bool = True, carry: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (null unless ``with_text``;
+    characters that a cut splits are left out of it) and, with ``carry``, ``row``, the whole input row."""
     rows = _documents(docs)
     same = ["n", "h1", "h2"]
     owners = materialize(rows.groupBy(*same).agg(F.min("id").alias("id")), "owners")
     gone = materialize(removed_windows(rows, owners, length, gram, hot, chunk), "windows")
     by_doc = gone.groupBy("id", "h1").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
     known = owners.join(by_doc, ["id", "h1"], "left").select(*same, F.col("id").alias("owner"), "los", "his")
-    # Only few documents are touched; the others need no more than their text.
-    out = rows.join(known, same).select("doc_id", "text", "los", "his", (F.col("id") > F.col("owner")).alias("copy"))
-    return out.mapInArrow(_cut(length, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    whole = docs.withColumn("row", F.struct("*")) if carry else docs.withColumn("row", F.lit(None).cast("string"))
+    out = _documents(whole, "row").join(known, same).select("doc_id", "row", "text", "los", "his", (F.col("id") > F.col("owner")).alias("copy"))
+    schema = out.select("doc_id", "row", *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")),
+                        F.lit("").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text")).schema
+    done = out.mapInArrow(_cut(length, with_text), schema)
+    return done if carry else done.drop("row")
