@@ -51,9 +51,11 @@ WIDTH = 5
 PERCENT = 80
 COORDS = 64
 TREES = 8
-LEAF = 1024
+LEAF = 256
 MANY = 8
 BLOCK = 256
+#: Texts to compare are picked by a broadcast of their ids up to this number (8 bytes each), by a shuffle beyond.
+MAX_IDS = 1_000_000
 MAX_DEPTH = 4
 #: Of 64 four-bit tokens, a pair at 0.8 has 52 equal on average (deviation 3.1).
 MIN_EQUAL = 36
@@ -143,6 +145,13 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ <= COORDS - MIN_EQUAL)
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of some documents, written once for several joins."""
+    ids = materialize(ids.distinct(), "ids")
+    few = F.broadcast(ids) if ids.count() <= MAX_IDS else ids
+    return materialize(docs.select("doc_id", "text").join(few, "doc_id", "left_semi"), "texts")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Of the pairs (u, v), those whose whole texts are similar enough. ``docs`` has one row per id."""
 
@@ -160,7 +169,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
                 keep.append(shared > 0 and 100 * shared >= percent * (len(both) - shared))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    text = docs.select("doc_id", "text")
+    if pairs.isEmpty():
+        return pairs
+    text = _texts(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")))
     both = (pairs.join(text.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), "u")
             .join(text.select(F.col("doc_id").alias("v"), F.col("text").alias("tv")), "v"))
     return both.select("u", "v", "tu", "tv").mapInArrow(run, "u bigint, v bigint")
@@ -200,13 +211,16 @@ def confirm_in_blocks(asked: DataFrame, members: DataFrame, docs: DataFrame, wid
                     v.append(min(doc_id, ids[i]))
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
+    if asked.isEmpty():
+        return asked.select(F.col("doc_id").alias("u"), F.col("component").alias("v"))
     members = members.join(asked.select("component").distinct(), "component", "left_semi")
     blocks = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     held = members.join(blocks, "component").select(
         "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"), F.lit(0).alias("asks"), "doc_id")
     asking = asked.join(blocks, "component").select(
         "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "doc_id")
-    rows = held.union(asking).join(docs.select("doc_id", "text"), "doc_id")
+    rows = materialize(held.union(asking), "asked")
+    rows = rows.join(_texts(docs, rows.select("doc_id")), "doc_id")
     rows = rows.repartition("component", "block").sortWithinPartitions("component", "block", "asks", "doc_id")
     return rows.select("component", "block", "asks", "doc_id", "text").mapInArrow(run, "u bigint, v bigint")
 
@@ -292,7 +306,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     # An id may stand for several sets; each has its own row, under the id that owns the set.
     classes = materialize(signed.join(owners, same).where("doc_id = rep").select("doc_id", "n", "k0", "k1", "k2", "k3", "sig")
                           .distinct(), "representatives")
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     repeats = _repeats(signed)
     links = find_links(classes, text.distinct() if repeats else text, width, percent, leaf, max_depth, trees)
     # Copies hang on their representative; representatives on the least id of their component.
