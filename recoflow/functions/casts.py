@@ -40,5 +40,7 @@ def to_double(col: Column | str) -> Column:
 
 def to_hours_or_zero(col: Column | str) -> Column:
     """P10: coerce to a number, anything unparseable (NULL or NaN) -> 0.0."""
-    parsed = F.coalesce(to_double(col), F.lit(0.0))
+    # The cast also takes Java's type suffixes ('5d', '5f'), which are no numbers here.
+    plain = F.when(~_c(col).cast("string").rlike(r"[0-9.][dDfF]\s*$"), _c(col))
+    parsed = F.coalesce(to_double(plain), F.lit(0.0))
     return F.nanvl(parsed, F.lit(0.0))

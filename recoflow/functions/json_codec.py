@@ -46,10 +46,14 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     rec = F.struct(F.from_json(value, MESSAGE_PARSE_SCHEMA, opts).alias("m"), value.alias("v"))
 
     def route(r: Column) -> Column:
-        bad = r["m"].isNull() | r["m"][CORRUPT_COLUMN].isNotNull()
+        # The parser stops at the end of the first value; wrapped in an array and in an object,
+        # a text with anything after it is no JSON in at least one of them.
+        whole = (F.try_parse_json(F.concat(F.lit("["), r["v"], F.lit("]"))).isNotNull()
+                 & F.try_parse_json(F.concat(F.lit('{"m":'), r["v"], F.lit(',"end":1}'))).isNotNull())
+        bad = r["m"].isNull() | r["m"][CORRUPT_COLUMN].isNotNull() | ~whole
         reason = (
             F.when(~bad, F.lit(None).cast("string"))
-            .when(F.try_parse_json(r["v"]).isNull(), F.lit(REASON_MALFORMED))
+            .when(F.try_parse_json(r["v"]).isNull() | ~whole, F.lit(REASON_MALFORMED))
             .otherwise(F.lit(REASON_NOT_OBJECT))
         )
         empty = (~bad) & F.trim(r["v"]).rlike(r"^\{\s*\}$")

@@ -20,9 +20,9 @@ from ..session import checkpoint_dir
 
 def distinct_ids(sample: DataFrame) -> DataFrame:
     """A2: distinct app and user IDs of a (sampled) review table."""
-    apps = sample.select(F.lit("app_id").alias("kind"), F.col("app_id").cast("string").alias("id"))
-    users = sample.select(F.lit("user_id").alias("kind"), F.col("user_id").cast("string").alias("id"))
-    return apps.distinct().unionByName(users.distinct())
+    ids = F.explode(F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("id"))
+                              for c in ("app_id", "user_id"))))
+    return sample.select(ids.alias("i")).select("i.kind", "i.id").distinct()
 
 
 def stage_counts(reviews: DataFrame, users: DataFrame, games: DataFrame,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import logging
+from urllib.parse import quote
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,6 @@ log = logging.getLogger(__name__)
 # Preprocessing sample size and seed.
 SAMPLE_ROWS = 5_000_000
 SAMPLE_SEED = 42
-# Upper bound on model sets trained by one segmented run (M8).
-MAX_SEGMENTS = 10_000
 
 
 def preprocess(reviews: DataFrame, games: DataFrame, users: DataFrame, out_dir: str,
@@ -155,20 +154,17 @@ def train_segments(processed: DataFrame, segment_col: str, model_dir: str,
                    holdout: float = 0.0, als_blocks: int | None = None) -> dict[str, TrainReport]:
     """M8: one model set per data segment (e.g. landing date).
 
-    Segment values come from a distributed ``distinct`` (a short list); each
-    segment is trained from its own slice, saved under ``<dir>/<col>=<value>``.
+    Segment values come from a distributed ``distinct``; NULL is a segment of its
+    own; each segment is trained from its own slice, saved under ``<dir>/<col>=<value>``.
     Written partitioned by the segment column, each slice reads one partition.
     """
-    # A bounded list reaches the driver: at most MAX_SEGMENTS + 1 values are
-    # collected, and a high-cardinality column is refused, not loaded.
-    values = [r[0] for r in processed.select(segment_col).distinct().limit(MAX_SEGMENTS + 1).collect()]
-    if len(values) > MAX_SEGMENTS:
-        raise ValueError(f"{segment_col} has more than {MAX_SEGMENTS} segments; "
-                         "one model set per segment needs a coarser column")
+    # Values are fetched partition by partition; the driver holds one partition's at a time.
     reports = {}
-    for v in sorted(values, key=str):
-        part = processed.filter(F.col(segment_col) == F.lit(v))
-        reports[str(v)] = train_all(part, f"{model_dir}/{segment_col}={v}", holdout, als_blocks)
+    values = processed.select(segment_col).distinct().orderBy(F.col(segment_col).asc_nulls_last())
+    for (v,) in values.toLocalIterator():
+        part = processed.filter(F.col(segment_col).eqNullSafe(F.lit(v)))
+        name = "__HIVE_DEFAULT_PARTITION__" if v is None else quote(str(v), safe=" -_.")
+        reports[str(v)] = train_all(part, f"{model_dir}/{segment_col}={name}", holdout, als_blocks)
     return reports
 
 
@@ -179,8 +175,10 @@ def score(model_path: str, requests: DataFrame, out_path: str) -> None:
     from ..schemas import REQUEST_SCHEMA
 
     # The declared request types (text id, double features), bad values -> NULL.
-    requests = requests.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                                 for f in REQUEST_SCHEMA.fields])
+    # Keys a request leaves out are NULL.
+    requests = requests.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in requests.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in REQUEST_SCHEMA.fields])
     ok = F.col("hours").isNotNull() & ~F.isnan("hours")
     features = request_features(requests.filter(ok))
     scored = SC.score_requests(PipelineModel.load(model_path), features)

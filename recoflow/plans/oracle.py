@@ -242,18 +242,18 @@ SELECT review_id, user_id, app_id, {LABEL_INT} AS recommended,
        {HOURS_OR_ZERO} AS hours, date AS timestamp
 FROM sample""")
 
-SQL["games_in_sample"] = with_ctes(REVIEWS_RAW, GAMES_RAW, SAMPLE, body="""
+SQL["games_in_sample"] = with_ctes(REVIEWS_RAW, GAMES_RAW, body="""
 SELECT app_id, title, price_final FROM games_raw
-WHERE app_id IN (SELECT app_id FROM sample)""")
+WHERE app_id IN (SELECT app_id FROM reviews_raw)""")
 
-SQL["users_in_sample"] = with_ctes(REVIEWS_RAW, USERS_RAW, SAMPLE, body="""
+SQL["users_in_sample"] = with_ctes(REVIEWS_RAW, USERS_RAW, body="""
 SELECT user_id, products, reviews FROM users_raw
-WHERE user_id IN (SELECT user_id FROM sample)""")
+WHERE user_id IN (SELECT user_id FROM reviews_raw)""")
 
-SQL["distinct_ids"] = with_ctes(REVIEWS_RAW, SAMPLE, body="""
-SELECT * FROM (SELECT DISTINCT 'app_id' AS kind, app_id AS id FROM sample)
+SQL["distinct_ids"] = with_ctes(REVIEWS_RAW, body="""
+SELECT * FROM (SELECT DISTINCT 'app_id' AS kind, app_id AS id FROM reviews_raw)
 UNION ALL
-SELECT * FROM (SELECT DISTINCT 'user_id' AS kind, user_id AS id FROM sample)""")
+SELECT * FROM (SELECT DISTINCT 'user_id' AS kind, user_id AS id FROM reviews_raw)""")
 
 SQL["first_n_reviews"] = with_ctes(*PROCESSED, body="""
 SELECT * FROM processed

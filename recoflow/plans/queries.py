@@ -204,20 +204,20 @@ def preprocess_sample(spark, sf_dir):
 
 @register("games_in_sample")
 def games_in_sample(spark, sf_dir):
-    """J3 + P4: games reviewed in the sample."""
-    return CL.games_projected(J.games_in_sample(T.games_raw(spark, sf_dir), _sample(spark, sf_dir)))
+    """J3 + P4: games that occur in the reviews."""
+    return CL.games_projected(J.games_in_sample(T.games_raw(spark, sf_dir), T.reviews_raw(spark, sf_dir)))
 
 
 @register("users_in_sample")
 def users_in_sample(spark, sf_dir):
-    """J4 + P4: users who reviewed in the sample."""
-    return CL.users_projected(J.users_in_sample(T.users_raw(spark, sf_dir), _sample(spark, sf_dir)))
+    """J4 + P4: users who occur in the reviews."""
+    return CL.users_projected(J.users_in_sample(T.users_raw(spark, sf_dir), T.reviews_raw(spark, sf_dir)))
 
 
 @register("distinct_ids")
 def distinct_ids(spark, sf_dir):
-    """A2: distinct app and user IDs of the sample."""
-    return A.distinct_ids(_sample(spark, sf_dir))
+    """A2: distinct app and user IDs of all reviews."""
+    return A.distinct_ids(T.reviews_raw(spark, sf_dir))
 
 
 @register("first_n_reviews")

@@ -179,7 +179,7 @@ def read_reviews_stream(spark: SparkSession, path: str, files_per_trigger: int |
     from ..schemas import REVIEWS_SCHEMA
 
     reader = (spark.readStream.schema(REVIEWS_SCHEMA).option("header", "true")
-              .option("escape", '"'))
+              .option("enforceSchema", "false").option("escape", '"'))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
     return reader.csv(path)

@@ -126,9 +126,9 @@ def test_prepare_partitioned_by_date(spark, tmp):
     assert part.count() == processed_reviews(spark, SF_SMALL).filter(F.col("date") == one).count()
 
 
-def test_train_segments_refuses_unbounded_segments(spark, tmp, monkeypatch):
-    monkeypatch.setattr(jobs, "MAX_SEGMENTS", 3)
-    data = T.labelled(processed_reviews(spark, SF_SMALL))
-    import pytest
-    with pytest.raises(ValueError):
-        jobs.train_segments(data, "review_id", os.path.join(tmp, "m"))
+def test_train_segments_keeps_the_null_segment(spark, tmp, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(jobs, "train_all", lambda part, path, *a: seen.setdefault(path, part.count()))
+    data = spark.createDataFrame([("a/b",), (None,), (None,)], "seg string")
+    jobs.train_segments(data, "seg", "m")
+    assert seen == {"m/seg=a%2Fb": 1, "m/seg=__HIVE_DEFAULT_PARTITION__": 2}

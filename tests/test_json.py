@@ -35,3 +35,9 @@ def test_encode_keeps_nulls(spark):
     assert json.loads(text) == {"app_id": "1", "user_id": None, "is_recommended": "true",
                                 "hours": "2.0", "date": "2024-01-02"}
     assert list(json.loads(text)) == list(MESSAGE_COLUMNS)
+
+
+def test_text_after_an_object_is_quarantined(spark):
+    texts = ['{"app_id":"1"}{"app_id":"2"}', '{"app_id":"1"} xyz', '{"app_id":"1"}] [', '{"app_id":"1"},"end":1} {']
+    dec = decode_messages(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert landable(dec).count() == 0 and quarantined(dec).count() == len(texts)
