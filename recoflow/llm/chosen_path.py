@@ -3,12 +3,13 @@
 A document is the set of its distinct ``width``-word shingles (64-bit hashes).
 Documents of one and the same set are one class, found with a partial minimum,
 and go on as a single representative. Each representative has a signature of
-``COORDS`` minwise tokens. A tree starts with all representatives in its root;
-a node branches by two coordinates of the signature, chosen by the node's path,
-and a child holds the representatives that have the same minwise token there.
-At a similarity of 0.8 a pair stays together in one of two children with
-probability 0.96; ``TREES`` independent trees, that is 16 first branches, miss a
-pair with a probability below 1e-8.
+``COORDS`` minwise tokens. A tree starts with all representatives in its root,
+whose children hold those that have the same minwise tokens at two coordinates,
+the tree's own. Any other node branches by two coordinates of the signature,
+chosen by its path, and a child holds the members that have the same token at one.
+At a similarity of 0.8 a pair stays together in a root's child with probability
+0.64, and in one of two later children with 0.96; ``TREES`` independent trees
+miss a pair with a probability of 2e-9.
 
 At each depth, for all nodes of all trees at once:
 
@@ -50,7 +51,7 @@ from recoflow.llm.common import connected_components, materialize
 WIDTH = 5
 PERCENT = 80
 COORDS = 64
-TREES = 8
+TREES = 20
 LEAF = 256
 MANY = 8
 BLOCK = 256
@@ -230,12 +231,13 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
     """Links (u, v) between representatives that give the components of the whole similarity graph."""
     light = classes.drop("sig")
     member = ["node", "doc_id", "n", "k0", "k1", "k2", "k3"]
-    key = F.xxhash64(F.lit("root"), "branch", "token").alias("node")
-    nodes = classes.select("*", F.posexplode(F.slice("sig", 1, 2 * trees)).alias("branch", "token")).select(key, *member[1:])
+    first = [F.xxhash64(F.lit(t), F.element_at("sig", 2 * t + 1), F.element_at("sig", 2 * t + 2)) for t in range(trees)]
+    nodes = classes.select(F.explode(F.array(*first)).alias("node"), "doc_id")
     links = tested = told = None
     for depth in range(1, max_depth + 1):
         ends = nodes.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-        nodes = materialize(nodes.join(ends, "node"), "nodes")
+        # Most nodes hold one document; what the comparisons need is joined to the members of the others only.
+        nodes = materialize(nodes.join(ends, "node").join(light, "doc_id"), "nodes")
         pivots = nodes.select("doc_id", F.explode(F.array("lo", "hi")).alias("v")).where("doc_id <> v")
         pivots = pivots.select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v")).distinct()
         new = _untested(_checked(pivots, light, percent), tested)
@@ -275,7 +277,7 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
         at = F.pmod(F.xxhash64("node", "branch"), F.lit(COORDS)).cast("int") + 1
         nodes = (large.join(classes.select("doc_id", "sig"), "doc_id")
                  .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
-                 .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), *member[1:]))
+                 .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), "doc_id"))
     return links
 
 

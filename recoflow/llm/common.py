@@ -82,21 +82,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def settled(e: DataFrame) -> bool:
+        """Whether no vertex has two smaller neighbours, or a smaller and a larger one."""
+        ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            e.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return ends.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
     e = edges.select(F.greatest("u", "v").cast("long").alias("u"), F.least("u", "v").cast("long").alias("v"))
     e = materialize(e.where("u <> v").distinct(), "cc")
-    before = mark(e)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
+    rounds = 0
+    while not settled(e):
+        if rounds == max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         e = materialize(small_star(large_star(e)), "cc")
-        after = mark(e)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        rounds += 1
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
