@@ -136,9 +136,9 @@ def _anchor_rows(length: int, gram: int):
             for lo in range(0, len(parts), 500):  # pieces of some hundred documents
                 rows = np.repeat(np.arange(lo, min(lo + 500, len(parts))), count[lo:lo + 500])
                 if len(rows):
-                    keys = [batch.column(c).take(pa.array(rows)) for c in ("id", "h1")]
+                    key = batch.column("h1").take(pa.array(rows))
                     at, h = (np.concatenate([p[i] for p in parts[lo:lo + 500]]) for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([*keys, pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["id", "h1", "at", "hash"])
+                    yield pa.RecordBatch.from_arrays([key, pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["h1", "at", "hash"])
 
     return run
 
@@ -250,22 +250,28 @@ def _cut(length: int, with_text: bool):
 
 def removed_windows(rows: DataFrame, owners: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """(id, h1, lo, hi): runs of starts of windows that also start earlier, for one row per text."""
-    key = "id bigint, h1 bigint, at int, hash bigint"
-    found = materialize(rows.where(F.col("n") >= length).select("id", "h1", "text").mapInArrow(_anchor_rows(length, gram), key), "anchors")
-    again = found.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1").select("hash")
-    ats = found.join(again, "hash").groupBy("id", "h1").agg(F.collect_set("at").alias("ats"))
-    ats = ats.join(owners.select("id", "h1").distinct(), ["id", "h1"], "left_semi")
+    found = rows.where(F.col("n") >= length).select("h1", "text").mapInArrow(_anchor_rows(length, gram), "h1 bigint, at int, hash bigint")
+    found = materialize(found, "anchors")
+    # An anchor repeats if it is at two places; equal texts have it at one and the same.
+    where = F.xxhash64("h1", "at")
+    again = found.groupBy("hash").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a < b").select("hash")
+    ats = found.join(again, "hash").groupBy("h1").agg(F.collect_set("at").alias("ats"))
+    ats = owners.select("id", "h1").distinct().join(ats, "h1")
     texts = rows.select("id", "h1", "text").join(ats, ["id", "h1"])
     strings = texts.mapInArrow(_strings(length, gram), "id bigint, h1 bigint, hash bigint, lo int, core int, s binary")
+    last = F.length("s") - length
+    strings = strings.select("*", (F.col("lo") + last).alias("hi"), F.xxhash64("s").alias("s1"), F.xxhash64(F.lit("2"), "s").alias("s2"))
     strings = materialize(strings, "strings")
-    same = ["hash", "core", "s"]
+    # Equal strings are found by their hashes, and one of each is carried on with its bytes.
+    same = ["hash", "core", "s1", "s2"]
     place = F.struct("id", "h1", "lo")
-    least = materialize(strings.groupBy(*same).agg(F.min(place).alias("p")), "least")
+    least = strings.groupBy(*same).agg(F.min(F.struct("id", "h1", "lo", "s")).alias("p"))
+    least = materialize(least.select(*same, "p.*"), "least")
     # Every window of a string that has a smaller place elsewhere goes.
-    last = F.length("s") - length
-    copies = strings.join(least, same).where(place > F.col("p")).select("id", "h1", "lo", (F.col("lo") + last).alias("hi"))
+    smaller = least.select(*same, place.alias("p"))
+    copies = strings.drop("s").join(smaller, same).where(place > F.col("p")).select("id", "h1", "lo", "hi")
     per_hash = least.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1")
-    first = least.join(per_hash, "hash").select("hash", "c", F.col("p.id").alias("id"), F.col("p.h1").alias("h1"), F.col("p.lo").alias("lo"), "core", "s")
+    first = least.join(per_hash, "hash").select("hash", "c", "id", "h1", "lo", "core", "s")
     warm = first.where(F.col("c") <= hot).drop("c").repartition("hash").sortWithinPartitions("hash")
     runs = warm.mapInArrow(_resolve(length, gram, chunk), "id bigint, h1 bigint, lo int, hi int")
     spread = (first.where(F.col("c") > hot).select("hash", "id", "h1", "lo", "s", F.explode(F.sequence(F.lit(0), last)).alias("o"))
