@@ -38,6 +38,7 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recoflow.llm.common import connected_components, materialize
+from recoflow.llm.common import connected_components, materialize, powers
 
 WIDTH = 5
 PERCENT = 80
@@ -69,26 +70,46 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class _Words(dict):
-    """Hash of each word met; forgotten when there are many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_WORDS = _Words()
+_RNG = np.random.default_rng(11)
+_A = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64)
+_LETTER = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_PIECE = 1 << 16
+#: Longer words get a hash of their own; polynomials modulo 2**64 are weak only on long strings.
+_LONG = 64
+_NEXT_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of the words between ASCII white space, in order: one polynomial over the bytes of a piece of
+    text gives those of all its words at once."""
+    out, lo = [], 0
+    while lo < len(raw):
+        cut = _NEXT_BLANK.search(raw, lo + _PIECE)
+        hi = cut.start() if cut else len(raw)
+        data = np.frombuffer(raw, dtype=np.uint8, count=hi - lo, offset=lo)
+        inside = np.zeros(len(data) + 2, dtype=bool)
+        np.logical_not(_BLANK[data], out=inside[1:-1])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        up, down = powers(len(data) + 1)
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_LETTER[data] * up[:len(data)], out=total[1:])
+        h = _mix((total[end] - total[start]) * down[start])
+        for i in np.flatnonzero(end - start > _LONG).tolist():
+            h[i] = xxhash.xxh64_intdigest(raw[lo + start[i]:lo + end[i]])
+        out.append(h)
+        lo = hi
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """Sorted hashes of a text's distinct shingles. Bytes are lower-cased and
     split as ASCII, which leaves other letters and blanks alone."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+    if not len(h):
+        return h
     size = min(width, len(h))
     out = np.full(len(h) - size + 1, size, dtype=np.uint64)
     for k in range(size):
@@ -96,11 +117,6 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-_RNG = np.random.default_rng(11)
-_A = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _RNG.integers(0, 1 << 63, (COORDS, 1), dtype=np.uint64)
-
-
 def minwise(s: np.ndarray) -> np.ndarray:
     """The smallest of all hashed shingles, per hash function (32 bits)."""
     least = (s[None, :2048] * _A + _B).min(axis=1)

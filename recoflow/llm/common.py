@@ -51,6 +51,21 @@ def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Record
         yield rest
 
 
+_BASE = 0x5851F42D4C957F2D  # odd, so that powers have inverses modulo 2**64
+_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of polynomial hashes and of its inverse, at least n of each."""
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            p = np.full(size, b, dtype=np.uint64)
+            p[0] = 1
+            _POWERS[i] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS[0], _POWERS[1]
+
+
 def boundaries(keys: np.ndarray) -> np.ndarray:
     """Start offsets of the runs in ``keys``, and its length at the end."""
     if not len(keys):

@@ -42,32 +42,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recoflow.llm.common import boundaries, groups_of, materialize
+from recoflow.llm.common import boundaries, groups_of, materialize, powers
 
 LENGTH = 100
 GRAM = 32
 HOT = 20_000
 CHUNK = 16_000
-_BASE = 0x5851F42D4C957F2D  # odd, so that powers have inverses modulo 2**64
-_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least n of each."""
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, b, dtype=np.uint64)
-            p[0] = 1
-            _POWERS[i] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS[0], _POWERS[1]
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """Hash of every substring of ``gram`` bytes."""
     if len(data) < gram:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
     h = (total[gram:] - total[:-gram]) * down[:len(data) - gram + 1]
