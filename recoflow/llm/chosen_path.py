@@ -259,6 +259,8 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
         new = _untested(_checked(pivots, light, percent), tested)
         links, tested = _plus(links, materialize(confirm(new, docs, width, percent), "links")), _plus(tested, new)
         comp = connected_components(links).select(F.col("id").alias("doc_id"), "component")
+        # The components stand for all links so far.
+        links = comp.select(F.col("doc_id").alias("u"), F.col("component").alias("v")).where("u <> v")
         rows = nodes.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         # Nodes with members of several components, and how many pairs those make.
         rows = materialize(rows.select("component", *member), "labelled")

@@ -88,14 +88,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        return (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .where("u <> v").distinct())
+        return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
     def small_star(e: DataFrame) -> DataFrame:
-        # Every edge is (larger, smaller) here.
+        # Every edge is (larger, smaller) here; the smallest edge of a vertex stays, others are moved to its end.
         least = e.groupBy("u").agg(F.min("v").alias("m"))
-        moved = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+        moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        return e.join(least, "u").select(moved.alias("u"), F.col("m").alias("v")).distinct()
 
     def settled(e: DataFrame) -> bool:
         """Whether no vertex has two smaller neighbours, or a smaller and a larger one."""
