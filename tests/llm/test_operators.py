@@ -156,6 +156,29 @@ def test_leaks(spark):
     assert spaced_seed.contamination(frame, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_leaks_of_every_length_and_placing(spark):
+    r = np.random.default_rng(8)
+    items = {n: [f"i{n}_{k}" for k in range(n)] for n in [1, 2, 4, *range(5, 33)]}
+    docs = []
+    for n, w in items.items():
+        k = n // 5
+        for gone in [range(f, 5 * k, 5) for f in range(5)] + [range(k), range(n - k, n)] + [r.choice(n, k, replace=False) for _ in range(5)]:
+            gone = set(gone)
+            docs.append((n, k, " ".join(["a", *(f"x{i}" if i in gone else x for i, x in enumerate(w)), "b"])))
+        if k:
+            docs.append((n, k, " ".join(w[:n - k])))  # cut off by the end of the text
+            docs.append((n, k + 1, " ".join(f"x{i}" if i <= k else x for i, x in enumerate(w))))  # one word too many
+    frame = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()] + [(99, " ")], "item_id long, text string")
+    for seeds in (1_000_000, 100):
+        got = {x.doc_id: x for x in spaced_seed.contamination(frame, bench, max_seeds=seeds).collect()}
+        for i, (n, k, _) in enumerate(docs):
+            want = (True, (n - k) * 100 // n, n) if k <= n // 5 else (False, 0, None)
+            assert (got[i].contaminated, got[i].best_percent, got[i].first_item) == want, docs[i]
+    with pytest.raises(ValueError):
+        spaced_seed.find_items(frame, bench, percent=79)
+
+
 def test_raking_fits_the_margins(spark):
     rows = [(i, "a b c" if i % 3 else "A!! b!! c", ["en", "de"][i % 2], ["s", None][i % 5 == 0]) for i in range(60)] + [(None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
