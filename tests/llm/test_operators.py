@@ -188,3 +188,19 @@ def test_raking_fits_the_margins(spark):
     assert abs(weight["de"] / sum(weight.values()) - 0.75) < 1e-3 and max(r.probability for r in out) == 1
     assert not [r for r in out if r.text is None and r.sampled]
     assert raking.mix(docs.limit(0)).count() == 0
+
+
+def test_raking_keeps_its_share_beside_a_rare_document(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(["w"] * int(r.integers(1, 40))) + ["", "!! a"][i % 4 == 0], ["en", "de", "fr"][i % 13 % 3], f"s{i % 5 % 3}") for i in range(400)]
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, text string, lang string, source string")
+    before, after = raking.mix(frame(rows)).collect(), raking.mix(frame([*rows, (900, "a b c d e", None, "new")])).collect()
+    kept = lambda x: sum(d.n_tokens * d.probability for d in x if d.doc_id != 900)
+    total = sum(d.n_tokens for d in before)
+    assert abs(kept(before) / total - raking.KEEP) < 1e-3 and abs(kept(after) / total - raking.KEEP) < 2e-3
+    old = {d.doc_id: d.probability for d in before}
+    assert all(abs(d.probability - old[d.doc_id]) < 0.02 for d in after if d.doc_id != 900)
+    assert [d.probability for d in after if d.doc_id == 900] == [pytest.approx(1, abs=1e-3)]
+    # Many rare cells do not round to probability 0.
+    few = raking.mix(frame(rows), keep=1e-8).collect()
+    assert min(d.probability for d in few) > 0 and abs(kept(few) / total - 1e-8) < 1e-10
