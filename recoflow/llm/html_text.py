@@ -9,6 +9,15 @@ article's company, and fused into one score. Paths under the threshold, and
 paths inside page furniture (menus, adverts, reader comments and the like), are
 dropped; the blocks of the remaining paths make up a page's text.
 
+A list, a table or a heading of an article has short blocks, and its path need not
+be a sibling of the paragraphs'. So low paths inside a content container stay too,
+unless most of their text is links. The paths that reach the threshold speak for
+each element around them, up to the nearest ``article``, else ``main``, else to
+below ``body``; a container is an element for most of whose text they speak.
+
+Furniture is told by tags, roles and whole class names and ids, so an article in a
+wrapper such as ``has-sidebar`` is none.
+
 The path statistics are aggregated by Spark with partial sums. Their number is
 that of the distinct paths in all templates; up to ``MAX_SENT_PATHS`` content
 paths are sent to the tasks, which then cut each page a second time and keep the
@@ -45,10 +54,13 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "s samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE_TAGS = frozenset("head nav header footer aside form button select menu dialog object canvas audio video "
                            "fieldset input".split()) | frozenset(RAW)
-FURNITURE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar "
+_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar "
                             "navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related "
                             "comment comments reply replies discussion cookie cookies consent notice alert popup modal "
                             "share social newsletter subscribe login".split())
+#: Whole names: a word, a word with the place of its element, or with the kind of it.
+FURNITURE_WORDS = _WORDS | {f"{a}-{w}" for w in _WORDS for a in "site main page top bottom left right global".split()} | {
+    f"{w}-{b}" for w in _WORDS for b in "list section area box block container wrapper bar item items link links slot unit".split()}
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 
 _TOKEN = re.compile(r"""<!--(?P<note>.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)"""
@@ -56,36 +68,40 @@ _TOKEN = re.compile(r"""<!--(?P<note>.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _RAW_END = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in RAW}
 _PUNCT = re.compile(PUNCTUATION)
-FURNITURE = "!"
 
 
-def _step(tag: str, attrs: str) -> str:
-    """A tag's step in a path: its name and first class; page furniture starts with FURNITURE."""
+def _step(tag: str, attrs: str) -> tuple[str, bool]:
+    """A tag's step in a path, its name and first class, and whether it is page furniture."""
     if not attrs or "=" not in attrs:
-        return FURNITURE + tag if tag in FURNITURE_TAGS else tag
+        return tag, tag in FURNITURE_TAGS
     marks = {k.lower(): v.strip("\"'").lower().split() for k, v in _MARKS.findall(attrs)}
-    names = [w for k in ("class", "id") for n in marks.get(k, ()) for w in (n, *re.split(r"[-_]", n))]
+    names = [n.replace("_", "-") for k in ("class", "id") for n in marks.get(k, ())]
     furniture = tag in FURNITURE_TAGS or not FURNITURE_WORDS.isdisjoint(names) or not ROLES.isdisjoint(marks.get("role", ()))
-    step = f"{tag}.{marks['class'][0]}" if marks.get("class") else tag
-    return FURNITURE + step if furniture and tag not in ("html", "body") else step
+    # A step holds no slash, so that paths can be cut at slashes.
+    step = f"{tag}.{marks['class'][0]}".replace("/", "_") if marks.get("class") else tag
+    return step, furniture and tag not in ("html", "body")
 
 
-def blocks(page: str | None) -> Iterator[tuple[str, str]]:
-    """(path, text) of each text block of a page, in page order."""
-    stack: list[tuple[str, str]] = []  # (tag, step) of open block-level tags
+def blocks(page: str | None) -> Iterator[tuple[str, str, int]]:
+    """(path, text, characters in links) of each text block of a page outside page furniture, in page order."""
+    stack: list[tuple[str, str, bool]] = []  # (tag, step, furniture) of open block-level tags
     text: list[str] = []
+    linked, links = False, 0
     page, at = page or "", 0
 
-    def flush() -> tuple[str, str] | None:
-        said = " ".join("".join(text).split())
+    def flush() -> tuple[str, str, int] | None:
+        nonlocal links
+        said, n = " ".join("".join(text).split()), links
         text.clear()
-        return ("/".join(s for _, s in stack), said) if said else None
+        links = 0
+        return ("/".join(s for _, s, _ in stack), said, min(n, len(said))) if said and not any(f for _, _, f in stack) else None
 
     while at < len(page):
         m = _TOKEN.search(page, at)
         start = m.start() if m else len(page)
         if start > at:
             text.append(_html.unescape(page[at:start]))
+            links += len(text[-1].strip()) if linked else 0
         if not m:
             break
         at = m.end()
@@ -94,6 +110,8 @@ def blocks(page: str | None) -> Iterator[tuple[str, str]]:
             continue
         end = m["end"] or m["end2"]
         if tag in INLINE:
+            if tag == "a":
+                linked = not end and "href" in (m["attrs"] or "").lower()
             if tag == "br":
                 text.append(" ")
             continue
@@ -108,7 +126,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, str]]:
         if tag in _RAW_END and not (m["attrs"] or "").endswith("/"):
             close = _RAW_END[tag].search(page, at)
             at = close.start() if close else len(page)
-            stack.append((tag, FURNITURE + tag))
+            stack.append((tag, tag, True))
             continue
         if tag in VOID:
             continue
@@ -122,7 +140,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, str]]:
                 break
             if stack[i][0] in stop:
                 break
-        stack.append((tag, _step(tag, m["attrs"] or "")))
+        stack.append((tag, *_step(tag, m["attrs"] or "")))
     if done := flush():
         yield done
 
@@ -132,33 +150,49 @@ def _path_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sums: dict[str, list[int]] = {}
         for page in batch["html"]:
-            for path, text in blocks(page):
-                if FURNITURE in path:
-                    continue
-                s = sums.setdefault(path, [0, 0, 0])
+            for path, text, links in blocks(page):
+                s = sums.setdefault(path, [0, 0, 0, 0])
                 s[0] += 1
                 s[1] += len(text)
                 s[2] += len(_PUNCT.findall(text))
-        yield pd.DataFrame([(p, *s) for p, s in sums.items()], columns=["path", "n", "chars", "marks"])
+                s[3] += links
+        yield pd.DataFrame([(p, *s) for p, s in sums.items()], columns=["path", "n", "chars", "marks", "links"])
 
 
 def path_ratios(pages: DataFrame) -> DataFrame:
-    """(path, n, chars, marks, score) of every path outside page furniture."""
-    sums = (pages.select("html").mapInPandas(_path_rows, "path string, n long, chars long, marks long")
-            .groupBy("path").agg(*(F.sum(c).alias(c) for c in ("n", "chars", "marks"))))
+    """(path, n, chars, marks, links, score) of every path outside page furniture."""
+    sums = (pages.select("html").mapInPandas(_path_rows, "path string, n long, chars long, marks long, links long")
+            .groupBy("path").agg(*(F.sum(c).alias(c) for c in ("n", "chars", "marks", "links"))))
     sums = materialize(sums.withColumn("parent", F.regexp_replace("path", "/?[^/]*$", "")), "paths")
     near = sums.groupBy("parent").agg((F.sum("chars") / F.sum("n")).alias("near_chars"), (F.sum("marks") / F.sum("n")).alias("near_marks"))
     both = sums.join(near, "parent")
     chars = (F.col("chars") / F.col("n") + F.col("near_chars")) / 2
     marks = (F.col("marks") / F.col("n") + F.col("near_marks")) / 2
-    return both.select("path", "n", "chars", "marks", (chars * F.log1p(1 + marks)).alias("score"))
+    return both.select("path", "n", "chars", "marks", "links", (chars * F.log1p(1 + marks)).alias("score"))
 
 
 def content_paths(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Paths whose score reaches ``threshold`` times the mean score of all text, by length."""
+    """Paths whose score reaches ``threshold`` times the mean score of all text, by length, and others than link lists
+    in the containers of these."""
     scored = materialize(path_ratios(pages), "path-scores")
     mean = scored.agg(F.sum(F.col("score") * F.col("chars")) / F.sum("chars")).first()[0] or 0.0
-    return scored.where(F.col("score") >= threshold * mean).select("path")
+    scored = scored.select("path", "chars", "links", (F.col("score") >= threshold * mean).alias("high"))
+    # The elements around each path (its own included), outermost first, as (inner, upto): the path up to them, and
+    # whether a path that is high speaks for them.
+    steps = F.split("path", "/")
+    depth = F.sequence(F.lit(1), F.size(steps))
+    tags = F.transform(steps, lambda s: F.substring_index(s, ".", 1))
+    last = lambda tag: F.size(tags) - F.array_position(F.reverse(tags), tag) + 1
+    top = (F.when(F.array_contains(tags, "article"), last("article")).when(F.array_contains(tags, "main"), last("main"))
+           .otherwise(F.lit(1)))
+    around = scored.select("path", "chars", "links", "high", F.explode(F.transform(depth, lambda i: F.struct(
+        F.array_join(F.slice(steps, 1, i), "/").alias("inner"),
+        ((i >= top) & ~F.element_at(tags, i).isin("", "html", "body") & ((i < F.size(steps)) | F.element_at(tags, i).isin("article", "main"))).alias("spoken")))).alias("e"))
+    around = around.select("path", "chars", "links", "high", "e.*")
+    held = around.groupBy("inner").agg(F.sum("chars").alias("all"), F.sum(F.when(F.col("high") & F.col("spoken"), F.col("chars"))).alias("said"))
+    containers = held.where(2 * F.col("said") >= F.col("all")).select("inner")
+    inside = around.where(2 * F.col("links") <= F.col("chars")).join(containers, "inner", "left_semi").select("path")
+    return materialize(scored.where("high").select("path").union(inside).distinct(), "content-paths")
 
 
 def main_text(pages: DataFrame, threshold: float = THRESHOLD, max_sent: int = MAX_SENT_PATHS) -> DataFrame:
@@ -170,7 +204,7 @@ def main_text(pages: DataFrame, threshold: float = THRESHOLD, max_sent: int = MA
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                texts = ["\n\n".join(t for p, t in blocks(h.as_py()) if p in kept.value) for h in b.column("html")]
+                texts = ["\n\n".join(t for p, t, _ in blocks(h.as_py()) if p in kept.value) for h in b.column("html")]
                 yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())],
                                                  names=["page_id", "url", "text"])
 
@@ -180,7 +214,7 @@ def main_text(pages: DataFrame, threshold: float = THRESHOLD, max_sent: int = MA
 
         @F.pandas_udf(rows)
         def split(h: pd.Series) -> pd.Series:
-            return h.map(lambda x: [{"at": i, "path": p, "text": t} for i, (p, t) in enumerate(blocks(x)) if FURNITURE not in p])
+            return h.map(lambda x: [{"at": i, "path": p, "text": t} for i, (p, t, _) in enumerate(blocks(x))])
 
         cutup = materialize(pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", split("html").alias("b")), "blocks")
         found = (cutup.select("row", F.explode("b").alias("b")).select("row", "b.*").join(paths, "path", "left_semi")

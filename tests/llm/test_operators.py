@@ -108,6 +108,22 @@ def test_main_text(spark, sent):
     assert len(got) == 4 and texts[1] == "A & B\n\nSome longer, running text; of words.\n\nMore text, and more." and texts[2] == texts[3] == ""
 
 
+@pytest.mark.parametrize("sent", [50_000, 0])
+def test_main_text_keeps_lists_tables_and_headings(spark, sent):
+    long = "<p>" + "Running text, of some length; with marks. " * 8 + "</p>"
+    lists = "<ul><li>first point</li><li>second point</li></ul><table><tr><th>year</th><td>1999</td></tr></table><h2>Further on</h2>"
+    menu = "<ul class='topics'><li><a href='/a'>one topic</a></li><li><a href='/b'>another</a></li></ul>"
+    pages = {
+        1: f"<body><article><h1>The title</h1><div class='text'>{long * 4}</div><div class='facts'>{lists}</div></article><div class='teaser'><b>See this</b></div>{menu}</body>",
+        2: f"<body><div class='story'><h1>The title</h1><div>{long * 4}</div><section>{lists}</section>{menu}</div></body>",
+        3: f"<body><div class='has-sidebar header-fixed'><article class='!mt-0 w-1/2'><h1>The title</h1>{long * 4}{lists}</article><div class='site-footer'>Imprint</div></div></body>",
+    }
+    frame = spark.createDataFrame(list(pages.items()), "page_id long, html string").selectExpr("page_id", "'u' url", "html")
+    got = {r.page_id: r.text.split("\n\n") for r in html_text.main_text(frame, max_sent=sent).collect()}
+    said = ["The title", *["Running text, of some length; with marks. " * 8] * 4, "first point", "second point", "year", "1999", "Further on"]
+    assert got == {i: [t.strip() for t in said] for i in pages}
+
+
 def test_urls(spark):
     link = '<a href="http://bad.net/x">x</a>'
     rows = [(1, "http://A.Example.net/en/x?y", ""), (2, "http://x.net", ""), (3, "http://x.net/", None), (4, None, ""), (5, "nothing", ""),
