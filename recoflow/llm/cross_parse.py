@@ -11,7 +11,9 @@ ones the first in order.
 Training needs at most ``SAMPLE_DOCS`` documents of at most ``SAMPLE_DOC_CHARS``
 characters and ``SAMPLE_CHARS`` symbols per language, picked by a hash of the id,
 whatever the size of the corpus; texts whose label a model of the others
-contradicts are left out. The model is sent to the tasks. Prediction is
+contradicts are left out. Every letter of every sample is a symbol, so the moves of
+all automata share one sparse array: a state is a place in it, its move by symbol c
+lies c cells further, and each cell names the state that owns it. The model is sent to the tasks. Prediction is
 one pass over whole texts without a shuffle. To step through many texts at once,
 texts are parsed in blocks of ``BLOCK`` symbols, each of which starts a phrase of
 its own; phrases of all blocks are added up. Case is folded, and every run of
@@ -26,6 +28,7 @@ are passed through untouched or not read.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +52,8 @@ class Model:
     langs: list[str]
     symbols: np.ndarray  # code point -> symbol
     width: int
-    moves: np.ndarray  # row of the next state (as an index of its first cell), 0 where there is none
+    moves: np.ndarray  # cell -> next state, 0 where there is none
+    owners: np.ndarray  # cell -> state that has the move
     roots: np.ndarray
     bits: np.ndarray  # log2 of each sample's length
 
@@ -84,6 +88,28 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def _placed(rows: list[dict[int, int]], start: int, width: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rows of moves laid over each other in cells from ``start`` on, without collisions: the next states and the owners
+    of the cells, and the place of state 0. Rows with most moves are placed first, each at the first free one of
+    random places; a quarter of the cells gets used."""
+    size = max(64, 4 * sum(map(len, rows)), 2 * len(rows))
+    pick, at, used = random.Random(len(rows)), [0] * len(rows), bytearray(size + width)
+    taken = set()
+    for i in sorted(range(len(rows)), key=lambda i: -len(rows[i])):
+        p = pick.randrange(size)
+        while p in taken or any(used[p + c] for c in rows[i]):
+            p = pick.randrange(size)
+        taken.add(p)
+        at[i] = p
+        for c in rows[i]:
+            used[p + c] = 1
+    moves, owners = np.zeros(size + width, dtype=np.int32), np.zeros(size + width, dtype=np.int32)
+    for i, row in enumerate(rows):
+        for c, to in row.items():
+            moves[at[i] + c], owners[at[i] + c] = start + at[to], start + at[i]
+    return moves, owners, start + at[0]
+
+
 def _symbols_of(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of all texts in one array, blanks collapsed, and where each text ends."""
     low = [t.lower() for t in texts]
@@ -115,28 +141,31 @@ def fit(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> Mode
             letters.update(c for t in taken for c in set(t) if c.isalpha())
     if not chosen:
         return None
-    table = np.full(0x110000, BLANK, dtype=np.uint8)
+    table = np.full(0x110000, BLANK, dtype=np.uint32)
     table[[c for c in range(0x110000) if chr(c).isalpha()]] = OTHER
-    known = sorted(letters)[:250]
+    known = sorted(letters)
     for i, c in enumerate(known):
         table[ord(c)] = FIRST + i
     width = FIRST + len(known)
-    parts, roots, bits, offset = [np.zeros(width, dtype=np.int32)], [], [], width
+    parts, owners, roots, bits, start = [np.zeros(width, dtype=np.int32)], [np.zeros(width, dtype=np.int32)], [], [], width
     for lang, taken in chosen.items():
         text: list[int] = []
         for t in taken:
             text += [*_symbols_of([t], table)[0].tolist(), 0]
-        rows = suffix_automaton(text)
-        grid = np.zeros((len(rows), width), dtype=np.int32)
-        for i, row in enumerate(rows):
-            for c, to in row.items():
-                grid[i, c] = offset + to * width
-        grid[:, [0, OTHER]] = 0
-        parts.append(grid.ravel())
-        roots.append(offset)
+        rows = [{c: to for c, to in row.items() if c} for row in suffix_automaton(text)]
+        moves, owner, root = _placed(rows, start, width)
+        parts.append(moves)
+        owners.append(owner)
+        roots.append(root)
         bits.append(np.log2(max(2, len(text))))
-        offset += grid.size
-    return Model(list(chosen), table, width, np.concatenate(parts), np.array(roots), np.array(bits))
+        start += len(moves)
+    return Model(list(chosen), table, width, np.concatenate(parts), np.concatenate(owners), np.array(roots), np.array(bits))
+
+
+def _next(model: Model, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The state each state moves to by a symbol, 0 where there is none."""
+    cell = state + symbol
+    return np.where(model.owners[cell] == state, model.moves[cell], 0).astype(np.int64)
 
 
 def phrases(model: Model, sym: np.ndarray, ends: np.ndarray, block: int = BLOCK) -> np.ndarray:
@@ -150,7 +179,7 @@ def phrases(model: Model, sym: np.ndarray, ends: np.ndarray, block: int = BLOCK)
     order = np.argsort(-size, kind="stable")
     at, size, text = at[order], size[order], text[order]
     live = np.searchsorted(-size, -np.arange(1, block + 1), side="right")  # blocks longer than each step
-    first = model.moves[model.roots[:, None] + np.arange(model.width)[None, :]].astype(np.int64)
+    first = _next(model, model.roots[:, None].astype(np.int64), np.arange(model.width)[None, :])
     state = np.repeat(model.roots[:, None].astype(np.int64), len(at), axis=1)
     count = np.zeros(state.shape, dtype=np.int64)
     for j in range(block):
@@ -158,7 +187,7 @@ def phrases(model: Model, sym: np.ndarray, ends: np.ndarray, block: int = BLOCK)
         if not k:
             break
         c = sym[at[:k] + j].astype(np.int64)
-        to = model.moves[state[:, :k] + c].astype(np.int64)
+        to = _next(model, state[:, :k], c)
         stuck = (to == 0) & (state[:, :k] != model.roots[:, None])  # a phrase ends before this symbol
         count[:, :k] += stuck
         to = np.where(stuck, first[:, c], to)

@@ -134,6 +134,37 @@ def test_urls(spark):
     assert got[1].verdict == got[4].verdict == "allow" and got[7].verdict == "block"
 
 
+def test_language_with_many_letters():
+    r = np.random.default_rng(5)
+    said = lambda first, n: [" ".join("".join(chr(first + int(x)) for x in r.choice(n, 3)) for _ in range(40)) for _ in range(12)]
+    # Letters of Han come in set pairs here, in one order in zh and in the other in ja.
+    pairs = lambda d: ["".join(chr(0x4E00 + 2 * int(x) + (j ^ d)) for x in r.integers(0, 400, 100) for j in (0, 1)) for _ in range(60)]
+    texts = {"en": said(97, 26), "ko": said(0xAC00, 600), "ja": pairs(1), "zh": pairs(0)}
+    model = cross_parse.fit(cross_parse.agreed({k: v[:-2] for k, v in texts.items()}))
+    assert model.width > 1000
+    for lang, own in texts.items():
+        assert cross_parse.predict(model, own[-2:])[0] == [lang] * 2, lang
+
+
+def test_language_moves_equal_the_automaton():
+    text = " ".join(WORDS[:60])
+    model = cross_parse.fit({"a": [text], "b": ["über " + BASE]})
+    for lang, own in (("a", text), ("b", "über " + BASE)):
+        sym = [*cross_parse._symbols_of([own.lower()], model.symbols)[0].tolist(), 0]
+        rows = cross_parse.suffix_automaton(sym)
+        at = {0: model.roots[model.langs.index(lang)]}
+        todo = [0]
+        while todo:
+            i = todo.pop()
+            moved = cross_parse._next(model, np.full(model.width, at[i], dtype=np.int64), np.arange(model.width))
+            assert {int(c) for c in np.flatnonzero(moved)} == set(rows[i]) - {0}
+            for c, to in rows[i].items():
+                if c and to not in at:
+                    at[to] = moved[c]
+                    todo.append(to)
+                assert not c or at[to] == moved[c]
+
+
 def test_language(spark):
     en, de = "the cat and the dog went to the house with that thing", "der hund und die katze gehen schnell nach dem haus"
     model = cross_parse.fit({"en": [en], "de": [de]})
