@@ -3,9 +3,12 @@
 A URL is first held against path rules; the longest fitting rule decides. Where
 no rule fits, its host's standing decides: hosts most of whose URLs the rules
 allow are trusted seeds, hosts most of whose URLs they block are distrusted
-seeds. Personalised PageRank carries trust along the links between hosts, and
-distrust against them (a host that links to blocked hosts is suspect). A host
-whose distrust exceeds its trust by ``threshold`` is blocked.
+seeds. Personalised PageRank carries trust along the links between hosts, each
+host sharing out its trust by its links. Distrust goes against them (a host that
+links to blocked hosts is suspect) and is not shared out: a host takes on the mean
+distrust of what its links lead to, damped, so that however many others link to a
+blocked host, each is as suspect as if it were alone. A host whose distrust exceeds
+its trust by ``threshold`` is blocked.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no
 rule, and is allowed; repeated rows are judged alike; null HTML has no links;
@@ -78,16 +81,13 @@ def spread(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds:
     if edges.isEmpty():
         return rank
     out = edges.groupBy("src").agg(F.sum("links").alias("n_out"))
-    into = edges.groupBy("dst").agg(F.sum("links").alias("n_in"))
-    e = materialize(edges.join(out, "src").join(into, "dst")
-                    .select("src", "dst", (F.col("links") / F.col("n_out")).alias("forward"),
-                            (F.col("links") / F.col("n_in")).alias("back")), "links")
+    e = materialize(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("n_out")).alias("share")), "links")
     for i in range(rounds):
         gained = (e.join(rank, e.src == rank.host)
-                  .select(F.col("dst").alias("host"), (F.col("trust") * F.col("forward")).alias("t"), F.lit(0.0).alias("d"))
+                  .select(F.col("dst").alias("host"), (F.col("trust") * F.col("share")).alias("t"), F.lit(0.0).alias("d"))
                   .union(e.join(rank, e.dst == rank.host)
                          .select(F.col("src").alias("host"), F.lit(0.0).alias("t"),
-                                 (F.col("distrust") * F.col("back")).alias("d")))
+                                 (F.col("distrust") * F.col("share")).alias("d")))
                   .groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
         rank = hosts.join(gained, "host", "left").select(
             "host",

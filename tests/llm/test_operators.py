@@ -134,6 +134,17 @@ def test_urls(spark):
     assert got[1].verdict == got[4].verdict == "allow" and got[7].verdict == "block"
 
 
+def test_linkers_of_popular_blocked_hosts(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">x</a>' for h in hosts)
+    rows = [("http://fair.com/", link("bad1000.net", *(f"o{i}.com" for i in range(9))))]
+    for n in (1, 2, 10, 1000):
+        rows += [(f"http://bad{n}.net/", "")] + [(f"http://l{n}x{i}.com/", link(f"bad{n}.net")) for i in range(n)]
+    frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r for r in url_graph.judge_urls(frame).collect()}
+    assert len({r.distrust for h, r in got.items() if h.startswith("l")}) == 1
+    assert all(r.verdict == ("allow" if h == "fair.com" else "block") for h, r in got.items())
+
+
 def test_language_with_many_letters():
     r = np.random.default_rng(5)
     said = lambda first, n: [" ".join("".join(chr(first + int(x)) for x in r.choice(n, 3)) for _ in range(40)) for _ in range(12)]
