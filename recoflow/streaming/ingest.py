@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,8 +107,8 @@ def read_json_lines(spark: SparkSession, path: str, files_per_trigger: int | Non
 
 
 def land_batch(batch: DataFrame, batch_id: int, out_dir: str, quarantine_dir: str,
-               max_records_per_file: int = BATCH_ROWS) -> None:
-    """K4 + F5 for one micro-batch: landable rows and quarantine, idempotently."""
+               max_records_per_file: int = BATCH_ROWS) -> int:
+    """K4 + F5 for one micro-batch: landable rows and quarantine, idempotently. Returns the messages read."""
     decoded = decode_messages(batch).persist()
     try:
         good = landable(decoded, keep=("msg_key",))
@@ -115,6 +116,7 @@ def land_batch(batch: DataFrame, batch_id: int, out_dir: str, quarantine_dir: st
          .parquet(f"{out_dir}/batch_id={batch_id}"))
         bad = quarantined(decoded, keep=("msg_key",))
         bad.write.mode("overwrite").parquet(f"{quarantine_dir}/batch_id={batch_id}")
+        return decoded.count()
     finally:
         decoded.unpersist()
 
@@ -128,22 +130,27 @@ def start_ingest(messages: DataFrame, out_dir: str, quarantine_dir: str, checkpo
     ``{"processingTime": "5 minutes"}`` (the default) for a file source, or
     ``{"availableNow": True}`` to drain what is there and stop (T3).
     """
+    done: list[dict] = []
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        rows = land_batch(batch, batch_id, out_dir, quarantine_dir)
+        done.append({"batchId": batch_id, "numInputRows": rows, "timestamp": datetime.now(timezone.utc).isoformat()})
+
     writer = (messages.writeStream
-              .foreachBatch(lambda df, bid: land_batch(df, bid, out_dir, quarantine_dir))
+              .foreachBatch(land)
               .option("checkpointLocation", checkpoint)
               .trigger(**(trigger or {"processingTime": BATCH_TIMEOUT})))
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start()
+    query = writer.start()
+    query.landed_batches = done
+    return query
 
 
 def progress_summary(query: StreamingQuery) -> list[dict]:
-    """T5: rows read per finished micro-batch, from the query's own progress."""
-    return [
-        {"batchId": p["batchId"], "numInputRows": p["numInputRows"],
-         "timestamp": p["timestamp"]}
-        for p in query.recentProgress
-    ]
+    """T5: rows read per finished micro-batch of a query that ``start_ingest`` returned, all of them (Spark's own
+    ``recentProgress`` holds the last 100 only)."""
+    return list(query.landed_batches)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

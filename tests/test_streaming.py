@@ -31,6 +31,21 @@ def test_two_halves_with_restart_equal_batch(spark, tmp):
     assert quarantined.count() == msgs.count() - expected.count() - msgs.filter("value = '{}'").count()
 
 
+def test_summary_holds_all_batches(spark, tmp):
+    src = os.path.join(tmp, "in")
+    T.messages_raw(spark, SF_SMALL).limit(10).select("value").repartition(5).write.text(src)
+    files = len([f for f in os.listdir(src) if f.endswith(".txt")])
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+    try:
+        q = _run(spark, src, tmp)
+    finally:
+        spark.conf.unset(key)
+    got = IN.progress_summary(q)
+    assert [p["batchId"] for p in got] == list(range(files)) and files > 2
+    assert sum(p["numInputRows"] for p in got) == 10
+
+
 def test_kafka_options():
     opts = IN.kafka_source_options("broker:9093")
     assert opts["subscribe"] == "game.reviews" and opts["startingOffsets"] == "earliest"
