@@ -18,10 +18,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language cannot be told (no letters at all) go."""
+    """Documents without letters go, and those that the language found does not explain (phrases of fewer than
+    ``cross_parse.EXPLAINED`` symbols, as in scripts of no language labelled). A null lang becomes the one found;
+    a given lang stays. With no labelled text to learn from, all documents with letters stay as they are."""
     docs = docs.select(*COLUMNS)
-    found = cross_parse.identify(docs, cross_parse.train(docs))
-    return found.where(F.col("lang_pred") != cross_parse.UNDETERMINED).select(*COLUMNS)
+    model = cross_parse.train(docs)
+    if model is None:
+        return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    found = cross_parse.identify(docs, model, explained_as="lang_explained").where("lang_explained")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

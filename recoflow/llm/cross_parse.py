@@ -19,6 +19,10 @@ texts are parsed in blocks of ``BLOCK`` symbols, each of which starts a phrase o
 its own; phrases of all blocks are added up. Case is folded, and every run of
 other characters than letters is one blank.
 
+A text is explained by the language found if its phrases have ``EXPLAINED`` symbols
+or more on average, the last one aside. Text in a language of the model has several
+times that; text in letters that no sample holds has one.
+
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 letters no sample holds are phrases of their own; with no labelled text every
 document is ``und``; repeated rows are judged alike; an empty table gives an
@@ -44,6 +48,7 @@ SAMPLE_CHARS = 40_000
 BLOCK = 512
 STEP_CHARS = 2_000_000
 UNDETERMINED = "und"
+EXPLAINED = 2
 BLANK, OTHER, FIRST = 1, 2, 3  # symbols: 0 ends a sample text, then blank, letters of no sample, letters
 
 
@@ -203,24 +208,31 @@ def phrases(model: Model, sym: np.ndarray, ends: np.ndarray, block: int = BLOCK)
     return out
 
 
-def predict(model: Model | None, texts: list[str]) -> tuple[list[str], list[float]]:
-    """Language and score of each text. The score is the second language's share
+def judge(model: Model | None, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
+    """Language and score of each text, and whether the language explains it. The score is the second language's share
     of the two least entropies: 0.5 if they are equal, 1 with one language."""
-    langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+    langs, scores, explained = [UNDETERMINED] * len(texts), [0.0] * len(texts), [False] * len(texts)
     if model is None or not texts:
-        return langs, scores
+        return langs, scores, explained
     sym, ends = _symbols_of(texts, model.symbols)
     starts = np.concatenate([[0], ends[:-1]])
     seen = np.concatenate([[0], np.cumsum(sym != BLANK)])
     letters = seen[ends] - seen[starts]
     n = np.maximum(1, ends - starts)
-    entropy = phrases(model, sym, ends) * model.bits / n[:, None]
+    count = phrases(model, sym, ends)
+    entropy = count * model.bits / n[:, None]
     best = np.argmin(entropy, axis=1)
     two = np.sort(entropy, axis=1)[:, :2]
     score = two[:, -1] / np.maximum(two.sum(axis=1), 1e-12) if entropy.shape[1] > 1 else np.ones(len(texts))
+    fits = (count[np.arange(len(texts)), best] - 1) * EXPLAINED < n
     for i in np.flatnonzero(letters > 0):
-        langs[i], scores[i] = model.langs[best[i]], float(min(1.0, max(0.0, score[i])))
-    return langs, scores
+        langs[i], scores[i], explained[i] = model.langs[best[i]], float(min(1.0, max(0.0, score[i]))), bool(fits[i])
+    return langs, scores, explained
+
+
+def predict(model: Model | None, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    return judge(model, texts)[:2]
 
 
 def train(docs: DataFrame, eligible: Column | None = None, sample_docs: int = SAMPLE_DOCS,
@@ -255,18 +267,20 @@ def agreed(samples: dict[str, list[str]], sample_chars: int = SAMPLE_CHARS) -> d
     return {lang: kept.get(lang) or texts for lang, texts in samples.items()}
 
 
-def identify(docs: DataFrame, model: Model | None, lang_as: str = "lang_pred", score_as: str = "lang_score") -> DataFrame:
-    """``docs`` with the predicted language and its score as last columns (in place of columns so named)."""
-    docs = docs.drop(lang_as, score_as)
+def identify(docs: DataFrame, model: Model | None, lang_as: str = "lang_pred", score_as: str = "lang_score",
+             explained_as: str | None = None) -> DataFrame:
+    """``docs`` with the predicted language, its score and, if named, whether it explains the text as last columns (in
+    place of columns so named)."""
+    new = [c for c in (lang_as, score_as, explained_as) if c]
+    docs = docs.drop(*new)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select("*", F.lit("").alias(lang_as), F.lit(0.0).alias(score_as)).schema
+    schema = docs.select("*", *(F.lit(v).alias(c) for c, v in zip(new, ("", 0.0, False)))).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, texts in text_pieces(batch):
-                langs, scores = predict(sent.value, texts)
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+                found = [pa.array(x, t) for x, t in zip(judge(sent.value, texts), (pa.string(), pa.float64(), pa.bool_()))]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *found[:len(new)]], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 

@@ -8,3 +8,16 @@ def test_stages_keep_the_columns(spark):
         out = stage(spark, docs, d)
         assert out.columns[:5] == docs.columns and 0 < out.count() <= docs.count(), name
     assert corpus_pipeline.identify_language(spark, docs.limit(0), d).count() == 0
+
+
+def test_language_fills_and_rejects(spark):
+    en, de = "the cat and the dog went to the house with that thing", "der hund und die katze gehen schnell nach dem haus"
+    rows = [(i, f"{en} {i}", "en") for i in range(4)] + [(i, f"{de} {i}", "de") for i in range(4, 8)] + [
+        (8, "the dog and the cat", None), (9, "die katze und der hund", None), (10, "die katze und der hund", "en"),
+        (11, "собака пошла домой", None), (12, "σκύλος και γάτα", None), (13, "123 !", "en"), (14, None, "en")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], schema)
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert got == {**dict.fromkeys(range(4), "en"), **dict.fromkeys(range(4, 8), "de"), 8: "en", 9: "de", 10: "en"}
+    unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) lang", "source", "n_chars")
+    assert corpus_pipeline.identify_language(spark, unlabelled, "").count() == 13
