@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recoflow.llm import chosen_path, cross_parse, html_text, pstable, quality, raking, spaced_seed, suffix_dedup, url_graph, warc
+from recoflow.llm import (chosen_path, cross_parse, html_text, phrase_automata, pstable, quality, raking, repair, spaced_seed, spelling,
+                          suffix_dedup, url_graph, warc)
 from recoflow.llm.common import id_remainder, table
 
 
@@ -59,6 +60,18 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
 
 
+def op11_count_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_automata.removed_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_raking": op2_raking,
@@ -70,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_graph": op8_url_graph,
     "op9_cross_parse": op9_cross_parse,
     "op10_chosen_path": op10_chosen_path,
+    "op11_count_trie": op11_count_trie,
+    "op12_phrase_automata": op12_phrase_automata,
+    "op13_cyk_repair": op13_cyk_repair,
 }
