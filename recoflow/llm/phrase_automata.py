@@ -7,13 +7,14 @@ A word goes if a window of ``WINDOW`` words that covers it also starts in a docu
    more texts recur; their windows are counted by hash with partial minima, which gives
    those that recur across documents and the place of the smallest document that has them.
    Neighbouring ones make a passage of that document.
-2. Compile automata. Passages go to shards by their document (a long one's to several), ``SHARD_WORDS`` words or so each;
+2. Compile automata. Passages go to shards by their document (a long one's to several), ``SHARD_BYTES`` or so each;
    a shard's anchor phrases become one Aho-Corasick automaton over its own word numbers.
 3. Stream documents. Every text that has an anchor phrase of a shard streams past the shard's
-   automaton, which finds every occurrence of its phrases; each is extended in both directions, word
-   by word, against the passage, and if the two share ``WINDOW`` words or more, those go from documents of
-   larger id. Documents of a busy shard are dealt over several tasks, each with the
-   shard's automaton, so a passage that a third of all documents hold is no hot key.
+   automaton (the words around such phrases, as far as a window reaches), which finds every occurrence of its
+   phrases; windows with one are compared, word by word, with the passage that has a window of that
+   hash, and runs of ``WINDOW`` equal words or more go from documents of larger id. The segments of a
+   busy shard are dealt over several tasks, each with the shard's automaton, so a passage that a third of
+   all documents hold is no hot key.
 
 Hashes only choose candidates; what is removed has been compared word by word. Exact copies of a
 text are one document, the smallest id; the other copies go whole.
@@ -27,7 +28,6 @@ are; texts may be of any length; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -41,10 +41,10 @@ from recoflow.llm.common import materialize, powers
 
 WINDOW = 50
 GRAM = 16
-SHARD_WORDS = 50_000
+SHARD_BYTES = 400_000
 PIECE = 20_000
 #: Bytes of text that stream past one copy of a shard's automaton.
-STREAM_BYTES = 32 << 20
+STREAM_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -102,24 +102,22 @@ def _scanned(window: int, gram: int):
 
 
 def _windows(window: int, gram: int):
-    """Windows of recurring phrases (column ``phrases``): hash, phrase, document, place of window and phrase."""
-    names = ["hash", "phrase", "id", "h1", "at", "core"]
+    """Windows of recurring phrases (column ``phrases``): hash, phrase, document and place."""
+    names = ["hash", "phrase", "id", "h1", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, n = [], 0
 
             def rows():
-                parts = [np.concatenate([x[i] for x in held]) for i in range(6)]
+                parts = [np.concatenate([x[i] for x in held]) for i in range(5)]
                 return pa.RecordBatch.from_arrays([pa.array(p) for p in parts], names=names)
 
             for i, h1, text, phrases in zip(batch.column("id").to_pylist(), batch.column("h1").to_pylist(), batch.column("text"), batch.column("phrases")):
                 h = word_hashes(_raw(text))
                 at, g = anchor_phrases(h, window, gram)
                 start = np.flatnonzero(np.isin(g[at].view(np.int64), phrases.values.to_numpy()))
-                core = at[start]
-                held.append((_window_hashes(h, window)[start].view(np.int64), g[core].view(np.int64), np.full(len(start), i), np.full(len(start), h1),
-                             start.astype(np.int64), core.astype(np.int64)))
+                held.append((_window_hashes(h, window)[start].view(np.int64), g[at[start]].view(np.int64), np.full(len(start), i), np.full(len(start), h1), start.astype(np.int32)))
                 n += len(start)
                 if n > 200_000:
                     yield rows()
@@ -130,24 +128,23 @@ def _windows(window: int, gram: int):
     return run
 
 
-def _passages(window: int, piece: int):
-    """A document's recurring windows (``places``: structs of window, phrase place and phrase) to passages: runs of
-    neighbouring windows, ``piece`` at most, as text, with the places of their phrases."""
+def _passages(window: int, gram: int, piece: int):
+    """A document's recurring windows (``places``) to passages: runs of neighbouring windows, ``piece`` at most, as
+    text, with their anchor phrases and the places of those."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for i, text, places in zip(batch.column("id").to_pylist(), batch.column("text"), batch.column("places")):
-                words = _raw(text).split()
-                at, core, phrase = (places.values.field(c).to_numpy() for c in ("at", "core", "phrase"))
-                order = np.argsort(at, kind="stable")
-                at, core, phrase = at[order], core[order], phrase[order]
-                new = np.flatnonzero((np.diff(at, prepend=at[0] - 2) > 1))
+                raw = _raw(text)
+                words, (anchor, g) = raw.split(), anchor_phrases(word_hashes(raw), window, gram)
+                at = np.sort(places.values.to_numpy())
+                new = np.flatnonzero(np.diff(at, prepend=at[0] - 2) > 1)
                 for lo, hi in zip(new, [*new[1:], len(at)]):
                     for a in range(int(lo), int(hi), piece):
                         b = min(a + piece, int(hi))
-                        some, first = np.unique(core[a:b], return_index=True)
-                        out.append((i, int(at[a]), b" ".join(words[at[a]:at[b - 1] + window]), (some - at[a]).tolist(), phrase[a:b][first].tolist()))
+                        cores = np.unique(anchor[at[a:b]])
+                        out.append((i, int(at[a]), b" ".join(words[at[a]:at[b - 1] + window]), cores - at[a], g[cores].view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())))],
                                                  names=["id", "at", "body", "cores", "phrases"])
@@ -155,74 +152,114 @@ def _passages(window: int, piece: int):
     return run
 
 
+def _segments(window: int, gram: int):
+    """The parts of a text that can hold a passage of a shard: around each of its anchor phrases that the shard has
+    (``routes``: structs of shard and phrase), as far as a window reaches; overlapping ones are one segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i, h1, text, routes in zip(batch.column("id").to_pylist(), batch.column("h1").to_pylist(), batch.column("text"), batch.column("routes")):
+                raw = _raw(text)
+                at, g = anchor_phrases(word_hashes(raw), window, gram)
+                words, cores = raw.split(), np.unique(at)
+                shard, phrase = (routes.values.field(c).to_numpy() for c in ("shard", "phrase"))
+                order = np.argsort(phrase, kind="stable")
+                shard, phrase, mine = shard[order], phrase[order], g[cores].view(np.int64)
+                lo, n = np.searchsorted(phrase, mine, "left"), np.searchsorted(phrase, mine, "right")
+                n -= lo
+                to = shard[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                core = np.repeat(cores, n)
+                order = np.lexsort((core, to))
+                to, core = to[order], core[order]
+                left, right = np.maximum(core - (window - gram), 0), np.minimum(core + window, len(words))
+                new = np.flatnonzero(np.concatenate([[True], (to[1:] != to[:-1]) | (left[1:] > right[:-1])])) if len(to) else []
+                for a, b in zip(new, [*new[1:], len(to)]):
+                    out.append((int(to[a]), i, h1, int(left[a]), b" ".join(words[left[a]:right[b - 1]])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                                 names=["shard", "id", "h1", "base", "body"])
+
+    return run
+
+
 class Automaton:
     """Passages of one shard, and an Aho-Corasick automaton over their anchor phrases. Words are numbers of
     the shard's vocabulary, three letters of 128 each in the automaton; words it does not know are 0."""
 
-    def __init__(self, passages: list[tuple[int, bytes, list[int]]], gram: int):
-        self.gram, self.number = gram, {}
-        self.owner = [p[0] for p in passages]
+    def __init__(self, passages: list[tuple[int, bytes, list[int]]], window: int, gram: int):
+        self.window, self.gram, self.number = window, gram, {}
         number = self.number
         self.words = [np.array([number.setdefault(w, len(number) + 1) for w in body.split()], dtype=np.int32) for _, body, _ in passages]
         if len(number) >= 1 << 21:
             raise ValueError("a shard has more distinct words than three letters can number")
         self.found = ahocorasick.Automaton()
-        self.places = places = defaultdict(list)  # of each phrase: (passage, place)
-        for p, (_, _, cores) in enumerate(passages):
+        for words, (_, _, cores) in zip(self.words, passages):
             for core in cores:
-                places[self.letters(self.words[p][core:core + gram])].append((p, core))
-        for letters in places:
-            self.found.add_word(letters, letters)
+                self.found.add_word(self.letters(words[core:core + gram]), True)
         self.found.make_automaton()
+        # Each window's passage and place, by its hash.
+        hashes = [_window_hashes(word_hashes(body), window) for _, body, _ in passages]
+        sizes = [len(h) for h in hashes]
+        hashes = np.concatenate(hashes)
+        passage, place = np.repeat(np.arange(len(passages)), sizes), np.concatenate([np.arange(n) for n in sizes])
+        owner = np.repeat(np.array([p[0] for p in passages], dtype=np.int64), sizes)
+        order = np.lexsort((owner, hashes))
+        self.hashes, self.passage, self.place, self.owner = hashes[order], passage[order], place[order], owner[order]
 
     @staticmethod
     def letters(numbers: np.ndarray) -> str:
         return (numbers[:, None] >> np.array([14, 7, 0]) & 127).astype(np.uint8).tobytes().decode("latin-1")
 
-    def shared(self, owner: int, raw: bytes, window: int) -> list[tuple[int, int]]:
+    def shared(self, owner: int, raw: bytes) -> list[tuple[int, int]]:
         """Runs [lo, hi) of ``window`` words or more that the text shares with passages of smaller documents."""
-        get = self.number.get
+        get, window = self.number.get, self.window
         words = np.fromiter((get(w, 0) for w in raw.split()), dtype=np.int32)
-        runs, covered = set(), {}
-        for end, letters in self.found.iter(self.letters(words)):
-            if (end + 1) % 3:
-                continue  # not at a word's border
-            at = (end + 1) // 3 - self.gram
-            for p, core in self.places[letters]:
-                if self.owner[p] >= owner or covered.get((p, at - core), 0) > at:
-                    continue
-                lo, hi = self._extended(words, self.words[p], at, core)
-                covered[p, at - core] = hi
-                if hi - lo >= window:
-                    runs.add((lo, hi))
-        return sorted(runs)
-
-    def _extended(self, words: np.ndarray, passage: np.ndarray, at: int, core: int) -> tuple[int, int]:
-        back = min(at, core)
-        differ = np.flatnonzero(words[at - back:at] != passage[core - back:core])
-        lo = at - back + int(differ[-1]) + 1 if len(differ) else at - back
-        ahead = min(len(words) - at, len(passage) - core)
-        differ = np.flatnonzero(words[at:at + ahead] != passage[core:core + ahead])
-        return lo, at + (int(differ[0]) if len(differ) else ahead)
+        starts = len(words) - window + 1
+        if starts < 1:
+            return []
+        ends = np.fromiter((end for end, _ in self.found.iter(self.letters(words))), dtype=np.int64)
+        ends = (ends[(ends + 1) % 3 == 0] + 1) // 3  # at borders of words
+        if not len(ends):
+            return []
+        hits = np.zeros(len(words) + 1, dtype=np.int64)
+        hits[ends - self.gram + 1] = 1  # phrases that start before a place
+        hits = np.cumsum(hits)
+        has = hits[window - self.gram + 1:window - self.gram + 1 + starts] > hits[:starts]
+        # The passage that a window is compared with is the one of its hash, of the smallest document.
+        h = _window_hashes(word_hashes(raw), window)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        some = np.flatnonzero(has & (self.hashes[at] == h) & (self.owner[at] < owner))
+        passage, shift = self.passage[at[some]], some - self.place[at[some]]
+        order = np.lexsort((some, shift, passage))
+        some, passage, shift = some[order], passage[order], shift[order]
+        new = np.flatnonzero(np.concatenate([[True], (passage[1:] != passage[:-1]) | (shift[1:] != shift[:-1]) | (some[1:] > some[:-1] + window)])) if len(some) else []
+        runs = []
+        for a, b in zip(new, [*new[1:], len(some)]):
+            lo, hi = int(some[a]), int(some[b - 1]) + window
+            same = np.concatenate([[False], words[lo:hi] == self.words[passage[a]][lo - shift[a]:hi - shift[a]], [False]])
+            edges = np.flatnonzero(same[1:] != same[:-1])
+            runs += [(lo + int(x), lo + int(y)) for x, y in zip(edges[::2], edges[1::2]) if y - x >= window]
+        return runs
 
 
 def _located(window: int, gram: int):
-    """Rows sorted by shard and task, passages before texts, to runs of words that go."""
+    """Rows sorted by shard and task, passages before segments of texts, to runs of words that go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, passages, automaton = None, [], None
         for batch in batches:
             out = []
-            for shard, part, streamed, i, h1, body, cores in zip(*(batch.column(c).to_pylist() for c in ("shard", "part", "streamed", "id", "h1")), batch.column("body"),
-                                                                 batch.column("cores").to_pylist()):
+            for shard, part, streamed, i, h1, base, body, cores in zip(*(batch.column(c).to_pylist() for c in ("shard", "part", "streamed", "id", "h1", "base")), batch.column("body"),
+                                                                       batch.column("cores").to_pylist()):
                 if (shard, part) != now:
                     now, passages, automaton = (shard, part), [], None
                 if not streamed:
                     passages.append((i, _raw(body), cores))
                     continue
                 if automaton is None:
-                    automaton = Automaton(passages, gram)
-                out += [(i, h1, lo, hi) for lo, hi in automaton.shared(i, _raw(body), window)]
+                    automaton = Automaton(passages, window, gram)
+                out += [(i, h1, base + lo, base + hi) for lo, hi in automaton.shared(i, _raw(body))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["id", "h1", "lo", "hi"])
 
@@ -251,7 +288,7 @@ def _texts(docs: DataFrame) -> DataFrame:
                        F.xxhash64(F.lit("2"), text).alias("h2"), text.cast("binary").alias("text"))
 
 
-def removed_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, piece: int = PIECE,
+def removed_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, piece: int = PIECE,
                   stream_bytes: int = STREAM_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256."""
     texts = _texts(docs)
@@ -264,28 +301,28 @@ def removed_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard
     having = found.join(again, "phrase", "left_semi").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.collect_set("phrase").alias("phrases"))
     having = materialize(texts.select("id", "h1", "h2", "text").join(having, ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"]), "having")
 
-    windows = having.mapInArrow(_windows(window, gram), "hash bigint, phrase bigint, id bigint, h1 bigint, at bigint, core bigint")
-    place = F.struct("id", "h1", "at", "core", "phrase")
-    windows = windows.groupBy("hash", "phrase").agg(F.min(place).alias("p"), F.max("id").alias("last")).where("p.id < last")
-    by_doc = windows.groupBy("p.id", "p.h1").agg(F.collect_list(F.struct("p.at", "p.core", "p.phrase")).alias("places"))
+    windows = having.mapInArrow(_windows(window, gram), "hash bigint, phrase bigint, id bigint, h1 bigint, at int")
+    windows = windows.groupBy("hash", "phrase").agg(F.min(F.struct("id", "h1", "at")).alias("p"), F.max("id").alias("last")).where("p.id < last")
+    by_doc = windows.groupBy("p.id", "p.h1").agg(F.collect_list("p.at").alias("places"))
     by_doc = having.select("id", "h1", "text").join(by_doc, ["id", "h1"])
-    passages = by_doc.mapInArrow(_passages(window, piece), "id bigint, at bigint, body binary, cores array<bigint>, phrases array<bigint>")
+    passages = by_doc.mapInArrow(_passages(window, gram, piece), "id bigint, at bigint, body binary, cores array<bigint>, phrases array<bigint>")
     passages = materialize(passages, "passages")
-    size = passages.agg(F.sum(F.size("cores")).alias("n")).first()["n"] or 0
-    # A phrase stands for about half the words of a window.
-    shards = max(1, -(-size * window // (2 * shard_words)))
+    size = passages.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
+    shards = max(1, -(-size // shard_bytes))
     passages = passages.withColumn("shard", F.pmod(F.xxhash64("id", F.floor(F.col("at") / piece)), F.lit(shards)).cast("int"))
 
     # A text goes to the shards that have a phrase of it from a smaller document.
     asked = passages.select("shard", "id", F.explode("phrases").alias("phrase")).groupBy("phrase", "shard").agg(F.min("id").alias("least"))
-    routes = having.select("id", "h1", F.octet_length("text").alias("n"), F.explode("phrases").alias("phrase")).join(asked, "phrase")
-    routes = materialize(routes.where("id > least").select("id", "h1", "n", "shard").distinct(), "routes")
-    parts = routes.groupBy("shard").agg(F.ceil(F.sum("n") / stream_bytes).cast("int").alias("parts"))
-    dealt = routes.join(parts, "shard").select("shard", F.pmod(F.xxhash64("id", "h1"), "parts").cast("int").alias("part"), "id", "h1")
-    streams = having.select("id", "h1", "text").join(dealt, ["id", "h1"]).select(
-        "shard", "part", F.lit(True).alias("streamed"), "id", "h1", F.col("text").alias("body"), F.lit(None).cast("array<bigint>").alias("cores"))
-    copies = passages.join(parts, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("streamed"), "id", F.lit(0).cast("long").alias("h1"), "body", "cores")
+    routes = having.select("id", "h1", F.explode("phrases").alias("phrase")).join(asked, "phrase").where("id > least")
+    routes = routes.groupBy("id", "h1").agg(F.collect_list(F.struct("shard", "phrase")).alias("routes"))
+    segments = having.select("id", "h1", "text").join(routes, ["id", "h1"]).mapInArrow(_segments(window, gram), "shard int, id bigint, h1 bigint, base bigint, body binary")
+    segments = materialize(segments, "segments")
+    parts = segments.groupBy("shard").agg(F.ceil(F.sum(F.octet_length("body")) / stream_bytes).cast("int").alias("parts"))
+    streams = segments.join(parts, "shard").select("shard", F.pmod(F.xxhash64("id", "h1", "base"), "parts").cast("int").alias("part"), F.lit(True).alias("streamed"),
+                                                   "id", "h1", "base", "body", F.lit(None).cast("array<bigint>").alias("cores"))
+    none = F.lit(0).cast("long")
+    copies = passages.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("streamed"),
+                                                  "id", none.alias("h1"), none.alias("base"), "body", "cores")
     rows = copies.union(streams).repartition("shard", "part").sortWithinPartitions("shard", "part", "streamed")
     runs = materialize(rows.mapInArrow(_located(window, gram), "id bigint, h1 bigint, lo bigint, hi bigint"), "runs")
 
