@@ -4,7 +4,7 @@ Encoding keeps missing fields as JSON ``null`` (the producer emits every key).
 Decoding is PERMISSIVE with a corrupt-record column, so arrays, scalars, JSON
 ``null`` and broken text are routed to a quarantine instead of failing the job.
 The field list is fixed: unknown keys are dropped, missing keys become NULL,
-and values are kept as text (numbers keep their JSON spelling).
+and values are kept as text (a number as the parser prints it: ``1.10`` is ``1.1``).
 """
 
 from __future__ import annotations
@@ -43,21 +43,23 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN,
             "allowSingleQuotes": "false"}
     value = F.col(value_col)
-    rec = F.struct(F.from_json(value, MESSAGE_PARSE_SCHEMA, opts).alias("m"), value.alias("v"))
+    # The parser stops at the end of the first value; wrapped in an object and in an array, a text
+    # with anything after it is no JSON in at least one of them. The message itself is read out of the object.
+    wrapped = F.concat(F.lit('{"m":'), value, F.lit(',"end":1}'))
+    rec = F.struct(F.from_json(wrapped, MESSAGE_PARSE_SCHEMA, opts).alias("w"), value.alias("v"))
 
     def route(r: Column) -> Column:
-        # The parser stops at the end of the first value; wrapped in an array and in an object,
-        # a text with anything after it is no JSON in at least one of them.
-        whole = (F.try_parse_json(F.concat(F.lit("["), r["v"], F.lit("]"))).isNotNull()
-                 & F.try_parse_json(F.concat(F.lit('{"m":'), r["v"], F.lit(',"end":1}'))).isNotNull())
-        bad = r["m"].isNull() | r["m"][CORRUPT_COLUMN].isNotNull() | ~whole
+        w = r["w"]
+        array = F.try_parse_json(F.concat(F.lit("["), r["v"], F.lit("]"))).isNotNull()
+        good = F.coalesce(w["m"].isNotNull() & w[CORRUPT_COLUMN].isNull() & (w["end"] == 1) & array, F.lit(False))
+        whole = array & F.try_parse_json(F.concat(F.lit('{"m":'), r["v"], F.lit(',"end":1}'))).isNotNull()
         reason = (
-            F.when(~bad, F.lit(None).cast("string"))
-            .when(F.try_parse_json(r["v"]).isNull() | ~whole, F.lit(REASON_MALFORMED))
-            .otherwise(F.lit(REASON_NOT_OBJECT))
+            F.when(good, F.lit(None).cast("string"))
+            .when(F.coalesce(whole, F.lit(False)) & F.try_parse_json(r["v"]).isNotNull(), F.lit(REASON_NOT_OBJECT))
+            .otherwise(F.lit(REASON_MALFORMED))
         )
-        empty = (~bad) & F.trim(r["v"]).rlike(r"^\{\s*\}$")
-        return F.struct(r["m"].alias("m"), reason.alias("reason"), empty.alias("empty"))
+        empty = good & F.trim(r["v"]).rlike(r"^\{\s*\}$")
+        return F.struct(w["m"].alias("m"), reason.alias("reason"), empty.alias("empty"))
 
     return df.withColumn("_routed", F.transform(F.array(rec), route))
 

@@ -7,7 +7,10 @@ games), so rows are dropped before they are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import label_to_int, to_double, to_hours_or_zero, to_int_id, to_label
@@ -44,17 +47,52 @@ def drop_incomplete(df: DataFrame, subset=REQUIRED_COLUMNS) -> DataFrame:
     return df.na.drop(subset=list(subset))
 
 
+#: F2: column and bounds, in the order in which a rejected row is given its reason.
+PLAUSIBLE = {"hours_numeric": (MIN_HOURS, MAX_HOURS), "price_numeric": (MIN_PRICE, MAX_PRICE),
+             "positive_ratio_numeric": (MIN_RATIO, MAX_RATIO)}
+DOUBLES = ("is_recommended_label", "hours_numeric")
+ACCEPTED = "accepted"
+
+
+def is_present(name: str) -> Column:
+    """F1 for one required column: not NULL, and not NaN."""
+    return F.col(name).isNotNull() & ~F.isnan(name) if name in DOUBLES else F.col(name).isNotNull()
+
+
+def is_complete() -> Column:
+    """F1 as a condition, never NULL."""
+    return reduce(and_, (is_present(c) for c in REQUIRED_COLUMNS))
+
+
+def in_range(name: str) -> Column:
+    """F2 for one column; NULL for NULL, false for NaN (NaN is above every number)."""
+    low, high = PLAUSIBLE[name]
+    return (F.col(name) >= low) & (F.col(name) <= high)
+
+
+def is_plausible() -> Column:
+    """F2 as a condition; NULL if a column is NULL."""
+    return reduce(and_, (in_range(c) for c in PLAUSIBLE))
+
+
 def in_plausible_range(df: DataFrame) -> DataFrame:
     """F2: keep 0.1<=hours<=10000, 0<=price<=200, 0<=ratio<=100.
 
     A NULL or NaN in any of the three columns fails the predicate.
     """
-    h, p, r = F.col("hours_numeric"), F.col("price_numeric"), F.col("positive_ratio_numeric")
-    return df.filter(
-        (h >= MIN_HOURS) & (h <= MAX_HOURS)
-        & (p >= MIN_PRICE) & (p <= MAX_PRICE)
-        & (r >= MIN_RATIO) & (r <= MAX_RATIO)
-    )
+    return df.filter(is_plausible())
+
+
+def outcome() -> Column:
+    """What F1 and F2 make of a typed row: ``accepted``, ``missing <column>`` (the first required one that
+    is absent or unreadable) or ``implausible <column>``. Rows that F1 drops come before those that F2 drops."""
+    missing = [(~is_present(c), f"missing {c}") for c in REQUIRED_COLUMNS]
+    odd = [(~F.coalesce(in_range(c), F.lit(False)), f"implausible {c}") for c in PLAUSIBLE]
+    (first, reason), *rest = missing + odd
+    says = F.when(first, F.lit(reason))
+    for condition, reason in rest:
+        says = says.when(condition, F.lit(reason))
+    return says.otherwise(F.lit(ACCEPTED))
 
 
 def typed_with_features(joined: DataFrame) -> DataFrame:

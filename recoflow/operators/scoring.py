@@ -7,6 +7,10 @@ distributed job.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALSModel
@@ -14,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_COLUMNS
+from ..session import scratch_dir
 from .training import assembler
 
 TOP_N = 10
@@ -40,38 +45,149 @@ def score_requests(model: PipelineModel, features: DataFrame, key: str = "reques
     )
 
 
-def flatten_recommendations(recs: DataFrame) -> DataFrame:
-    """P20: ``user, recommendations[]`` -> ``user, rank, app_id, score`` (rank from 1)."""
-    return recs.select("user", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user",
-        (F.col("pos") + 1).alias("rank"),
-        F.col("rec.item").alias("app_id"),
-        F.col("rec.rating").cast("double").alias("score"),
-    )
-
-
 def recommend_all(model: ALSModel, n: int = TOP_N) -> DataFrame:
-    """Top ``n`` items for every user known to the model, flattened."""
-    return flatten_recommendations(model.recommendForAllUsers(n))
+    """L5 + P20: top ``n`` items for every user known to the model: ``user, rank, app_id, score`` (rank from 1)."""
+    users = model.userFactors.select(F.col("id").alias("user"), "features")
+    return ranked(top_items(users, model.itemFactors, n)).where(F.col("rank").isNotNull()).drop("known")
 
 
-def recommend_for(model: ALSModel, users: DataFrame, n: int = TOP_N) -> DataFrame:
-    """M5 + F7: top ``n`` for each requested ``user``.
+def recommend_from(model: ALSModel, users: DataFrame, n: int, exclude: DataFrame | None = None) -> DataFrame:
+    """Top ``n`` for each distinct ``user`` that the model knows."""
+    return recommend_for(model, users, n, exclude).where(F.col("rank").isNotNull()).drop("known")
 
-    Only the requested users are scored (``recommendForUserSubset``), not all
-    users as the reference does before filtering one. Unknown users come back
-    as one row with ``known = false`` and NULL rank, item and score (the
-    reference returns an empty list). Items the user already rated are not
-    excluded, as in the reference.
-    """
-    # ALS ids are int: an id outside that range cannot be known, it is not an error
-    wanted = users.select(F.col("user").try_cast("int").alias("user")).distinct()
-    recs = recommend_from(model, wanted, n)
-    # A user with factors always gets items, so "known" needs no second join
-    # against the model's (large) user factor table.
-    return (wanted.join(recs, "user", "left")
-            .select("user", F.col("rank").isNotNull().alias("known"), "rank", "app_id", "score"))
 
+def recommend_for(model: ALSModel, users: DataFrame, n: int = TOP_N, exclude: DataFrame | None = None) -> DataFrame:
+    """M5 + F7: top ``n`` for each requested ``user``, ``user, known, rank, app_id, score``.
+
+    Only the requested users are scored, not all users as the reference does
+    before filtering one. The requested ids come back as they were asked; one
+    that is unknown (no factors, or no int at all) is one row with ``known =
+    false`` and NULL rank, item and score (the reference returns an empty list).
 
-def recommend_from(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    return flatten_recommendations(model.recommendForUserSubset(users, n))
+    ``exclude`` (``user, item``): items not to recommend, such as those a user has
+    rated; the next best take their place. A known user with nothing left to
+    recommend is one row with NULL rank. Without it nothing is excluded, as in
+    the reference.
+    """
+    wanted = users.select("user").distinct().withColumn("_id", F.col("user").try_cast("int"))
+    known = model.userFactors.select(F.col("id").alias("_id"), "features")
+    asked = wanted.join(known, "_id", "left")
+    if exclude is not None:
+        # At most every item of the catalogue per user, however often it was rated.
+        seen = exclude.select(F.col("user").try_cast("int").alias("_id"), F.col("item").cast("int").alias("item"))
+        seen = seen.groupBy("_id").agg(F.collect_set("item").alias("seen"))
+        asked = asked.join(seen, "_id", "left")
+    asked = asked.drop("_id")
+    return ranked(top_items(asked, model.itemFactors, n))
+
+
+def ranked(tops: DataFrame) -> DataFrame:
+    """P20: ``user, known, items, scores`` -> ``user, known, rank, app_id, score`` (rank from 1)."""
+    pairs = F.arrays_zip(F.col("items").alias("item"), F.col("scores").alias("score"))
+    return tops.select("user", "known", F.posexplode_outer(pairs).alias("pos", "rec")).select(
+        "user", "known", (F.col("pos") + 1).alias("rank"), F.col("rec.item").alias("app_id"), F.col("rec.score").alias("score"))
+
+
+# Items whose factors are sent to the tasks at a time, in bytes; a larger catalogue takes several rounds.
+GROUP_BYTES = 64 << 20
+# Items multiplied at a time, and users.
+BLOCK_ITEMS, BLOCK_USERS = 4096, 256
+
+
+def top_items(users: DataFrame, items: DataFrame, n: int, group_bytes: int = GROUP_BYTES,
+              block: int = BLOCK_ITEMS) -> DataFrame:
+    """Per row of ``users`` (``user, features`` and, if given, ``seen`` items to leave out): the ``n`` items
+    (``id, features``) of the largest products, ties by smaller id: ``user, known, items, scores``.
+
+    Items go by falling norm, in groups of ``group_bytes`` that are sent to the tasks, and
+    blocks. A product is at most the product of the norms, so a user whose n-th
+    score is above the block's bound needs none of the blocks that follow;
+    users are compared with a few blocks instead of with all items, and no join
+    pairs users with items. State between groups is a written table.
+    """
+    spark = users.sparkSession
+    if "seen" not in users.columns:
+        users = users.withColumn("seen", F.lit(None).cast("array<int>"))
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    first = items.select(F.size("features")).first()
+    size = max(1, group_bytes // (8 * first[0])) if first else 1
+    items = items.select(F.col("id").cast("int").alias("id"), "features", norm.alias("norm"))
+    groups = max(1, -(-items.count() // size))
+    if groups > 1:
+        path = scratch_dir(spark, "item-groups")
+        split = items.repartitionByRange(groups, F.col("norm").desc(), "id").withColumn("part", F.spark_partition_id())
+        split.write.partitionBy("part").parquet(path)
+        items = spark.read.parquet(path)
+    bounds = {r["part"]: r["top"] for r in items.groupBy("part").agg(F.max("norm").alias("top")).collect()} if groups > 1 else {}
+
+    none = "array<{}>".format
+    state = users.select("user", F.col("features").cast("array<double>").alias("features"), F.col("seen").cast("array<int>").alias("seen"),
+                         F.array().cast(none("int")).alias("items"), F.array().cast(none("double")).alias("scores"))
+    parts = sorted(bounds) or [None]
+    for i, part in enumerate(parts):
+        group = (items if part is None else items.where(F.col("part") == part)).orderBy(F.col("norm").desc(), "id").toPandas()
+        factors = np.array(group["features"].tolist(), dtype=np.float64).reshape(len(group), -1)
+        state = state.mapInArrow(_best_of(group["id"].to_numpy(np.int32), factors, group["norm"].to_numpy(), n, block), state.schema)
+        if i + 1 < len(parts):
+            path = scratch_dir(spark, "top-items")
+            state.write.parquet(path)
+            state = spark.read.schema(state.schema).parquet(path)
+    return state.select("user", F.col("features").isNotNull().alias("known"), "items", "scores")
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All products of rows, summed in the order of the factors, so that a score does not depend on which others
+    are computed with it (as it may in a matrix product)."""
+    out = np.zeros((len(a), len(b)))
+    for x, y in zip(a.T, b.T):
+        out += x[:, None] * y[None, :]
+    return out
+
+
+def _best_of(ids: np.ndarray, factors: np.ndarray, norms: np.ndarray, n: int, block: int):
+    """Merges one group of items, by falling norm, into each user's best ``n``."""
+    by_id = np.argsort(ids)
+
+    def merged(u: np.ndarray, seen: list[np.ndarray], best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        size = np.sqrt((u * u).sum(axis=1)) * (1 + 1e-9)  # products are rounded
+        least = np.array([s[-1] if len(s) == n else -np.inf for _, s in best])
+        for lo in range(0, len(ids), block):
+            open_ = np.flatnonzero(size * norms[lo] >= least)
+            if not len(open_):
+                return
+            products = _products(u[open_], factors[lo:lo + block])
+            for row, k in enumerate(open_):
+                score, left = products[row], seen[k]
+                if len(left):
+                    score[left[(left >= lo) & (left < lo + block)] - lo] = -np.inf
+                some = np.flatnonzero((score >= least[k]) & (score > -np.inf))
+                if len(some) > n:  # the n-th best and its ties
+                    some = some[score[some] >= np.partition(score[some], -n)[-n]]
+                item, value = np.concatenate([best[k][0], ids[lo + some]]), np.concatenate([best[k][1], score[some]])
+                order = np.lexsort((item, -value))[:n]
+                best[k] = item[order], value[order]
+                if len(order) == n:
+                    least[k] = value[order[-1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_USERS):
+                batch = whole.slice(at, BLOCK_USERS)
+                features, seen, items, scores = (batch.column(c).to_pylist() for c in ("features", "seen", "items", "scores"))
+                known = [i for i, f in enumerate(features) if f is not None]
+                best = [(np.array(i, dtype=np.int32), np.array(s, dtype=np.float64)) for i, s in zip(items, scores)]
+                if known and len(ids) and n > 0:
+                    left = []
+                    for i in known:
+                        s = np.array(seen[i] or [], dtype=np.int32)
+                        at_id = np.minimum(np.searchsorted(ids, s, sorter=by_id), len(ids) - 1)
+                        left.append(by_id[at_id][ids[by_id[at_id]] == s])
+                    some = [best[i] for i in known]
+                    merged(np.array([features[i] for i in known], dtype=np.float64), left, some)
+                    for i, b in zip(known, some):
+                        best[i] = b
+                columns = [batch.column(c) for c in ("user", "features", "seen")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([i for i, _ in best], pa.list_(pa.int32())), pa.array([s for _, s in best], pa.list_(pa.float64()))],
+                                                 names=["user", "features", "seen", "items", "scores"])
+
+    return run

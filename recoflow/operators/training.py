@@ -13,16 +13,21 @@ Differences from the reference, on purpose:
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURE_COLUMNS, KEY_COLUMN, LABEL_COLUMN
@@ -175,8 +180,8 @@ def train_gbt(processed: DataFrame, label: str = LABEL_COLUMN, holdout: float =
                             evaluate, selected)
 
 
-def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:
-    """M3 on ``(user, item, rating)``; all rows are used.
+def train_als(triples: DataFrame, blocks: int | None = None, count_rows: bool = False) -> TrainResult:
+    """M3 on ``(user, item, rating)``; all rows are used (and counted for the report with ``count_rows``; -1 otherwise).
 
     ALS iterates; its lineage is cut every 2 iterations in the shared
     checkpoint folder, so a lost executor does not replay every iteration.
@@ -185,19 +190,63 @@ def train_als(triples: DataFrame, blocks: int | None = None) -> TrainResult:
     """
     spark = triples.sparkSession
     checkpoint_dir(spark)
-    if not has_min_rows(triples):
+    rows = triples.count() if count_rows else -1
+    if (rows < MIN_TRAINING_ROWS) if count_rows else not has_min_rows(triples):
         raise NotEnoughData(f"not enough data for {ALS_NAME}")
     blocks = blocks or max(10, default_parallelism(spark))
     model = als_estimator(blocks=blocks).fit(triples)
-    return TrainResult(ALS_NAME, model, -1)
+    return TrainResult(ALS_NAME, model, rows)
 
 
-def train_als_from_processed(processed: DataFrame, blocks: int | None = None) -> TrainResult:
-    return train_als(als_triples(processed), blocks)
+def train_als_from_processed(processed: DataFrame, blocks: int | None = None, count_rows: bool = False) -> TrainResult:
+    return train_als(als_triples(processed), blocks, count_rows)
+
+
+SETTINGS = {
+    LR_NAME: {"rows": LR_ROWS, "maxIter": LR_MAX_ITER, "features": list(FEATURE_COLUMNS)},
+    GBT_NAME: {"rows": GBT_ROWS, "maxIter": GBT_MAX_ITER, "maxDepth": GBT_MAX_DEPTH, "seed": SEED, "features": list(FEATURE_COLUMNS)},
+    ALS_NAME: {"maxIter": ALS_MAX_ITER, "regParam": ALS_REG_PARAM, "seed": SEED},
+}
+
+
+def input_fingerprint(df: DataFrame) -> str:
+    """What a model was trained on, told without reading it: the columns, and names of the files behind them.
+    Spark gives every file it writes a new name, so a rewritten table has another fingerprint."""
+    digest = hashlib.sha256(df.schema.json().encode())
+    for name in sorted(df.inputFiles()):
+        digest.update(name.encode() + b"\n")
+    return digest.hexdigest()
+
+
+def _is_damage(error: Exception) -> bool:
+    """Whether a model does not load because its files are missing or are no model, rather than because
+    storage could not be reached."""
+    text = str(error)
+    return any(sign in text for sign in ("PATH_NOT_FOUND", "FileNotFoundException", "Input path does not exist", "InvalidInputException",
+                                         "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE", "is not a Parquet file",
+                                         "ParseException", "JsonParseException", "MappingException", "empty collection",
+                                         "requirement failed", "UNRESOLVED_COLUMN", "Expected class name"))
+
+
+def versions(spark: SparkSession, path: str) -> list[dict]:
+    """Published versions of a model, newest first. A version's manifest is written after its model, and Spark
+    shows a file only once its write is committed, so a version without one does not exist."""
+    try:
+        found = spark.read.schema("version string, created string, settings string, fingerprint string").json(f"{path}/versions/*/manifest").collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+    return sorted((r.asDict() for r in found), key=lambda r: (r["created"], r["version"]), reverse=True)
 
 
 def load_model(path: str, name: str):
-    """Load a saved model of the given kind."""
+    """Load a saved model of the given kind: the newest published version under ``path``, or the model
+    that ``path`` itself holds."""
+    spark = SparkSession.active()
+    published = versions(spark, path)
+    if published:
+        path = f"{path}/versions/{published[0]['version']}/model"
     return ALSModel.load(path) if name == ALS_NAME else PipelineModel.load(path)
 
 
@@ -206,15 +255,34 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_or_train(path: str, name: str, train) -> tuple[object, bool]:
-    """M6: reuse a model that loads; otherwise train, save and return it.
+def publish_model(model, path: str, name: str, fingerprint: str = "") -> str:
+    """K5 + M6: save as a new version; earlier ones stay. The manifest comes last and makes it visible, at once."""
+    spark = SparkSession.active()
+    version = uuid.uuid4().hex[:12]
+    save_model(model, f"{path}/versions/{version}/model")
+    manifest = [(version, datetime.now(timezone.utc).isoformat(), json.dumps(SETTINGS.get(name, {}), sort_keys=True), fingerprint)]
+    rows = spark.createDataFrame(manifest, "version string, created string, settings string, fingerprint string")
+    rows.coalesce(1).write.json(f"{path}/versions/{version}/manifest")
+    return version
 
-    Returns ``(model, trained)``.
+
+def load_or_train(path: str, name: str, train, fingerprint: str = "", same_input: bool = False) -> tuple[object, bool]:
+    """M6: reuse a model that loads; otherwise train, publish and return it.
+
+    Only a model that is missing, damaged or trained with other settings (or, with
+    ``same_input``, on other data) is trained anew; any other failure to read it, such as storage that does not
+    answer, is raised, and nothing is ever overwritten. Returns ``(model, trained)``.
     """
-    try:
-        return load_model(path, name), False
-    except Exception:  # missing or unreadable: train anew
-        log.info("model %s not found or invalid at %s; training", name, path)
+    published = versions(SparkSession.active(), path)
+    wanted = json.dumps(SETTINGS.get(name, {}), sort_keys=True)
+    stale = published and (published[0]["settings"] != wanted or (same_input and published[0]["fingerprint"] != fingerprint))
+    if not stale:
+        try:
+            return load_model(path, name), False
+        except Exception as e:
+            if not _is_damage(e):
+                raise
+    log.info("model %s is missing, damaged or out of date at %s; training", name, path)
     result = train()
-    save_model(result.model, path)
+    publish_model(result.model, path, name, fingerprint)
     return result.model, True

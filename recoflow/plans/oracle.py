@@ -390,3 +390,84 @@ SQL["preprocess_sample"] = with_ctes(REVIEWS_RAW, body=f"""
 SELECT review_id, user_id, app_id, {LABEL_INT} AS recommended,
        {HOURS_OR_ZERO} AS hours, date AS timestamp
 FROM (SELECT * FROM reviews_raw ORDER BY md5('42:' || review_id), review_id LIMIT 5000000)""")
+
+BY_KEY = "ORDER BY TRY_CAST(review_id AS BIGINT) NULLS LAST, review_id NULLS LAST"
+
+SQL["first_tenth_reviews"] = with_ctes(*PROCESSED, body=f"""
+SELECT * EXCLUDE (i) FROM (SELECT *, row_number() OVER ({BY_KEY}) AS i FROM processed)
+WHERE i <= (SELECT count(*) // 10 FROM processed)""")
+
+SQL["trimmed_half"] = with_ctes(REVIEWS_RAW, body=f"""
+SELECT * EXCLUDE (i) FROM (SELECT *, row_number() OVER ({BY_KEY}) AS i FROM reviews_raw)
+WHERE i <= (SELECT count(*) // 2 FROM reviews_raw)""")
+
+SQL["sample_third"] = with_ctes(REVIEWS_RAW, body=f"""
+SELECT review_id, user_id, app_id, {LABEL_INT} AS recommended, {HOURS_OR_ZERO} AS hours, date AS timestamp
+FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || review_id), review_id) AS i FROM reviews_raw)
+WHERE i <= (SELECT count(*) // 3 FROM reviews_raw)""")
+
+SQL["first_n_text_keys"] = with_ctes(REVIEWS_RAW, body="""
+SELECT * EXCLUDE (i) FROM (SELECT *, row_number() OVER (ORDER BY md5(user_id) NULLS LAST, CAST(review_id AS BIGINT)) AS i FROM reviews_raw)
+WHERE i <= (SELECT count(*) * 2 // 3 FROM reviews_raw)""")
+
+SQL["als_triples_unfiltered"] = with_ctes(*PROCESSED, body="""
+SELECT user_id_int AS "user", app_id_int AS item, hours_numeric AS rating FROM typed
+WHERE user_id_int IS NOT NULL AND app_id_int IS NOT NULL AND hours_numeric IS NOT NULL AND NOT isnan(hours_numeric)""")
+
+SQL["auc_by_levels"] = SQL["auc_exact"].replace("l_extendedprice AS score", "l_extendedprice - 30000.0::DOUBLE AS score")
+
+OUTCOME = """CASE WHEN app_id_int IS NULL THEN 'missing app_id_int' WHEN user_id_int IS NULL THEN 'missing user_id_int'
+            WHEN is_recommended_label IS NULL OR isnan(is_recommended_label) THEN 'missing is_recommended_label'
+            WHEN hours_numeric IS NULL OR isnan(hours_numeric) THEN 'missing hours_numeric'
+            WHEN NOT (hours_numeric >= 0.1::DOUBLE AND hours_numeric <= 10000.0::DOUBLE) THEN 'implausible hours_numeric'
+            WHEN NOT coalesce(price_numeric >= 0.0::DOUBLE AND price_numeric <= 200.0::DOUBLE, false) THEN 'implausible price_numeric'
+            WHEN NOT coalesce(positive_ratio_numeric >= 0.0::DOUBLE AND positive_ratio_numeric <= 100.0::DOUBLE, false) THEN 'implausible positive_ratio_numeric'
+            ELSE 'accepted' END"""
+SQL["rejected_reviews"] = with_ctes(*PROCESSED, body=f"""
+SELECT * FROM (SELECT review_id, {OUTCOME} AS reason FROM featured) WHERE reason <> 'accepted'""")
+SQL["routed_stage_counts"] = with_ctes(*PROCESSED, body=f"SELECT {OUTCOME} AS outcome, count(*) AS rows FROM featured GROUP BY 1")
+
+SQL["processed_by_date"] = SQL["processed_reviews"]
+SQL["csv_round_trip"] = SQL["processed_reviews"]
+
+SQL["landed_with_skipped_files"] = """
+SELECT (SELECT count(*) FROM events) AS rows, count(*) AS skipped, CAST(sum(length('no Parquet: ' || event_type) + 1) AS BIGINT) AS skipped_bytes
+FROM (SELECT DISTINCT event_type FROM events)"""
+
+SQL["request_scores_checked"] = with_ctes(REVIEWS_RAW, GAMES_RAW, REQUESTS, body="""
+SELECT model, request_id, coalesce(CAST(request_id AS BIGINT) % 10 <> 3, true) AS scored, true AS is_probability,
+       CASE WHEN CAST(request_id AS BIGINT) % 10 = 3 THEN 'invalid features' END AS reason
+FROM req, (VALUES ('M1_LR'), ('M2_GBT')) m(model) WHERE hours IS NOT NULL AND NOT isnan(hours)""")
+
+SQL["train_split_checked"] = with_ctes(*PROCESSED, body="""
+SELECT model, count(*) FILTER (NOT held) AS train_rows, count(*) FILTER (held) AS held_out, true AS passed, true AS passed_held_out
+FROM (SELECT ('0x' || left(md5(review_id), 8))::BIGINT < CAST(0.2 * 4294967296 AS BIGINT) AS held FROM processed), (VALUES ('M1_LR'), ('M2_GBT')) m(model)
+GROUP BY model""")
+
+SQL["feature_vectors"] = with_ctes(*PROCESSED, body="""
+SELECT review_id, 5 AS n, hours_numeric, price_numeric, positive_ratio_numeric, quality_score, price_category FROM processed
+WHERE quality_score IS NOT NULL AND NOT isnan(quality_score)""")
+
+SQL["class_one_scores"] = "SELECT l_orderkey, l_linenumber, l_extendedprice AS score FROM lineitem"
+
+SQL["flattened_tops"] = """
+WITH l AS (
+  SELECT o_custkey AS "user", l_partkey AS app_id, l_extendedprice AS score,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC) AS rank
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT c_custkey AS "user", rank IS NOT NULL AS known, CAST(rank AS INTEGER) AS rank, app_id, score
+FROM customer LEFT JOIN l ON c_custkey = "user" AND rank <= 10"""
+
+_ASKED = """
+triples AS (SELECT o_custkey AS u, l_partkey AS item FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+asked AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS "user", c_custkey AS u FROM customer
+  UNION ALL SELECT '9999999999' || CAST(c_custkey AS VARCHAR), NULL FROM customer WHERE c_custkey % 100 = 0),
+had AS (SELECT u, count(DISTINCT item) AS n FROM triples GROUP BY u),
+answers AS (SELECT "user", had.u IS NOT NULL AS known,
+                   CASE WHEN had.u IS NULL THEN 0 ELSE least(10, (SELECT count(DISTINCT item) FROM triples) - {seen}) END AS items
+            FROM asked LEFT JOIN had ON asked.u = had.u)"""
+_ANSWERS = """
+SELECT "user", known, items, items AS distinct_items, CAST(nullif(items, 0) AS INTEGER) AS last_rank, 0::BIGINT AS rises{more} FROM answers"""
+SQL["recommendations_checked"] = with_ctes(_ASKED.format(seen="0"), body=_ANSWERS.format(more=""))
+SQL["unseen_recommendations_checked"] = with_ctes(_ASKED.format(seen="had.n"), body=_ANSWERS.format(more=", 0::BIGINT AS seen_again"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.clean import drop_incomplete, in_plausible_range, typed_with_features
+from ..operators.clean import drop_incomplete, in_plausible_range, outcome, typed_with_features
 from ..operators.joins import join_games, join_users
 
 
@@ -27,3 +27,11 @@ def processed_reviews(reviews: DataFrame, users: DataFrame, games: DataFrame,
     """
     typed = typed_with_features(joined_reviews(reviews, users, games, users_unique))
     return in_plausible_range(drop_incomplete(typed))
+
+
+def routed_reviews(reviews: DataFrame, users: DataFrame, games: DataFrame,
+                   users_unique: bool = False) -> DataFrame:
+    """Every joined row with its ``outcome``: the flagship's rows are ``accepted``, the others carry the
+    reason for which F1 or F2 drops them."""
+    typed = typed_with_features(joined_reviews(reviews, users, games, users_unique))
+    return typed.withColumn("outcome", outcome())

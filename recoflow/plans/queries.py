@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import casts as C
@@ -25,10 +25,13 @@ from ..operators import sampling as S
 from ..operators import scoring as SC
 from ..operators import training as TR
 from ..schemas import FEATURE_COLUMNS, MESSAGE_COLUMNS
+from ..sinks.files import write_csv, write_processed
+from ..sources import files as SF
 from ..sources import tables as T
 from ..streaming import ingest as IN
 from .prepare import joined_reviews
 from .prepare import processed_reviews as _processed
+from .prepare import routed_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,8 +180,7 @@ def range_filtered(spark, sf_dir):
 @register("feature_complete_keys")
 def feature_complete_keys(spark, sf_dir):
     """keys that survive the assembler's handleInvalid='skip'."""
-    asm = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features", handleInvalid="skip")
-    return asm.transform(processed_reviews(spark, sf_dir)).select("review_id")
+    return TR.assembler().transform(processed_reviews(spark, sf_dir)).select("review_id")
 
 
 # ---------------------------------------------------------------- sampling
@@ -232,6 +234,36 @@ def trimmed_rows(spark, sf_dir):
     return S.trim_rows(T.reviews_raw(spark, sf_dir), TRIM_LINES)
 
 
+@register("first_tenth_reviews")
+def first_tenth_reviews(spark, sf_dir):
+    """L1 with a cut: the first tenth of the processed rows by review key."""
+    rows = processed_reviews(spark, sf_dir)
+    return S.first_n_by_key(rows, rows.count() // 10)
+
+
+@register("trimmed_half")
+def trimmed_half(spark, sf_dir):
+    """L2 with a cut: a trim to half of the reviews file (header included)."""
+    rows = T.reviews_raw(spark, sf_dir)
+    return S.trim_rows(rows, rows.count() // 2 + 1)
+
+
+@register("sample_third")
+def sample_third(spark, sf_dir):
+    """L3 with a cut that grows with the table: a third of the reviews, renamed."""
+    rows = T.reviews_raw(spark, sf_dir)
+    return CL.reviews_renamed(S.sample_fixed_size(rows, rows.count() // 3, "review_id", SAMPLE_SEED), keep=("review_id",))
+
+
+@register("first_n_text_keys")
+def first_n_text_keys(spark, sf_dir):
+    """L1 over keys that are no numbers (as landed messages have them), and tie: two thirds of the reviews by the
+    md5 of the user, then by the review."""
+    rows = T.reviews_raw(spark, sf_dir)
+    terms = {"user": (F.md5("user_id"), "text"), "review": (F.col("review_id").cast("bigint"), "long")}
+    return S.exact_first_n(rows, rows.count() * 2 // 3, terms)[0]
+
+
 # ---------------------------------------------------------------- aggregates
 @register("stage_counts")
 def stage_counts(spark, sf_dir):
@@ -253,6 +285,68 @@ def auc_exact(spark, sf_dir):
     return A.exact_auc(li, "l_extendedprice", "label")
 
 
+@register("als_triples_unfiltered")
+def als_triples_unfiltered(spark, sf_dir):
+    """F3 with rows to drop: ALS input from typed rows before F1 and F2."""
+    return CL.als_triples(CL.typed_with_features(joined_reviews(*raw(spark, sf_dir))))
+
+
+@register("auc_by_levels")
+def auc_by_levels(spark, sf_dir):
+    """A3 where prefix sums take several levels: windows of 1,000 scores at most."""
+    li = T.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_extendedprice") - 30000.0).alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    return A.exact_auc(li, "score", "label", window_rows=1000)
+
+
+@register("rejected_reviews")
+def rejected_reviews(spark, sf_dir):
+    """F1 + F2 as a routing: every joined review that is dropped, with the reason."""
+    return routed_reviews(*raw(spark, sf_dir)).where(F.col("outcome") != CL.ACCEPTED).select("review_id", F.col("outcome").alias("reason"))
+
+
+@register("routed_stage_counts")
+def routed_stage_counts(spark, sf_dir):
+    """K1 + A1: one routed write of all joined rows, by outcome and date; the rows per outcome from its footers."""
+    path = IN.scratch_dir(spark, "routed")
+    write_processed(routed_reviews(*raw(spark, sf_dir)), path, ["outcome", "date"])
+    return A.written_outcomes(spark, path)
+
+
+@register("processed_by_date")
+def processed_by_date(spark, sf_dir):
+    """K1: processed rows written partitioned by date and read back, dates as text."""
+    path = IN.scratch_dir(spark, "processed")
+    write_processed(processed_reviews(spark, sf_dir), path, ["date"])
+    return SF.read_processed(spark, path)
+
+
+@register("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    """Reviews, users and games written as CSV files, read by the fixed schemas, prepared."""
+    path = IN.scratch_dir(spark, "csv")
+    for name, df in zip(("reviews", "users", "games"), raw(spark, sf_dir)):
+        write_csv(df, f"{path}/{name}")
+    return _processed(SF.read_reviews_csv(spark, f"{path}/reviews"), SF.read_users_csv(spark, f"{path}/users"),
+                      SF.read_games_csv(spark, f"{path}/games"))
+
+
+@register("landed_with_skipped_files")
+def landed_with_skipped_files(spark, sf_dir):
+    """S4 + S5: landed batches with files among them that are no Parquet: rows that are read, and files that are
+    skipped, with their size. There is one broken file for each event type, and a sound one without rows."""
+    path = IN.scratch_dir(spark, "batches")
+    reviews = T.reviews_raw(spark, sf_dir).select(*MESSAGE_COLUMNS)
+    reviews.write.parquet(f"{path}/batch_id=1")
+    kinds = T.table(spark, sf_dir, "events").select("event_type").distinct()
+    kinds = kinds.select(F.concat(F.lit("no Parquet: "), "event_type").alias("value"), (F.crc32("event_type") + 2).alias("batch_id"))
+    kinds.write.mode("append").partitionBy("batch_id").text(path)
+    reviews.limit(0).write.parquet(f"{path}/batch_id=2")
+    read = SF.read_batches(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+    skipped = SF.skipped_files(spark, path).agg(F.count(F.lit(1)).alias("skipped"), F.sum("length").alias("skipped_bytes"))
+    return read.join(skipped, F.lit(True))
+
+
 @register("rmse")
 def rmse(spark, sf_dir):
     """RMSE of extended price / 1000 as a prediction of quantity."""
@@ -343,6 +437,92 @@ def train_metrics(spark, sf_dir):
         rows, "model string, train_rows long, train_auc double, test_auc double, passed boolean")
 
 
+@register("request_scores_checked")
+def request_scores_checked(spark, sf_dir):
+    """M1, M2, M4, P19, F4 as facts per request: scored or not, and why; each model's scores are probabilities."""
+    labelled, requests = _labelled(spark, sf_dir), request_features(spark, sf_dir)
+    # Requests whose features are not all there: the ratio is taken out again for ids ending in 3.
+    broken = F.when(F.col("request_id").try_cast("bigint") % 10 == 3, F.lit(None).cast("double")).otherwise(F.col("positive_ratio_numeric"))
+    requests = requests.withColumn("positive_ratio_numeric", broken)
+    scores = [SC.score_requests(train(labelled, evaluate=False).model, requests).withColumn("model", F.lit(name))
+              for name, train in ((TR.LR_NAME, TR.train_lr), (TR.GBT_NAME, TR.train_gbt))]
+    p = F.col("probability")
+    return scores[0].unionByName(scores[1]).select(
+        "model", "request_id", p.isNotNull().alias("scored"), F.coalesce((p >= 0) & (p <= 1), F.lit(True)).alias("is_probability"), "reason")
+
+
+@register("train_split_checked")
+def train_split_checked(spark, sf_dir):
+    """A4, A5 and the hold-out split as facts: rows trained on, rows held out, AUCs that pass the gate."""
+    labelled = _labelled(spark, sf_dir)
+    held = labelled.select(TR.holdout_flag(fraction=0.2).alias("held")).agg(F.count_if("held").alias("n")).first()["n"]
+    rows = []
+    for r in (TR.train_lr(labelled, holdout=0.2), TR.train_gbt(labelled, holdout=0.2)):
+        rows.append((r.name, r.rows, held, r.passed, TR.AUC_TARGET < r.test_auc <= 1.0))
+    return spark.createDataFrame(rows, "model string, train_rows long, held_out long, passed boolean, passed_held_out boolean")
+
+
+@register("feature_vectors")
+def feature_vectors(spark, sf_dir):
+    """M7: the assembled vector, element by element."""
+    v = TR.assembler().transform(processed_reviews(spark, sf_dir)).select("review_id", vector_to_array("features").alias("v"))
+    return v.select("review_id", F.size("v").alias("n"), *[F.col("v")[i].alias(c) for i, c in enumerate(FEATURE_COLUMNS)])
+
+
+@register("class_one_scores")
+def class_one_scores(spark, sf_dir):
+    """Element 1 of a vector, here (quantity, price, tax) of each order line."""
+    li = T.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", array_to_vector(F.array("l_quantity", "l_extendedprice", "l_tax")).alias("rawPrediction"))
+    return TR.class_one_score(li).select("l_orderkey", "l_linenumber", "score")
+
+
+@register("flattened_tops")
+def flattened_tops(spark, sf_dir):
+    """P20: lists of items and scores as ranked rows, here each customer's order lines of the highest price; customers
+    without orders are one row without a rank."""
+    lines = T.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    lines = lines.join(T.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    best = F.sort_array(F.collect_list(F.struct("l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey")), asc=False)
+    tops = lines.groupBy("o_custkey").agg(F.slice(best, 1, SC.TOP_N).alias("b"))
+    tops = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey")).join(tops, "o_custkey", "left")
+    return SC.ranked(tops.select(F.col("o_custkey").alias("user"), F.col("b").isNotNull().alias("known"),
+                                 F.col("b.l_partkey").alias("items"), F.col("b.l_extendedprice").alias("scores")))
+
+
+def _asked_users(spark, sf_dir):
+    """Every customer, and for each hundredth an id that is too large for the model and must stay apart."""
+    ids = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("user"))
+    return ids.unionByName(ids.where(F.col("user").cast("int") % 100 == 0).select(F.concat(F.lit("9999999999"), "user").alias("user")))
+
+
+def _per_user(recs, seen):
+    """Facts of an answer that hold for any model: per user its ranks, their order, and items seen before."""
+    again = recs.join(seen.select(F.col("user").cast("string").alias("user"), F.col("item").alias("app_id"), F.lit(1).alias("again")).distinct(),
+                      ["user", "app_id"], "left")
+    w = Window.partitionBy("user").orderBy("rank")
+    steps = again.withColumn("rises", F.col("score") > F.lag("score").over(w))
+    return steps.groupBy("user").agg(
+        F.max("known").alias("known"), F.count("rank").alias("items"), F.countDistinct("app_id").alias("distinct_items"), F.max("rank").alias("last_rank"),
+        F.count_if("rises").alias("rises"), F.count("again").alias("seen_again"))
+
+
+@register("recommendations_checked")
+def recommendations_checked(spark, sf_dir):
+    """M3, M5, L5, P20, F7 as facts per requested user: one answer for each id, known or not, min(10, items) ranked items."""
+    triples = T.interactions(spark, sf_dir)
+    recs = SC.recommend_for(TR.train_als(triples).model, _asked_users(spark, sf_dir))
+    return _per_user(recs, triples.limit(0)).drop("seen_again")
+
+
+@register("unseen_recommendations_checked")
+def unseen_recommendations_checked(spark, sf_dir):
+    """M5 with ``exclude``: the same, and no item that the user has had, min(10, unseen items) in all."""
+    triples = T.interactions(spark, sf_dir)
+    recs = SC.recommend_for(TR.train_als(triples).model, _asked_users(spark, sf_dir), exclude=triples)
+    return _per_user(recs, triples)
+
+
 @register("als_review_recommendations")
 def als_review_recommendations(spark, sf_dir):
     """M3 + L5 + P20: ALS on (user, app, hours) of processed reviews; top 10 per user."""

@@ -31,9 +31,10 @@ MESSAGE_SCHEMA = _strings(*MESSAGE_COLUMNS)
 BATCH_SCHEMA = MESSAGE_SCHEMA
 
 CORRUPT_COLUMN = "_corrupt_record"
-MESSAGE_PARSE_SCHEMA = T.StructType(
-    list(MESSAGE_SCHEMA.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
-)
+# A message wrapped as {"m": <message>, "end": 1}.
+MESSAGE_PARSE_SCHEMA = T.StructType([
+    T.StructField("m", MESSAGE_SCHEMA, True), T.StructField("end", T.IntegerType(), True), T.StructField(CORRUPT_COLUMN, T.StringType(), True),
+])
 
 # Model columns kept after the joins, in output order, plus the
 # stable review key that replaces a partition-dependent row id.

@@ -10,11 +10,16 @@ silently swapping columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import BATCH_SCHEMA, GAMES_SCHEMA, REVIEWS_SCHEMA, USERS_SCHEMA
+from ..schemas import BATCH_SCHEMA, GAMES_SCHEMA, MODEL_COLUMNS, REVIEWS_SCHEMA, USERS_SCHEMA
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
@@ -68,3 +73,42 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, multiline:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         return spark.createDataFrame([], schema)
+
+
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """Processed rows (K1). The raw model columns stay text when the table is partitioned by one of
+    them: Spark would make a date of a folder named ``date=2024-01-31``."""
+    found = spark.read.parquet(path).schema
+    return spark.read.schema(StructType([StructField(f.name, StringType(), True) if f.name in MODEL_COLUMNS else f for f in found])).parquet(path)
+
+
+#: A Parquet file without rows is smaller than this; of larger files only rows can tell that they were read.
+EMPTY_FILE_BYTES = 1 << 20
+
+
+def _has_footer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of small files, those that are no Parquet."""
+    for batch in batches:
+        broken = []
+        for blob in batch.column("content"):
+            try:
+                pq.ParquetFile(pa.BufferReader(blob.as_buffer())).metadata  # noqa: B018
+                broken.append(False)
+            except (pa.ArrowException, OSError):
+                broken.append(True)
+        yield batch.select(["path", "length"]).filter(pa.array(broken, pa.bool_()))
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, length`` of the files that :func:`read_batches` leaves out because they do not read as Parquet.
+
+    The listing (names and sizes, no contents) less the files that rows came from; of what
+    is left, small files are opened, because a sound file without rows gives none either. A file that
+    breaks after its first rows were read counts as read in part and is not listed.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    plain = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\\+", "%2B")), "^file:/+", "file:/")
+    read = read_batches(spark, path).select(plain(F.col("_metadata.file_path")).alias("file")).distinct()
+    silent = listing.select("path", "length", plain(F.col("path")).alias("file")).join(read, "file", "left_anti").select("path", "length")
+    small = listing.where(F.col("length") <= EMPTY_FILE_BYTES).select("path", "length", "content").join(silent.select("path"), "path", "left_semi")
+    return silent.where(F.col("length") > EMPTY_FILE_BYTES).unionByName(small.mapInArrow(_has_footer, "path string, length bigint"))

@@ -15,17 +15,16 @@ so it can both lose and repeat rows.
 from __future__ import annotations
 
 import logging
-import uuid
-from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.json_codec import decode_messages, encode_message, landable, quarantined
 from ..schemas import BATCH_SCHEMA, MESSAGE_COLUMNS
-from ..session import checkpoint_dir
+from ..session import default_parallelism, scratch_dir  # noqa: F401  (scratch_dir: imported from here by callers)
 
 log = logging.getLogger(__name__)
 
@@ -37,17 +36,19 @@ BATCH_TIMEOUT = "5 minutes"
 # Kafka: the trigger only polls; minOffsetsPerTrigger / maxTriggerDelay decide
 # when a batch closes (500k messages or 5 minutes, whichever comes first).
 KAFKA_POLL = "10 seconds"
-# File source: files per micro-batch, so a backlog lands in bounded batches.
-FILES_PER_TRIGGER = 100
+# File source: bytes that a micro-batch takes per task slot, so a backlog lands in batches that fit the cluster.
+BYTES_PER_SLOT = 256 << 20
 
 
 def kafka_source_options(bootstrap_servers: str, topic: str = TOPIC,
                          batch_rows: int = BATCH_ROWS, batch_timeout: str = BATCH_TIMEOUT,
-                         group_id: str = GROUP_ID) -> dict[str, str]:
+                         group_id: str = GROUP_ID, slots: int = 1) -> dict[str, str]:
     """S8 + T2: Kafka source options.
 
-    Earliest offsets for a new query; a micro-batch closes at ``batch_rows``
-    messages or, with fewer waiting, after ``batch_timeout``. Offsets live in
+    Earliest offsets for a new query; a micro-batch closes when ``batch_rows``
+    messages wait or, with fewer, after ``batch_timeout``. If more wait it takes up to
+    ``batch_rows`` for each of the cluster's task ``slots``, so the rate grows with the
+    cluster (files hold ``batch_rows`` at most in any case). Offsets live in
     the query checkpoint, not in the consumer group (the group id only names
     the client for broker-side quotas and monitoring).
     """
@@ -56,7 +57,7 @@ def kafka_source_options(bootstrap_servers: str, topic: str = TOPIC,
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(batch_rows),
+        "maxOffsetsPerTrigger": str(batch_rows * max(1, slots)),
         "minOffsetsPerTrigger": str(batch_rows),
         "maxTriggerDelay": delay,
         "kafka.group.id": group_id,
@@ -87,6 +88,7 @@ def kafka_message_key(partition, offset):
 
 def read_kafka(spark: SparkSession, bootstrap_servers: str, **kw) -> DataFrame:
     """Messages from a topic, with their position as the stable key."""
+    kw.setdefault("slots", default_parallelism(spark))
     raw = spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, **kw)).load()
     return raw.select(
         F.col("value").cast("string").alias("value"),
@@ -94,15 +96,23 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, **kw) -> DataFrame:
     )
 
 
-def read_json_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def bytes_per_trigger(spark: SparkSession) -> int:
+    """T2 for files: what a micro-batch takes, by the cluster's size."""
+    return BYTES_PER_SLOT * default_parallelism(spark)
+
+
+def read_json_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """A folder of JSON-lines files as a message stream (one message per line).
 
-    Files carry no offsets, so the key is md5 of the message text: equal keys
+    A micro-batch takes up to ``max_bytes`` (one file at least), or ``files_per_trigger``
+    files, or all that is there if neither is given. Files carry no offsets, so the key is md5 of the message text: equal keys
     mean identical messages, which are interchangeable.
     """
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.load(path).select("value", F.md5("value").alias("msg_key"))
 
 
@@ -122,35 +132,60 @@ def land_batch(batch: DataFrame, batch_id: int, out_dir: str, quarantine_dir: st
 
 
 def start_ingest(messages: DataFrame, out_dir: str, quarantine_dir: str, checkpoint: str,
-                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, query_name: str | None = None, batch_rows: int = BATCH_ROWS,
+                 batch_timeout: str = BATCH_TIMEOUT) -> StreamingQuery:
     """T1 (+T2/T3 via ``trigger``): start the landing query.
 
     ``trigger``: ``{"processingTime": KAFKA_POLL}`` for a Kafka consumer (the
     source options close batches at 500k messages or 5 minutes),
     ``{"processingTime": "5 minutes"}`` (the default) for a file source, or
-    ``{"availableNow": True}`` to drain what is there and stop (T3).
+    ``{"availableNow": True}`` to drain what is there and stop (T3). Files hold ``batch_rows`` at most.
+
+    T5: every batch leaves its progress beside the checkpoint (:func:`landed_batches`),
+    so the record outlives the driver; a replayed batch replaces its own.
     """
-    done: list[dict] = []
+    progress = progress_dir(checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = land_batch(batch, batch_id, out_dir, quarantine_dir)
-        done.append({"batchId": batch_id, "numInputRows": rows, "timestamp": datetime.now(timezone.utc).isoformat()})
+        rows = land_batch(batch, batch_id, out_dir, quarantine_dir, max_records_per_file=batch_rows)
+        done = batch.sparkSession.range(1).select(F.lit(rows).cast("long").alias("numInputRows"), F.current_timestamp().alias("timestamp"))
+        done.coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
 
     writer = (messages.writeStream
               .foreachBatch(land)
               .option("checkpointLocation", checkpoint)
-              .trigger(**(trigger or {"processingTime": BATCH_TIMEOUT})))
+              .trigger(**(trigger or {"processingTime": batch_timeout})))
     if query_name:
         writer = writer.queryName(query_name)
     query = writer.start()
-    query.landed_batches = done
+    query.progress_dir = progress
     return query
 
 
-def progress_summary(query: StreamingQuery) -> list[dict]:
-    """T5: rows read per finished micro-batch of a query that ``start_ingest`` returned, all of them (Spark's own
-    ``recentProgress`` holds the last 100 only)."""
-    return list(query.landed_batches)
+def progress_dir(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-progress"
+
+
+def landed_batches(spark: SparkSession, checkpoint_progress: str) -> DataFrame:
+    """T5: ``batchId, numInputRows, timestamp`` of every micro-batch landed since the checkpoint was new, whichever
+    driver landed it."""
+    schema = StructType([StructField("numInputRows", LongType()), StructField("timestamp", TimestampType()), StructField("batch_id", LongType())])
+    try:
+        done = spark.read.schema(schema).parquet(checkpoint_progress)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        done = spark.createDataFrame([], schema)
+    return done.select(F.col("batch_id").alias("batchId"), "numInputRows", "timestamp")
+
+
+def progress_summary(query: StreamingQuery, last: int | None = None) -> list[dict]:
+    """T5: rows read per finished micro-batch of a query that ``start_ingest`` returned, also those of earlier
+    runs from the same checkpoint; the ``last`` ones only, if given."""
+    done = landed_batches(query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active(), query.progress_dir)
+    done = done.orderBy("batchId") if last is None else done.orderBy(F.col("batchId").desc()).limit(last)
+    rows = [{"batchId": r["batchId"], "numInputRows": r["numInputRows"], "timestamp": r["timestamp"].isoformat()} for r in done.collect()]
+    return sorted(rows, key=lambda r: r["batchId"])
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -207,8 +242,3 @@ def start_publish(reviews: DataFrame, checkpoint: str, bootstrap_servers: str |
     else:
         writer = writer.format("text").option("path", path)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from recoflow.operators.aggregates import exact_auc, rmse, written_rows
+from recoflow.operators.aggregates import exact_auc, ordered_bits, rmse, sums_before, written_rows
 from recoflow.sources import tables as T
 from tests.conftest import SF_MID
 
@@ -29,7 +29,7 @@ def test_auc_matches_rank_sum_and_mllib(spark):
     pdf = li.toPandas()
     expected = _rank_sum_auc(pdf)
     one = exact_auc(li, "score", "label").first()["auc"]
-    many = exact_auc(li, "score", "label", target_rows_per_bucket=500).first()["auc"]
+    many = exact_auc(li, "score", "label", window_rows=500).first()["auc"]
     assert math.isclose(one, expected, rel_tol=0, abs_tol=1e-12)
     assert one == many
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
@@ -58,3 +58,23 @@ def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "score double, label int")
     row = exact_auc(df, "score", "label").first()
     assert row["auc"] is None and row["positives"] == 0 and row["negatives"] == 2
+
+
+def test_ordered_bits_are_the_bits_of_a_double(spark):
+    import struct
+
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1e-310, 0.1, 0.5, 0.49999999999999994, 1.0, 1.0000000000000002,
+              3.0, 4.0, 3.9999999999999996, 1e300, 1.7976931348623157e308, -7.25, float("inf"), float("-inf")]
+    values += [2.0 ** e for e in range(-1074, 1024, 37)] + [2.0 ** e * (2 - 2 ** -52) for e in range(-1000, 1000, 41)]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select("x", ordered_bits(F.col("x")).alias("b")).collect()
+    order = [b for _, b in sorted((struct.unpack(">d", struct.pack(">d", r.x + 0.0))[0], r.b) for r in rows)]
+    assert order == sorted(order)
+    assert len({r.b for r in rows}) == len({r.x for r in rows})
+
+
+def test_sums_before_any_limit(spark):
+    keys = [-(1 << 62), -70_000, -1, 0, 1, 65_535, 65_536, 1 << 20, (1 << 33) + 5, (1 << 33) + 6, (1 << 62) + 1]
+    df = spark.createDataFrame([(k, i + 1) for i, k in enumerate(keys)], "k long, v long")
+    for limit in (1, 3, 100):
+        got = {r.k: r.before for r in sums_before(df, "k", "v", limit).collect()}
+        assert got == {k: sum(range(1, i + 1)) for i, k in enumerate(keys)}

@@ -5,23 +5,28 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from recoflow.operators import sampling as S
 from recoflow.operators.aggregates import exact_auc
-from recoflow.operators.sampling import exact_first_n
 
 SETTINGS = settings(max_examples=8, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
-@given(keys=st.lists(st.integers(min_value=0, max_value=60), min_size=1, max_size=300),
+@given(keys=st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=60), st.integers(min_value=-2**63, max_value=2**63 - 1)), min_size=1, max_size=300),
        n=st.integers(min_value=1, max_value=320),
-       boundary=st.integers(min_value=1, max_value=50))
-def test_exact_first_n_equals_sorted_prefix(spark, keys, n, boundary):
-    """Many ties on the rank (keys 0..60): ties are broken by the row id."""
-    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "rid int, k int")
-    got = exact_first_n(df, n, [F.col("k"), F.col("rid")], F.col("k"), boundary_limit=boundary)
-    expected = sorted(range(len(keys)), key=lambda i: (keys[i], i))[:n]
-    assert sorted(r["rid"] for r in got.collect()) == sorted(expected)
+       bits=st.sampled_from([2, 5, 16]))
+def test_exact_first_n_equals_sorted_prefix(spark, keys, n, bits):
+    """Many ties (keys 0..60), NULLs and the whole range: ties are broken by the row id."""
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "rid int, k bigint")
+    old, S.RADIX_BITS = S.RADIX_BITS, bits
+    try:
+        got, count = S.exact_first_n(df, n, {"k": (F.col("k"), "long"), "rid": (F.col("rid").cast("long"), "long")})
+        got = sorted(r["rid"] for r in got.collect())
+    finally:
+        S.RADIX_BITS = old
+    expected = sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i] or 0, i))[:n]
+    assert got == sorted(expected) and count == len(expected)
 
 
 @SETTINGS
@@ -38,7 +43,7 @@ def test_exact_auc_equals_rank_sum(spark, rows, per_bucket):
     pos = pdf["label"] == 1
     p, q = int(pos.sum()), int((~pos).sum())
     expected = (ranks[pos].sum() - p * (p + 1) / 2) / (p * q)
-    got = exact_auc(df, "score", "label", target_rows_per_bucket=per_bucket).first()["auc"]
+    got = exact_auc(df, "score", "label", window_rows=per_bucket).first()["auc"]
     assert abs(got - expected) < 1e-12
 
 
@@ -48,15 +53,14 @@ _text = st.text(alphabet="abcxyz0123456789:-", min_size=1, max_size=12).filter(
 
 
 @SETTINGS
-@given(keys=st.lists(st.one_of(_num, _text, st.none()), min_size=1, max_size=80))
-def test_key_rank_is_monotone_with_sql_order(spark, keys):
-    """ORDER BY try_cast(k AS BIGINT) NULLS LAST, k NULLS LAST never goes down in rank."""
-    from recoflow.operators.sampling import key_rank
+@given(keys=st.lists(st.one_of(_num, _text, st.none()), min_size=1, max_size=80), share=st.floats(min_value=0, max_value=1))
+def test_first_n_by_key_is_the_sql_order(spark, keys, share):
+    """ORDER BY try_cast(k AS BIGINT) NULLS LAST, k NULLS LAST, numeric and text keys mixed."""
+    import re
 
+    n = int(share * len(keys))
     df = spark.createDataFrame([(k,) for k in keys], "k string")
-    rows = df.select("k", key_rank(F.col("k")).alias("r")).collect()
-
-    import re
+    got = sorted(str(r["k"]) for r in S.first_n_by_key(df, n, "k").collect())
 
     def as_bigint(k):  # try_cast(k AS BIGINT)
         if k is None or not re.fullmatch(r"\s*[+-]?\d+\s*", k):
@@ -69,8 +73,7 @@ def test_key_rank_is_monotone_with_sql_order(spark, keys):
         return (num is None, num if num is not None else 0,
                 k is None, (k or "").encode("utf-8"))
 
-    ranks = [r["r"] for r in sorted(rows, key=lambda r: sql_order(r["k"]))]
-    assert all(a <= b for a, b in zip(ranks, ranks[1:]))
+    assert got == sorted(map(str, sorted(keys, key=sql_order)[:n]))
 
 
 _json_values = st.recursive(

@@ -1,5 +1,7 @@
 """ALS top-N invariants."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from recoflow.operators import scoring as SC
@@ -43,3 +45,51 @@ def test_refit_same_factors(spark):
     a = TR.train_als(triples).model.itemFactors.orderBy("id").collect()
     b = TR.train_als(triples).model.itemFactors.orderBy("id").collect()
     assert a == b
+
+
+def _factors(spark, rows, seed, scale=1.0):
+    r = np.random.default_rng(seed)
+    f = r.standard_normal((rows, 6)) * r.exponential(scale, (rows, 1))
+    return spark.createDataFrame([(i, [float(x) for x in v.astype(np.float32)]) for i, v in enumerate(f)], "id int, features array<float>")
+
+
+@pytest.mark.parametrize("group_bytes", [1 << 20, 48 * 40])
+def test_top_items_equals_all_pairs(spark, group_bytes):
+    """One group and several, ties (repeated items), items left out, users without factors."""
+    users, items = _factors(spark, 70, 1), _factors(spark, 150, 2)
+    items = items.unionByName(items.where("id < 20").withColumn("id", F.col("id") + 1000))
+    r = np.random.default_rng(3)
+    seen = {u: sorted({int(i) for i in r.integers(0, 150, r.integers(0, 149))}) for u in range(0, 70, 2)}
+    seen[4] = list(range(150)) + list(range(1000, 1020))
+    lists = spark.createDataFrame(list(seen.items()), "user int, seen array<int>")
+    asked = users.withColumnRenamed("id", "user").join(lists, "user", "left").unionByName(spark.createDataFrame([(-1, None, None)], "user int, features array<float>, seen array<int>"))
+    got = {x["user"]: x for x in SC.top_items(asked, items, 7, group_bytes=group_bytes, block=16).collect()}
+    v = {x["id"]: np.array(x["features"], dtype=np.float64) for x in items.collect()}
+    for x in users.collect():
+        u = np.array(x["features"], dtype=np.float64)
+        best = sorted((-round(float(u @ f), 9), i) for i, f in v.items() if i not in set(seen.get(x["id"], [])))[:7]
+        row = got[x["id"]]
+        assert [round(s, 9) for s in row["scores"]] == [-s for s, _ in best] and row["known"]
+        assert [v[i].tolist() for i in row["items"]] == [v[i].tolist() for _, i in best]
+    assert got[-1]["items"] == [] and not got[-1]["known"] and got[4]["items"] == []
+
+
+def test_requested_ids_and_seen_items(spark):
+    triples = T.interactions(spark, SF_SMALL)
+    model = TR.train_als(triples).model
+    users = triples.select(F.col("user").cast("string").alias("user")).distinct().limit(30).unionByName(
+        spark.createDataFrame([("99999999999",), ("88888888888",), ("x",), (None,)], "user string"))
+    out = SC.recommend_for(model, users, exclude=triples).collect()
+    assert {r["user"] for r in out if not r["known"]} == {"99999999999", "88888888888", "x", None}
+    n_items = triples.select("item").distinct().count()
+    seen = {}
+    for r in triples.collect():
+        seen.setdefault(str(r["user"]), set()).add(r["item"])
+    for user in {r["user"] for r in out if r["known"]}:
+        rows = [r for r in out if r["user"] == user and r["rank"] is not None]
+        assert len(rows) == min(10, n_items - len(seen[user])) and not {r["app_id"] for r in rows} & seen[user]
+
+
+def test_no_pairs_of_users_and_items(spark):
+    model = TR.train_als(T.interactions(spark, SF_SMALL)).model
+    assert "CartesianProduct" not in SC.recommend_all(model)._jdf.queryExecution().executedPlan().toString()

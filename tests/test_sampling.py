@@ -12,24 +12,40 @@ def _keys(df, key="review_id"):
     return [r[key] for r in df.collect()]
 
 
-def test_exact_first_n_narrowing_equals_brute_force(spark):
+def test_first_n_equals_brute_force(spark):
     reviews = T.reviews_raw(spark, SF_MID)
     num = F.col("review_id").cast("bigint")
     brute = _keys(reviews.orderBy(num, "review_id").limit(1234))
-    fast = S.exact_first_n(reviews, 1234, [num, F.col("review_id")], num, boundary_limit=10)
-    assert sorted(_keys(fast), key=int) == brute
+    assert sorted(_keys(S.first_n_by_key(reviews, 1234)), key=int) == brute
 
 
 def test_sample_equals_brute_force_and_is_exact(spark):
     reviews = T.reviews_raw(spark, SF_MID)
     h = F.md5(F.concat(F.lit("42:"), F.col("review_id")))
     brute = set(_keys(reviews.orderBy(h, "review_id").limit(777)))
-    old = S.BOUNDARY_LIMIT
-    fast = S.exact_first_n(
-        reviews, 777, [h, F.col("review_id")],
-        F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"), boundary_limit=5)
-    assert set(_keys(fast)) == brute and len(brute) == 777
-    assert S.BOUNDARY_LIMIT == old
+    assert set(_keys(S.sample_fixed_size(reviews, 777, "review_id"))) == brute and len(brute) == 777
+
+
+def test_no_rank_is_left_to_one_task(spark):
+    """No sort, limit or window over rows: the plan is a filter, pushed below the joins."""
+    from recoflow.plans.prepare import processed_reviews
+
+    raw = T.reviews_raw(spark, SF_MID), T.users_raw(spark, SF_MID), T.games_raw(spark, SF_MID)
+    first = S.first_n_by_key(processed_reviews(*raw), 1000)
+    assert first.count() == 1000
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(word in plan for word in ("Limit", "Sort", "Window"))
+
+
+def test_equal_and_tied_rows(spark):
+    """Rows that agree in the key are told apart by their other columns; equal rows are repeated."""
+    df = spark.createDataFrame([("7", "x")] * 40 + [("7", "y")] * 40 + [(None, "z")] * 5, "k string, v string")
+    for n in (1, 39, 41, 80, 82, 85, 90):
+        got = [tuple(r) for r in S.first_n_by_key(df, n, "k").collect()]
+        assert len(got) == min(n, 85)
+        assert sum(k is None for k, _ in got) == max(0, min(n, 85) - 80)
+    a = sorted(map(tuple, S.first_n_by_key(df.repartition(3), 50, "k").collect()))
+    assert a == sorted(map(tuple, S.first_n_by_key(df.coalesce(1), 50, "k").collect()))
 
 
 def test_sample_larger_than_table_returns_all(spark):
@@ -42,33 +58,30 @@ def test_partition_independence(spark):
     a = set(_keys(S.sample_fixed_size(reviews.repartition(2), 300, "review_id")))
     b = set(_keys(S.sample_fixed_size(reviews.repartition(7), 300, "review_id")))
     assert a == b
-    c = _keys(S.first_n_by_key(reviews.repartition(2), 50))
-    d = _keys(S.first_n_by_key(reviews.repartition(7), 50))
+    c = sorted(_keys(S.first_n_by_key(reviews.repartition(2), 50)), key=int)
+    d = sorted(_keys(S.first_n_by_key(reviews.repartition(7), 50)), key=int)
     assert c == d == [str(i) for i in range(50)]
 
 
 def test_trim(spark):
     reviews = T.reviews_raw(spark, SF_MID)
     assert S.trim_rows(reviews, 1).count() == 0
-    assert _keys(S.trim_rows(reviews, 4)) == ["0", "1", "2"]
+    assert sorted(_keys(S.trim_rows(reviews, 4))) == ["0", "1", "2"]
     with pytest.raises(ValueError):
         S.trim_rows(reviews, 0)
 
 
-def test_large_n_band_path_equals_brute_force(spark):
-    """n = half of 100k rows; the band path must return exactly the brute-force set."""
+def test_large_n_equals_brute_force(spark):
+    """n = half of 100k rows."""
     reviews = T.reviews_raw(spark, "/root/testdata/sf0.1")
     h = F.md5(F.concat(F.lit("7:"), F.col("review_id")))
-    rank = F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint")
     brute = set(_keys(reviews.orderBy(h, "review_id").limit(50_000)))
-    fast = S.exact_first_n(reviews, 50_000, [h, F.col("review_id")], rank, boundary_limit=1000)
-    got = _keys(fast)
+    got = _keys(S.sample_fixed_size(reviews, 50_000, "review_id", seed=7))
     assert len(got) == 50_000 and set(got) == brute
-    assert "Union" in fast._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_first_n_text_keys_equals_brute_force(spark):
-    """Landed batches are keyed by md5 text: the band path must still be exact."""
+    """Landed batches are keyed by md5 text: the selection must still be exact."""
     reviews = T.reviews_raw(spark, SF_MID)
     mixed = reviews.withColumn(
         "review_id",
@@ -78,7 +91,7 @@ def test_first_n_text_keys_equals_brute_force(spark):
     order = [F.col("review_id").try_cast("bigint").asc_nulls_last(), F.col("review_id").asc_nulls_last()]
     for n in (100, 4000, 9000):
         brute = sorted(map(str, _keys(mixed.orderBy(*order).limit(n))))
-        fast = S.exact_first_n(mixed, n, order, S.key_rank(F.col("review_id")), boundary_limit=50)
+        fast = S.first_n_by_key(mixed, n)
         assert sorted(map(str, _keys(fast))) == brute
 
 
@@ -89,10 +102,5 @@ def test_sample_with_null_keys_equals_brute_force(spark):
     h = F.md5(F.concat(F.lit("42:"), F.col("review_id")))
     for n in (500, 7600, 9000):
         brute = sorted(map(str, _keys(reviews.orderBy(h.asc_nulls_last(), F.col("review_id").asc_nulls_last()).limit(n))))
-        old = S.BOUNDARY_LIMIT
-        S.BOUNDARY_LIMIT = 20
-        try:
-            got = sorted(map(str, _keys(S.sample_fixed_size(reviews, n, "review_id"))))
-        finally:
-            S.BOUNDARY_LIMIT = old
+        got = sorted(map(str, _keys(S.sample_fixed_size(reviews, n, "review_id"))))
         assert got == brute
