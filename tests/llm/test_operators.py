@@ -108,6 +108,35 @@ def test_main_text(spark, sent):
     assert len(got) == 4 and texts[1] == "A & B\n\nSome longer, running text; of words.\n\nMore text, and more." and texts[2] == texts[3] == ""
 
 
+FURNITURE_NAMES = ["post-comments", "user-comments", "comment-thread", "cookie-notice", "sidebar-left", "left_sidebar", "site-footer", "breadcrumb-trail",
+                   "newsletter-signup", "advert-top", "related-posts", "footer-nav-links"]
+
+
+@pytest.mark.parametrize("sent", [50_000, 0])
+def test_main_text_by_host(spark, sent):
+    """One path holds articles on a host (and on one page of another) and short items elsewhere; furniture by parts of names; an
+    article's own header. Other hosts' pages change nothing."""
+    said = "Running text, of some length; with marks. " * 8
+    page = lambda inner: f"<html><body><div>{inner}</div></body></html>"
+    items = page("".join(f"<p>Short item {i}</p>" for i in range(20)))
+    long = f"<p>{said}</p>" * 4
+    own = [(1, "http://a.com/1", page(f"<h1>One</h1>{long}")), (2, "http://a.com/2", page(f"<h1>Two</h1>{long}")),
+           (3, "http://a.com/3", f"<body><article><header><h1>Three</h1></header><div class='page-with-sidebar text'>{long}</div></article>"
+            + "".join(f"<div class='x {n}'><p>{said}</p></div>" for n in FURNITURE_NAMES) + "</body>"),
+           (4, "http://a.com/4", f"<body><div class='sidebar-layout sidebar-left'><main><h1>Four</h1>{long}</main></div></body>")]
+    mixed = [(50 + i, "http://b.com/i", items) for i in range(40)] + [(49, "http://b.com/article", page(f"<h1>Alone</h1>{long}"))]
+    schema = "page_id long, url string, html string, host string, path string"
+    run = lambda rows: {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame([(*r, "c", "c") for r in rows], schema), max_sent=sent).collect()}
+    alone = run(own)
+    text = "\n\n".join([said.strip()] * 4)
+    assert alone == {1: f"One\n\n{text}", 2: f"Two\n\n{text}", 3: f"Three\n\n{text}", 4: f"Four\n\n{text}"}
+    both = run(own + mixed)
+    assert {i: both[i] for i in alone} == alone and both[49].endswith(text)
+    assert html_text.main_text(spark.createDataFrame([], schema), max_sent=sent).count() == 0
+    huge = run([(9, "http://c.com/", page(f"<p>{said * 2000}</p>" * 3))])
+    assert huge[9] == "\n\n".join([(said * 2000).strip()] * 3)
+
+
 @pytest.mark.parametrize("sent", [50_000, 0])
 def test_main_text_keeps_lists_tables_and_headings(spark, sent):
     long = "<p>" + "Running text, of some length; with marks. " * 8 + "</p>"
@@ -141,8 +170,43 @@ def test_linkers_of_popular_blocked_hosts(spark):
         rows += [(f"http://bad{n}.net/", "")] + [(f"http://l{n}x{i}.com/", link(f"bad{n}.net")) for i in range(n)]
     frame = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
     got = {r.host: r for r in url_graph.judge_urls(frame).collect()}
-    assert len({r.distrust for h, r in got.items() if h.startswith("l")}) == 1
-    assert all(r.verdict == ("allow" if h == "fair.com" else "block") for h, r in got.items())
+    # However many link to a blocked host, each is blocked; so is a host that links to one among others, if no trust reaches it.
+    assert all(r.verdict == ("block" if h[0] in "blf" else "allow") for h, r in got.items())
+
+
+def _duck(sql, **tables):
+    import duckdb
+    import pyarrow as pa
+
+    con = duckdb.connect()
+    for name, (columns, rows) in tables.items():
+        con.register(name, pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(columns)}))
+    return con.execute(sql).fetchall()
+
+
+def test_url_graph_equals_sql_on_planted_links(spark):
+    """Hubs of 1 to 1,000 linkers, chains of several links, mixed hosts, trusted hosts, popular names (one SQL for module and query)."""
+    import pyarrow as pa
+
+    from recoflow.llm import oracle
+
+    link = lambda *hosts: "".join(f'<a class=x href="http://{h}/x?y#z">x</a> <A HREF=//{h}>y</A>' for h in hosts)
+    pages = [("http://good.example.org/fr/1", link("fair.com", "mixed.com")), ("http://good.example.org/fr/2", link("mixed.com")), ("http://good.example.org/en/2", None),
+             ("http://half.org/fr/1", ""), ("http://half.org/en/1", ""), ("http://mixed.com/", link("bad1.net", "fair.com")), ("http://fair.com/", link("other.com")),
+             ("http://third.com/", link("second.com")), ("http://second.com/", link("first.com")), ("http://first.com/", link("bad1.net", "Fair.com")),
+             ("http://far.com/", link("third.com", "fair.com")), ("http://loop1.com/", link("loop2.com")), ("http://loop2.com/", link("loop1.com", "bad2.net")),
+             (None, link("bad1.net")), ("no host", link("bad1.net")), ("http://self.com/", link("self.com"))]
+    for n in (1, 2, 10, 1000):
+        pages += [(f"http://bad{n}.net/", link("fair.com"))] + [(f"http://l{n}x{i}.com/", link(f"bad{n}.net")) for i in range(n)]
+    rows = [(i, u, h) for i, (u, h) in enumerate(pages)] + [(0, *pages[0]), (None, "http://first.com/q", "")]
+    schema = "page_id long, url string, html string, extra string, host string, trust string"
+    frame = spark.createDataFrame([(*r, "clash", "clash", "clash") for r in rows], schema)
+    got = sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_graph.judge_urls(frame).collect()), key=str)
+    want = _duck(oracle.SQL["op8_url_graph"], pages=([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())], rows))
+    assert got == sorted(map(tuple, want), key=str)
+    by_host = {r[1]: r[4] for r in got}
+    assert all(by_host[h] == "block" for h in ("first.com", "second.com", "third.com", "loop1.com", "l1000x7.com")) and by_host["fair.com"] == by_host["mixed.com"] == "allow"
+    assert url_graph.judge_urls(frame.limit(0)).count() == 0
 
 
 def test_language_with_many_letters():

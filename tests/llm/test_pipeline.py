@@ -156,6 +156,6 @@ def test_near_duplicates_with_deep_trees(spark, width):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     want = _near(docs.collect(), width)
     assert sorted(collections.Counter(want.values()).values())[-6:] > [8] * 6
-    for depth in (1, 3):
-        got = chosen_path.near_duplicates(docs, width=width, leaf=4, max_depth=depth).collect()
-        assert {x.doc_id: x.component_id for x in got} == want
+    for sizes in ({}, {"leaf": 4, "max_depth": 1, "small": 4, "block": 3}, {"leaf": 4, "max_depth": 3, "small": 2, "block": 2}, {"leaf": 0, "max_depth": 2, "small": 1, "block": 64}):
+        got = chosen_path.near_duplicates(docs, width=width, **sizes).collect()
+        assert {x.doc_id: x.component_id for x in got} == want, sizes
