@@ -34,9 +34,9 @@ g{i} AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (
            SELECT e.dst AS host, k.trust * e.forward AS t, 0.0::DOUBLE AS d FROM w e JOIN k{i - 1} k ON e.src = k.host
            UNION ALL SELECT e.src, 0.0::DOUBLE, k.distrust * e.back FROM w e JOIN k{i - 1} k ON e.dst = k.host) GROUP BY host),
 k{i} AS (SELECT s.host, CASE WHEN (SELECT count(*) FROM w) = 0 THEN s.trusted::DOUBLE
-                ELSE round({1 - d!r}::DOUBLE * s.trusted + {d!r}::DOUBLE * coalesce(g.t, 0), 12) END AS trust,
+                ELSE {1 - d!r}::DOUBLE * s.trusted + {d!r}::DOUBLE * coalesce(g.t, 0) END AS trust,
            CASE WHEN (SELECT count(*) FROM w) = 0 THEN s.distrusted::DOUBLE
-                ELSE round({1 - d!r}::DOUBLE * s.distrusted + {d!r}::DOUBLE * coalesce(g.d, 0), 12) END AS distrust
+                ELSE {1 - d!r}::DOUBLE * s.distrusted + {d!r}::DOUBLE * coalesce(g.d, 0) END AS distrust
          FROM seeds s LEFT JOIN g{i} g USING (host)),""" for i in range(1, U.ROUNDS + 1))
     return f"""
 WITH a AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -53,7 +53,7 @@ n AS (SELECT host, CAST(2 * count(*) FILTER (says = 'allow') > count(*) AS INT)
 seeds AS (SELECT host, max(trusted) AS trusted, max(distrusted) AS distrusted FROM (
             SELECT * FROM n UNION ALL SELECT src, 0, 0 FROM e UNION ALL SELECT dst, 0, 0 FROM e) GROUP BY host),
 k0 AS (SELECT host, trusted::DOUBLE AS trust, distrusted::DOUBLE AS distrust FROM seeds),{rounds}
-z AS (SELECT host, CASE WHEN distrust - trust >= {U.THRESHOLD} THEN 'block' ELSE 'allow' END AS by_host FROM k{U.ROUNDS})
+z AS (SELECT host, CASE WHEN trust + distrust > 0 AND round(distrust / (trust + distrust), 9) >= {U.THRESHOLD} THEN 'block' ELSE 'allow' END AS by_host FROM k{U.ROUNDS})
 SELECT page_id, j.host, path, rule, coalesce(says, by_host) AS verdict FROM j LEFT JOIN z ON j.host = z.host
 """
 

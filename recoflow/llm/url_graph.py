@@ -4,11 +4,12 @@ A URL is first held against path rules; the longest fitting rule decides. Where
 no rule fits, its host's standing decides: hosts most of whose URLs the rules
 allow are trusted seeds, hosts most of whose URLs they block are distrusted
 seeds. Personalised PageRank carries trust along the links between hosts, each
-host sharing out its trust by its links. Distrust goes against them (a host that
-links to blocked hosts is suspect) and is not shared out: a host takes on the mean
-distrust of what its links lead to, damped, so that however many others link to a
-blocked host, each is as suspect as if it were alone. A host whose distrust exceeds
-its trust by ``threshold`` is blocked.
+host sharing out its trust by its links. Reversed personalised PageRank carries
+distrust against them: a host that links to blocked hosts is suspect, and each host's
+distrust is shared out among those that link to it. A host is blocked if distrust makes up
+``threshold`` of its trust and distrust together. That is a ratio, so however many link to a
+blocked host, each is as suspect as if it were alone: a host that no trust reaches is blocked by any
+distrust (within ``ROUNDS`` links), one that trust reaches is weighed. A host that neither reaches is allowed.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, no
 rule, and is allowed; repeated rows are judged alike; null HTML has no links;
@@ -32,7 +33,7 @@ RULES = [
 ]
 DAMPING = 0.85
 ROUNDS = 10
-THRESHOLD = 0.1
+THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,26 +74,26 @@ def spread(hosts: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds:
     """(host, trust, distrust). ``hosts``: (host, trusted, distrusted), seeds 0 or 1.
 
     Each round is two equi-joins of the edges with the current standing and one
-    partial sum per host. Scores are rounded to 12 digits, so that the order of
-    summation cannot show.
+    partial sum per host.
     """
     rank = hosts.select("host", F.col("trusted").cast("double").alias("trust"),
                         F.col("distrusted").cast("double").alias("distrust"))
     if edges.isEmpty():
         return rank
-    out = edges.groupBy("src").agg(F.sum("links").alias("n_out"))
-    e = materialize(edges.join(out, "src").select("src", "dst", (F.col("links") / F.col("n_out")).alias("share")), "links")
+    out, into = (edges.groupBy(end).agg(F.sum("links").alias(n)) for end, n in (("src", "n_out"), ("dst", "n_in")))
+    e = edges.join(out, "src").join(into, "dst")
+    e = materialize(e.select("src", "dst", (F.col("links") / F.col("n_out")).alias("forward"), (F.col("links") / F.col("n_in")).alias("back")), "links")
     for i in range(rounds):
         gained = (e.join(rank, e.src == rank.host)
-                  .select(F.col("dst").alias("host"), (F.col("trust") * F.col("share")).alias("t"), F.lit(0.0).alias("d"))
+                  .select(F.col("dst").alias("host"), (F.col("trust") * F.col("forward")).alias("t"), F.lit(0.0).alias("d"))
                   .union(e.join(rank, e.dst == rank.host)
                          .select(F.col("src").alias("host"), F.lit(0.0).alias("t"),
-                                 (F.col("distrust") * F.col("share")).alias("d")))
+                                 (F.col("distrust") * F.col("back")).alias("d")))
                   .groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
         rank = hosts.join(gained, "host", "left").select(
             "host",
-            F.round((1 - damping) * F.col("trusted") + damping * F.coalesce("t", F.lit(0.0)), 12).alias("trust"),
-            F.round((1 - damping) * F.col("distrusted") + damping * F.coalesce("d", F.lit(0.0)), 12).alias("distrust"))
+            ((1 - damping) * F.col("trusted") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
+            ((1 - damping) * F.col("distrusted") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"))
         if i % 3 == 2:
             rank = materialize(rank, "rank")
     return rank
@@ -115,6 +116,8 @@ def judge_urls(pages: DataFrame, rules=RULES, damping: float = DAMPING, rounds:
              .agg(F.max(F.coalesce("trusted", F.lit(0))).alias("trusted"),
                   F.max(F.coalesce("distrusted", F.lit(0))).alias("distrusted")))
     standing = spread(materialize(hosts, "hosts"), edges, damping, rounds)
-    by_host = F.when(F.col("distrust") - F.col("trust") >= threshold, "block").otherwise("allow")
+    # Rounded, so that the order of summation cannot show.
+    part = F.round(F.try_divide(F.col("distrust"), F.col("trust") + F.col("distrust")), 9)
+    by_host = F.when(part >= threshold, "block").otherwise("allow")
     return judged.join(standing, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("says", by_host).alias("verdict"), "trust", "distrust")
