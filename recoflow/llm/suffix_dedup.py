@@ -14,10 +14,13 @@ Spark first cuts the work into independent collections of short strings:
    (if there are ``LENGTH`` at least).
 2. Each window of ``LENGTH`` bytes is filed under its smallest hash of ``GRAM``
    bytes (its anchor). Equal windows have equal anchors, so windows whose anchor
-   occurs once are unique. Anchors are counted with partial sums.
+   occurs once are unique. Anchors are counted with partial minima and maxima of their places.
+   Those that repeat go to the tasks as a bit filter of ``FILTER_BITS`` at most, which
+   lets a few others pass as well; if there are more of them, they are joined instead.
 3. For an anchor that repeats, the bytes around it that its windows cover are a
-   short string. Equal ones are merged with a partial minimum, so a passage that
-   very many documents share is not gathered anywhere.
+   short string. Equal ones are merged by 128 bits of hashes with a partial minimum, so a passage that
+   very many documents share is not gathered anywhere, and only places are shuffled. The
+   bytes are cut again for the strings of anchors that have several.
 4. Strings of one anchor form a collection, aligned at the anchor. Tasks hold
    several at a time (``CHUNK`` strings and one collection at most, so the
    transform's columns stay in memory and need no files), build their suffix
@@ -38,7 +41,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +53,9 @@ LENGTH = 100
 GRAM = 32
 HOT = 20_000
 CHUNK = 16_000
+#: Size of the filter of repeated anchors (64 MB), and its bits per anchor.
+FILTER_BITS = 1 << 29
+BITS_EACH = 16
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -116,37 +124,58 @@ def _documents(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def _anchor_rows(length: int, gram: int):
+    """Anchors of each text, and a hash of where they are (a text and a place in it)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [anchors(np.frombuffer(t.as_py().encode(), dtype=np.uint8), length, gram)[:2] for t in batch.column("text")]
-            count = [len(p[0]) for p in parts]
+            keys = batch.column("h1").to_numpy().view(np.uint64)
             for lo in range(0, len(parts), 500):  # pieces of some hundred documents
-                rows = np.repeat(np.arange(lo, min(lo + 500, len(parts))), count[lo:lo + 500])
-                if len(rows):
-                    key = batch.column("h1").take(pa.array(rows))
-                    at, h = (np.concatenate([p[i] for p in parts[lo:lo + 500]]) for i in (0, 1))
-                    yield pa.RecordBatch.from_arrays([key, pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], names=["h1", "at", "hash"])
+                some = parts[lo:lo + 500]
+                at, h = (np.concatenate([p[i] for p in some]) for i in (0, 1))
+                if len(h):
+                    where = np.repeat(keys[lo:lo + 500], [len(p[0]) for p in some]) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(where.view(np.int64))], names=["hash", "place"])
 
     return run
 
 
-def _strings(length: int, gram: int):
-    """The string around each repeated anchor of a document (column ``ats``)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "h1", "hash", "lo", "core", "s"]
+def _filter_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bits set at the hashes modulo ``bits``: at most ``bits`` / 8 bytes, whatever the number of hashes."""
+    at = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    rows = hashes.groupBy(F.shiftright(at, 15).alias("block")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for row in rows.toLocalIterator():
+        out[row["block"] << 12:(row["block"] + 1) << 12] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return out
+
+
+STRINGS = "id bigint, h1 bigint, hash bigint, s1 bigint, s2 bigint, lo int, core int, hi int"
 
+
+def _strings(length: int, gram: int, passing: np.ndarray | None):
+    """Place and hash of the string around each anchor of a text that passes the filter (if there is none: that is in column ``hashes``)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=names)
+            long, int_ = pa.int64(), pa.int32()
+            types = (long, long, long, long, long, int_, int_, int_)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["id", "h1", "hash", "s1", "s2", "lo", "core", "hi"])
 
+        mask = None if passing is None else np.uint64(len(passing) * 8 - 1)
         for batch in batches:
             rows = []
-            for i, h1, text, ats in zip(batch.column("id").to_pylist(), batch.column("h1").to_pylist(), batch.column("text"), batch.column("ats")):
+            lists = batch.column("hashes") if passing is None else [None] * batch.num_rows
+            for i, h1, text, known in zip(batch.column("id").to_pylist(), batch.column("h1").to_pylist(), batch.column("text"), lists):
                 raw = text.as_py().encode()
                 at, h, first, last = anchors(np.frombuffer(raw, dtype=np.uint8), length, gram)
-                some = np.flatnonzero(np.isin(at, ats.values.to_numpy()))
+                if passing is None:
+                    some = np.flatnonzero(np.isin(h.view(np.int64), known.values.to_numpy()))
+                else:
+                    bit = h & mask
+                    some = np.flatnonzero(passing[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
                 for a, x, lo, hi in zip(at[some].tolist(), h[some].view(np.int64).tolist(), first[some].tolist(), last[some].tolist()):
-                    rows.append((i, h1, x, lo, a - lo, raw[lo:hi + length]))
+                    # The place of the anchor in the string is part of the string's hash.
+                    s = xxhash.xxh3_128_digest(raw[lo:hi + length], seed=a - lo)
+                    rows.append((i, h1, x, int.from_bytes(s[:8], "big", signed=True), int.from_bytes(s[8:], "big", signed=True), lo, a - lo, hi))
                 if len(rows) > 20_000:
                     yield batch_of(rows)
                     rows = []
@@ -156,6 +185,21 @@ def _strings(length: int, gram: int):
     return run
 
 
+def _bytes_of(length: int):
+    """The bytes of strings (column ``strings``: structs of hash, c, lo, core and hi) of a text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for i, h1, text, strings in zip(*(batch.column(c).to_pylist() for c in ("id", "h1", "text", "strings"))):
+                raw = text.encode()
+                rows += [(i, h1, x["hash"], x["c"], x["lo"], x["core"], raw[x["lo"]:x["hi"] + length]) for x in strings]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+                                                 names=["id", "h1", "hash", "c", "lo", "core", "s"])
+
+    return run
+
+
 def _resolve(length: int, gram: int, chunk: int):
     """Strings (rows sorted by hash, each with its smallest place) to the windows that repeat a
     smaller place: (id, h1, lo, hi) runs of window starts."""
@@ -235,30 +279,33 @@ def _cut(length: int, with_text: bool):
     return run
 
 
-def removed_windows(rows: DataFrame, owners: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
-    """(id, h1, lo, hi): runs of starts of windows that also start earlier, for one row per text."""
-    found = rows.where(F.col("n") >= length).select("h1", "text").mapInArrow(_anchor_rows(length, gram), "h1 bigint, at int, hash bigint")
-    found = materialize(found, "anchors")
+def removed_windows(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """(id, h1, lo, hi): runs of starts of windows that also start earlier, for the rows of ``_documents``."""
+    rows = rows.where(F.col("n") >= length).select("id", "h1", "text")
+    found = rows.select("h1", "text").mapInArrow(_anchor_rows(length, gram), "hash bigint, place bigint")
     # An anchor repeats if it is at two places; equal texts have it at one and the same.
-    where = F.xxhash64("h1", "at")
-    again = found.groupBy("hash").agg(F.min(where).alias("a"), F.max(where).alias("b")).where("a < b").select("hash")
-    ats = found.join(again, "hash").groupBy("h1").agg(F.collect_set("at").alias("ats"))
-    ats = owners.select("id", "h1").distinct().join(ats, "h1")
-    texts = rows.select("id", "h1", "text").join(ats, ["id", "h1"])
-    strings = texts.mapInArrow(_strings(length, gram), "id bigint, h1 bigint, hash bigint, lo int, core int, s binary")
-    last = F.length("s") - length
-    strings = strings.select("*", (F.col("lo") + last).alias("hi"), F.xxhash64("s").alias("s1"), F.xxhash64(F.lit("2"), "s").alias("s2"))
+    again = found.groupBy("hash").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b").select("hash")
+    again = materialize(again, "again")
+    bits = 1 << max(15, (BITS_EACH * again.count() - 1).bit_length())
+    if bits <= filter_bits:
+        strings = rows.mapInArrow(_strings(length, gram, _filter_of(again, bits)), STRINGS)
+    else:
+        each = rows.select("id", "h1", F.explode(_hashes_of(length, gram)("text")).alias("hash")).join(again, "hash", "left_semi")
+        each = each.groupBy("id", "h1").agg(F.collect_set("hash").alias("hashes"))
+        strings = rows.join(each, ["id", "h1"]).mapInArrow(_strings(length, gram, None), STRINGS)
     strings = materialize(strings, "strings")
-    # Equal strings are found by their hashes, and one of each is carried on with its bytes.
-    same = ["hash", "core", "s1", "s2"]
+    same = ["hash", "s1", "s2"]
     place = F.struct("id", "h1", "lo")
-    least = strings.groupBy(*same).agg(F.min(F.struct("id", "h1", "lo", "s")).alias("p"))
+    least = strings.groupBy(*same).agg(F.min(F.struct("id", "h1", "lo", "core", "hi")).alias("p"))
     least = materialize(least.select(*same, "p.*"), "least")
     # Every window of a string that has a smaller place elsewhere goes.
     smaller = least.select(*same, place.alias("p"))
-    copies = strings.drop("s").join(smaller, same).where(place > F.col("p")).select("id", "h1", "lo", "hi")
+    copies = strings.select(*same, "id", "h1", "lo", "hi").join(smaller, same).where(place > F.col("p")).select("id", "h1", "lo", "hi")
     per_hash = least.groupBy("hash").agg(F.count("*").alias("c")).where("c > 1")
-    first = least.join(per_hash, "hash").select("hash", "c", "id", "h1", "lo", "core", "s")
+    several = least.join(per_hash, "hash").groupBy("id", "h1").agg(F.collect_list(F.struct("hash", "c", "lo", "core", "hi")).alias("strings"))
+    first = rows.join(several, ["id", "h1"]).dropDuplicates(["id", "h1"]).mapInArrow(_bytes_of(length), "id bigint, h1 bigint, hash bigint, c bigint, lo int, core int, s binary")
+    first = materialize(first, "several")
+    last = F.length("s") - length
     warm = first.where(F.col("c") <= hot).drop("c").repartition("hash").sortWithinPartitions("hash")
     runs = warm.mapInArrow(_resolve(length, gram, chunk), "id bigint, h1 bigint, lo int, hi int")
     spread = (first.where(F.col("c") > hot).select("hash", "id", "h1", "lo", "s", F.explode(F.sequence(F.lit(0), last)).alias("o"))
@@ -269,17 +316,31 @@ def removed_windows(rows: DataFrame, owners: DataFrame, length: int = LENGTH, gr
     return copies.union(runs).union(spread.select("p.id", "p.h1", "p.lo", F.col("p.lo").alias("hi")))
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK, with_text: bool = True, carry: bool = False) -> DataFrame:
+def _hashes_of(length: int, gram: int):
+    @F.pandas_udf("array<bigint>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: anchors(np.frombuffer(t.encode(), dtype=np.uint8), length, gram)[1].view(np.int64))
+
+    return run
+
+
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, chunk: int = CHUNK, with_text: bool = True, carry: bool = False,
+                     filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text (null unless ``with_text``;
     characters that a cut splits are left out of it) and, with ``carry``, ``row``, the whole input row."""
     rows = _documents(docs)
     same = ["n", "h1", "h2"]
     owners = materialize(rows.groupBy(*same).agg(F.min("id").alias("id")), "owners")
-    gone = materialize(removed_windows(rows, owners, length, gram, hot, chunk), "windows")
+    gone = materialize(removed_windows(rows, length, gram, hot, chunk, filter_bits), "windows")
     by_doc = gone.groupBy("id", "h1").agg(F.collect_list("lo").alias("los"), F.collect_list("hi").alias("his"))
     known = owners.join(by_doc, ["id", "h1"], "left").select(*same, F.col("id").alias("owner"), "los", "his")
-    whole = docs.withColumn("row", F.struct("*")) if carry else docs.withColumn("row", F.lit(None).cast("string"))
-    out = _documents(whole, "row").join(known, same).select("doc_id", "row", "text", "los", "his", (F.col("id") > F.col("owner")).alias("copy"))
+    if carry:  # the row holds the text
+        whole = _documents(docs.withColumn("row", F.struct("*")), "row").drop("text")
+        text = F.coalesce("row.text", F.lit(""))
+    else:
+        whole = _documents(docs.withColumn("row", F.lit(None).cast("string")), "row")
+        text = F.col("text")
+    out = whole.join(known, same).select("doc_id", "row", text.alias("text"), "los", "his", (F.col("id") > F.col("owner")).alias("copy"))
     schema = out.select("doc_id", "row", *(F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")),
                         F.lit("").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text")).schema
     done = out.mapInArrow(_cut(length, with_text), schema)
