@@ -11,18 +11,23 @@ At a similarity of 0.8 a pair stays together in a root's child with probability
 0.64, and in one of two later children with 0.96; ``TREES`` independent trees
 miss a pair with a probability of 2e-9.
 
-At each depth, for all nodes of all trees at once:
+At each depth, for all nodes of all trees at once, nodes of ``SMALL`` members or fewer are leaves. In larger ones
 
 * every member is compared with its node's smallest and largest id, which links
   a group of near copies, however large, with a linear number of comparisons;
 * links found so far are turned into components, and nodes within one component
   are done. A node whose members of different components make at most ``LEAF``
-  pairs per member is small and compared exhaustively, across components only.
-  Against a component of ``MANY`` or more members there, a document asks once
-  for the whole component, whose members are held against it block by block; so
-  a large group of near copies costs no row for each pair;
+  pairs per member is a leaf too;
 * other nodes branch again. What is still large after ``MAX_DEPTH`` branchings
-  is compared exhaustively too, so nothing is given up.
+  is a leaf as well, so nothing is given up.
+
+Leaves are compared exhaustively, inside tasks: a large one is dealt into blocks of ``BLOCK``, and each
+pair of blocks is a unit of work. No pair of documents becomes a row before it counts:
+
+* a unit gives the spanning forest of its likely pairs, the most alike first, across components only. Those
+  are confirmed, each once for all trees, and give new components;
+* where likely pairs of different components are left then, the sets of these documents go to the
+  unit, which compares them all and gives a spanning forest of the links.
 
 Comparisons are first made on sizes and on four bits of each minwise token (a
 pair at the threshold fails that with a probability of about 1e-6); pairs that
@@ -47,15 +52,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recoflow.llm.common import connected_components, materialize, powers
+from recoflow.llm.common import boundaries, connected_components, groups_of, materialize, powers
 
 WIDTH = 5
 PERCENT = 80
 COORDS = 64
 TREES = 20
 LEAF = 256
-MANY = 8
-BLOCK = 256
+SMALL = 256
+BLOCK = 128
 #: Texts to compare are picked by a broadcast of their ids up to this number (8 bytes each), by a shuffle beyond.
 MAX_IDS = 1_000_000
 MAX_DEPTH = 4
@@ -194,108 +199,228 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     return both.select("u", "v", "tu", "tv").mapInArrow(run, "u bigint, v bigint")
 
 
-def confirm_in_blocks(asked: DataFrame, members: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (u, v) between documents and components: for each (doc_id, component) of ``asked``, one at least
-    if any member is similar enough. ``members``: (doc_id, component). Members go into blocks of about
-    ``BLOCK`` by a hash, and a task holds one block at a time; a document meets each block once."""
+class _Forest:
+    """Disjoint sets of the labels 0 to n - 1."""
+
+    def __init__(self, n: int):
+        self.up, self.left = list(range(n)), n
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        up = self.up
+        while up[a] != a:
+            up[a] = a = up[up[a]]
+        while up[b] != b:
+            up[b] = b = up[up[b]]
+        if a == b:
+            return False
+        up[max(a, b)] = min(a, b)
+        self.left -= 1
+        return True
+
+
+def _likely(batch: pa.RecordBatch, component: str, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a unit's rows (later, earlier) of different components that may be similar enough, by sizes and
+    four-bit tokens, the most alike first; and each row's component as a small number. Only pairs of different
+    blocks count in a unit of two blocks."""
+    n = batch.column("n").to_numpy()
+    label = np.unique(batch.column(component).to_numpy(), return_inverse=True)[1]
+    side = batch.column("side").to_numpy()
+    k = [batch.column(f"k{i}").to_numpy().view(np.uint64) for i in range(4)]
+    later, earlier, differ = [], [], []
+    step = max(1, (1 << 20) // len(n))
+    for lo in range(0, len(n), step):
+        rows = np.arange(lo, min(lo + step, len(n)))
+        apart = (label[rows, None] != label) & (rows[:, None] > np.arange(len(n)))
+        if side[0] != side[-1]:
+            apart &= side[rows, None] != side
+        apart &= np.minimum(n[rows, None], n) * 100 >= np.maximum(n[rows, None], n) * percent
+        i, j = np.nonzero(apart)
+        i += lo
+        d = np.zeros(len(i), dtype=np.int64)
+        for x in k:
+            y = x[i] ^ x[j]
+            y |= y >> np.uint64(2)
+            y |= y >> np.uint64(1)
+            d += np.bitwise_count(y & np.uint64(0x1111111111111111))
+        some = d <= COORDS - MIN_EQUAL
+        later.append(i[some])
+        earlier.append(j[some])
+        differ.append(d[some])
+    i, j, d = np.concatenate(later), np.concatenate(earlier), np.concatenate(differ)
+    order = np.lexsort((j, i, d))
+    return i[order], j[order], label
+
+
+def _tree(batch: pa.RecordBatch, component: str, percent: int) -> list[tuple[int, int]]:
+    """The spanning forest of a unit's likely pairs, over components."""
+    i, j, label = _likely(batch, component, percent)
+    forest, out = _Forest(int(label.max()) + 1), []
+    for a, b, x, y in zip(i.tolist(), j.tolist(), label[i].tolist(), label[j].tolist()):
+        if forest.join(x, y):
+            out.append((a, b))
+            if forest.left == 1:
+                break
+    return out
+
+
+def _each_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in groups_of(batches, "unit"):
+        edges = boundaries(batch.column("unit").to_numpy())
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b - a > 1:
+                yield batch.slice(a, b - a)
+
+
+def _pairs_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+
+def _first_pairs(percent: int):
+    """Units to the pairs of their spanning forests, with the node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, sets, tokens, owners, sizes = None, [], [], None, None, None
-        for batch in batches:
-            u, v = [], []
-            cols = [batch.column(c).to_pylist() for c in ("component", "block", "asks", "doc_id")]
-            for component, block, asks, doc_id, text in zip(*cols, batch.column("text")):
-                if (component, block) != at:
-                    at, ids, sets, tokens = (component, block), [], [], None
-                s = shingles(text.as_py(), width)
-                if not asks:
-                    ids.append(doc_id)
-                    sets.append(s)
-                    continue
-                if not ids:
-                    continue
-                if tokens is None:
-                    sizes = np.array([len(x) for x in sets])
-                    tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-                    order = np.argsort(tokens, kind="stable")
-                    tokens, owners = tokens[order], owners[order]
-                lo, hi = np.searchsorted(tokens, s, "left"), np.searchsorted(tokens, s, "right")
+        out = []
+        for unit in _each_unit(batches):
+            ids, node = unit.column("doc_id").to_numpy(), int(unit.column("node")[0].as_py())
+            out += [(node, int(max(ids[a], ids[b])), int(min(ids[a], ids[b]))) for a, b in _tree(unit, "known", percent)]
+            if len(out) > 20_000:
+                yield _pairs_of(out, ["node", "u", "v"])
+                out = []
+        if out:
+            yield _pairs_of(out, ["node", "u", "v"])
+
+    return run
+
+
+def _left_over(percent: int):
+    """Units to the documents that are in likely pairs of different components still, other than the pairs that
+    were in the unit's first forest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _each_unit(batches):
+            i, j, _ = _likely(unit, "component", percent)
+            if not len(i):
+                continue
+            tested = np.array([a * unit.num_rows + b for a, b in _tree(unit, "known", percent)], dtype=np.int64)
+            new = ~np.isin(i * unit.num_rows + j, tested)
+            rows = np.unique(np.concatenate([i[new], j[new]]))
+            if len(rows):
+                yield unit.take(pa.array(rows))
+
+    return run
+
+
+def _links_within(width: int, percent: int):
+    """Units, with texts, to a spanning forest of the links between components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _each_unit(batches):
+            i, j, label = _likely(unit, "component", percent)
+            ids, out = unit.column("doc_id").to_numpy(), []
+            sets = [shingles(t.as_py(), width) for t in unit.column("text")]
+            sizes = np.array([len(x) for x in sets])
+            tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(tokens, kind="stable")
+            tokens, owners = tokens[order], owners[order]
+            forest = _Forest(int(label.max()) + 1)
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            edges = boundaries(i)
+            for a, b in zip(edges[:-1], edges[1:]):
+                row, other = int(i[a]), j[a:b]
+                lo, hi = np.searchsorted(tokens, sets[row], "left"), np.searchsorted(tokens, sets[row], "right")
                 n = hi - lo
-                hits = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                shared = np.bincount(owners[hits], minlength=len(sets))
-                for i in np.flatnonzero(100 * shared >= percent * (sizes + len(s) - shared))[:1]:
-                    u.append(max(doc_id, ids[i]))
-                    v.append(min(doc_id, ids[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    if asked.isEmpty():
-        return asked.select(F.col("doc_id").alias("u"), F.col("component").alias("v"))
-    members = members.join(asked.select("component").distinct(), "component", "left_semi")
-    blocks = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    held = members.join(blocks, "component").select(
-        "component", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int").alias("block"), F.lit(0).alias("asks"), "doc_id")
-    asking = asked.join(blocks, "component").select(
-        "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "doc_id")
-    rows = materialize(held.union(asking), "asked")
-    rows = rows.join(_texts(docs, rows.select("doc_id")), "doc_id")
-    rows = rows.repartition("component", "block").sortWithinPartitions("component", "block", "asks", "doc_id")
-    return rows.select("component", "block", "asks", "doc_id", "text").mapInArrow(run, "u bigint, v bigint")
+                hits = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                shared = np.bincount(owners[hits], minlength=len(sets))[other]
+                for x in other[100 * shared >= percent * (sizes[other] + sizes[row] - shared)].tolist():
+                    if forest.join(int(label[row]), int(label[x])):
+                        out.append((int(max(ids[row], ids[x])), int(min(ids[row], ids[x]))))
+            if out:
+                yield _pairs_of(out, ["u", "v"])
+
+    return run
+
+
+def _units(leaves: DataFrame, light: DataFrame, block: int) -> DataFrame:
+    """The members of leaves (node, doc_id, m, known, component) in units: each pair of a node's blocks."""
+    blocks = F.ceil(F.col("m") / block).cast("int")
+    rows = leaves.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    unit = F.when(F.col("blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("side", "other"), F.greatest("side", "other")))
+    rows = rows.select(unit.alias("unit"), "node", "doc_id", "side", "known", "component").join(light, "doc_id")
+    return rows.select("unit", "node", "side", "doc_id", "known", "component", "n", "k0", "k1", "k2", "k3")
+
+
+def _by_unit(rows: DataFrame) -> DataFrame:
+    return rows.repartition("unit").sortWithinPartitions("unit", "side", "doc_id")
+
+
+def _labelled(rows: DataFrame, links: DataFrame | None, name: str) -> DataFrame:
+    """Rows with the component of their doc_id (its own id if it has no links)."""
+    if links is None:
+        return rows.withColumn(name, F.col("doc_id"))
+    # Links are stars here: every document but the least of its component is u once.
+    return rows.join(links.select(F.col("u").alias("doc_id"), F.col("v").alias(name)), "doc_id", "left").withColumn(name, F.coalesce(name, "doc_id"))
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """Links that stand for the components of the given ones."""
+    comp = connected_components(links)
+    return materialize(comp.select(F.col("id").alias("u"), F.col("component").alias("v")).where("u <> v"), "stars")
 
 
 def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, leaf: int = LEAF,
-               max_depth: int = MAX_DEPTH, trees: int = TREES) -> DataFrame:
+               max_depth: int = MAX_DEPTH, trees: int = TREES, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """Links (u, v) between representatives that give the components of the whole similarity graph."""
     light = classes.drop("sig")
-    member = ["node", "doc_id", "n", "k0", "k1", "k2", "k3"]
     first = [F.xxhash64(F.lit(t), F.element_at("sig", 2 * t + 1), F.element_at("sig", 2 * t + 2)) for t in range(trees)]
     nodes = classes.select(F.explode(F.array(*first)).alias("node"), "doc_id")
-    links = tested = told = None
+    leaves, links = None, None
     for depth in range(1, max_depth + 1):
-        ends = nodes.groupBy("node").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-        # Most nodes hold one document; what the comparisons need is joined to the members of the others only.
-        nodes = materialize(nodes.join(ends, "node").join(light, "doc_id"), "nodes")
-        pivots = nodes.select("doc_id", F.explode(F.array("lo", "hi")).alias("v")).where("doc_id <> v")
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("m"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+        # Most nodes hold one document.
+        nodes = materialize(nodes.join(sizes, "node"), "nodes")
+        leaves = _plus(leaves, nodes.where(F.col("m") <= small).select("node", "doc_id", "m"))
+        large = nodes.where(F.col("m") > small)
+        if large.isEmpty():
+            break
+        pivots = large.select("doc_id", F.explode(F.array("lo", "hi")).alias("v")).where("doc_id <> v")
         pivots = pivots.select(F.greatest("doc_id", "v").alias("u"), F.least("doc_id", "v").alias("v")).distinct()
-        new = _untested(_checked(pivots, light, percent), tested)
-        links, tested = _plus(links, materialize(confirm(new, docs, width, percent), "links")), _plus(tested, new)
-        comp = connected_components(links).select(F.col("id").alias("doc_id"), "component")
-        # The components stand for all links so far.
-        links = comp.select(F.col("doc_id").alias("u"), F.col("component").alias("v")).where("u <> v")
-        rows = nodes.join(comp, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        new = confirm(materialize(_checked(pivots, light, percent), "pairs"), docs, width, percent)
+        links = _stars(_plus(links, materialize(new, "links")))
+        rows = materialize(_labelled(large.select("node", "doc_id", "m"), links, "component"), "labelled")
         # Nodes with members of several components, and how many pairs those make.
-        rows = materialize(rows.select("component", *member), "labelled")
-        by_label = rows.groupBy("node", "component").agg(F.count("*").alias("m"))
-        sizes = by_label.groupBy("node").agg(F.sum("m").alias("all"), F.sum(F.col("m") * F.col("m")).alias("squares"))
-        cross = (F.col("all") * F.col("all") - F.col("squares")) / 2
-        small = F.lit(True) if depth == max_depth else cross <= leaf * F.col("all")
-        sizes = sizes.where(cross > 0).select("node", small.alias("small"))
-        rows = materialize(rows.join(by_label.join(sizes, "node"), ["node", "component"]), "mixed")
-        large = rows.where("not small").select(*member)
-        # Small nodes, exhaustively: pairs of members of little components ...
-        few = rows.where(F.col("small") & (F.col("m") < MANY))
-        a, b = few.alias("a"), few.alias("b")
-        pairs = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.doc_id") > F.col("b.doc_id"))
-                       & (F.col("a.component") != F.col("b.component")) & _alike("a", "b", percent))
-        new = _untested(pairs.select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct(), tested)
-        links, tested = _plus(links, materialize(confirm(new, docs, width, percent), "links")), _plus(tested, new)
-        # ... and members against the larger of two components, where any member of it here may be alike.
-        many = rows.where(F.col("small") & (F.col("m") >= MANY))
-        large_ones = many.select("node", F.col("component").alias("other"), F.col("m").alias("other_m")).distinct()
-        asks = rows.join(large_ones, "node").where(
-            "component <> other and (m < other_m or (m = other_m and component < other))").alias("a")
-        asks = asks.join(many.alias("b"), (F.col("a.node") == F.col("b.node")) & (F.col("a.other") == F.col("b.component"))
-                         & _alike("a", "b", percent), "left_semi").select("doc_id", F.col("other").alias("component")).distinct()
-        total = comp.groupBy("component").agg(F.count("*").alias("size"))
-        asks = asks.join(total, "component").select("doc_id", "component", "size")
-        asks = materialize(asks if told is None else asks.join(told, ["doc_id", "component", "size"], "left_anti"), "asks")
-        links = _plus(links, materialize(confirm_in_blocks(asks.drop("size"), comp, docs, width, percent), "links"))
-        told = _plus(told, asks)
-        if depth == max_depth or large.isEmpty():
+        by_label = rows.groupBy("node", "component").agg(F.count("*").alias("c"))
+        cross = by_label.groupBy("node").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("squares"))
+        cross = cross.select("node", ((F.col("all") * F.col("all") - F.col("squares")) / 2).alias("cross")).where("cross > 0")
+        rows = materialize(rows.join(cross, "node"), "mixed")
+        done = F.lit(True) if depth == max_depth else F.col("cross") <= leaf * F.col("m")
+        leaves = _plus(leaves, rows.where(done).select("node", "doc_id", "m"))
+        rest = rows.where(~done)
+        if depth == max_depth or rest.isEmpty():
             break
         at = F.pmod(F.xxhash64("node", "branch"), F.lit(COORDS)).cast("int") + 1
-        nodes = (large.join(classes.select("doc_id", "sig"), "doc_id")
+        nodes = (rest.select("node", "doc_id").join(classes.select("doc_id", "sig"), "doc_id")
                  .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
                  .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), "doc_id"))
+
+    leaves = _labelled(leaves, links, "known")
+    if links is not None:  # what the larger nodes' links have settled
+        mixed = leaves.groupBy("node").agg(F.min("known").alias("a"), F.max("known").alias("b")).where("a < b").select("node")
+        leaves = leaves.join(mixed, "node", "left_semi")
+    units = materialize(_units(leaves.withColumn("component", F.col("known")), light, block), "units")
+    pairs = _by_unit(units).mapInArrow(_first_pairs(percent), "node bigint, u bigint, v bigint")
+    pairs = materialize(pairs, "first-pairs")
+    new = materialize(confirm(materialize(pairs.select("u", "v").distinct(), "pairs"), docs, width, percent), "links")
+    links = _plus(links, new)
+    # Units where likely pairs are left after these.
+    units = units.join(pairs.select("node").distinct(), "node", "left_semi")
+    units = _labelled(units.drop("component"), _stars(links), "component").select(units.columns)
+    left = materialize(_by_unit(units).mapInArrow(_left_over(percent), units.schema), "left-over")
+    if not left.isEmpty():
+        rows = left.join(_texts(docs, left.select("doc_id")), "doc_id")
+        links = _plus(links, materialize(_by_unit(rows).mapInArrow(_links_within(width, percent), "u bigint, v bigint"), "links"))
     return links
 
 
@@ -308,16 +433,12 @@ def _checked(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     return some.where(_alike("a", "b", percent)).select("a.u", "b.v")
 
 
-def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
-    return materialize(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-
-
 def _plus(held: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if held is None else held.union(new)
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, leaf: int = LEAF,
-                    max_depth: int = MAX_DEPTH, trees: int = TREES) -> DataFrame:
+                    max_depth: int = MAX_DEPTH, trees: int = TREES, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     signed = materialize(signatures(docs, width), "signed")
     same = ["n", "h1", "h2"]
@@ -328,7 +449,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
                           .distinct(), "representatives")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     repeats = _repeats(signed)
-    links = find_links(classes, text.distinct() if repeats else text, width, percent, leaf, max_depth, trees)
+    links = find_links(classes, text.distinct() if repeats else text, width, percent, leaf, max_depth, trees, small, block)
     # Copies hang on their representative; representatives on the least id of their component.
     copies = signed.where("n > 0").join(owners, same).where("doc_id > rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     comp = connected_components(links.union(copies)) if repeats else connected_components(links)
