@@ -41,7 +41,7 @@ from recoflow.llm.common import materialize, powers
 
 WINDOW = 50
 GRAM = 16
-SHARD_BYTES = 400_000
+SHARD_BYTES = 2_000_000
 PIECE = 20_000
 #: Bytes of text that stream past one copy of a shard's automaton.
 STREAM_BYTES = 8 << 20
@@ -81,49 +81,69 @@ def _raw(value: pa.Scalar) -> bytes:
     return memoryview(value.as_buffer()).tobytes()
 
 
+#: Bytes of texts whose words are hashed at once.
+CHUNK_BYTES = 1 << 20
+
+
+class _Chunk:
+    """Some texts of a batch (rows ``lo`` to ``hi``), their words one after another: ``h``, hashes of all words, and the
+    ``start``, anchor phrase (``core``) and text of every window inside a text; ``g``, hashes of phrases."""
+
+    def __init__(self, lo: int, raws: list[bytes], window: int, gram: int):
+        self.lo, self.hi = lo, lo + len(raws)
+        self.words = [raw.split() for raw in raws]  # bytes are split at ASCII white space
+        self.n = np.array([len(w) for w in self.words], dtype=np.int64)
+        ends = np.cumsum(self.n)
+        self.first = ends - self.n
+        self.h = word_hashes(b"\n".join(raws))
+        at, self.g = anchor_phrases(self.h, window, gram)
+        start = np.arange(len(at))
+        text = np.searchsorted(ends, start, "right")
+        inside = start + window <= ends[text]
+        self.start, self.core, self.text = start[inside], at[inside], text[inside]
+
+
+def _chunks(column: pa.Array, window: int, gram: int) -> Iterator[_Chunk]:
+    lo, raws, size = 0, [], 0
+    for i, value in enumerate(column):
+        raws.append(_raw(value))
+        size += len(raws[-1])
+        if size >= CHUNK_BYTES or i + 1 == len(column):
+            yield _Chunk(lo, raws, window, gram)
+            lo, raws, size = i + 1, [], 0
+
+
 def _scanned(window: int, gram: int):
-    """Per text: its size, the hash of its words joined by one space, and its distinct anchor phrases."""
+    """Per text: its size, the hash of its words joined by one space, and its anchor phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, sha, phrases = [], [], []
-            for text in batch.column("text"):
-                raw = _raw(text)
-                at, g = anchor_phrases(word_hashes(raw), window, gram)
-                words = raw.split()  # bytes are split at ASCII white space
-                n.append(len(words))
-                sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                phrases.append(np.unique(g[at]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("id"), batch.column("h1"), batch.column("h2"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(phrases, pa.list_(pa.int64()))],
-                names=["doc_id", "id", "h1", "h2", "n_words", "sha", "phrases"])
+            for c in _chunks(batch.column("text"), window, gram):
+                sha = [hashlib.sha256(b" ".join(w)).hexdigest() for w in c.words]
+                new = np.flatnonzero(np.concatenate([[True], (c.core[1:] != c.core[:-1]) | (c.text[1:] != c.text[:-1])])) if len(c.core) else np.zeros(0, dtype=np.int64)
+                offsets = np.searchsorted(c.text[new], np.arange(len(c.n) + 1)).astype(np.int32)
+                phrases = pa.ListArray.from_arrays(pa.array(offsets), pa.array(c.g[c.core[new]].view(np.int64)))
+                rows = batch.slice(c.lo, c.hi - c.lo)
+                yield pa.RecordBatch.from_arrays([*(rows.column(x) for x in ("doc_id", "id", "h1", "h2")), pa.array(c.n), pa.array(sha, pa.string()), phrases],
+                                                 names=["doc_id", "id", "h1", "h2", "n_words", "sha", "phrases"])
 
     return run
 
 
 def _windows(window: int, gram: int):
     """Windows of recurring phrases (column ``phrases``): hash, phrase, document and place."""
-    names = ["hash", "phrase", "id", "h1", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, n = [], 0
-
-            def rows():
-                parts = [np.concatenate([x[i] for x in held]) for i in range(5)]
-                return pa.RecordBatch.from_arrays([pa.array(p) for p in parts], names=names)
-
-            for i, h1, text, phrases in zip(batch.column("id").to_pylist(), batch.column("h1").to_pylist(), batch.column("text"), batch.column("phrases")):
-                h = word_hashes(_raw(text))
-                at, g = anchor_phrases(h, window, gram)
-                start = np.flatnonzero(np.isin(g[at].view(np.int64), phrases.values.to_numpy()))
-                held.append((_window_hashes(h, window)[start].view(np.int64), g[at[start]].view(np.int64), np.full(len(start), i), np.full(len(start), h1), start.astype(np.int32)))
-                n += len(start)
-                if n > 200_000:
-                    yield rows()
-                    held, n = [], 0
-            if n:
-                yield rows()
+            ids, h1 = (batch.column(c).to_numpy() for c in ("id", "h1"))
+            for c in _chunks(batch.column("text"), window, gram):
+                known = batch.column("phrases").slice(c.lo, c.hi - c.lo).flatten().to_numpy()
+                some = np.flatnonzero(np.isin(c.g[c.core].view(np.int64), known))
+                if len(some):
+                    start, text = c.start[some], c.text[some]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_window_hashes(c.h, window)[start].view(np.int64)), pa.array(c.g[c.core[some]].view(np.int64)), pa.array(ids[c.lo + text]), pa.array(h1[c.lo + text]),
+                         pa.array((start - c.first[text]).astype(np.int32))], names=["hash", "phrase", "id", "h1", "at"])
 
     return run
 
