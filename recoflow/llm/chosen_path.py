@@ -18,16 +18,17 @@ At each depth, for all nodes of all trees at once, nodes of ``SMALL`` members or
 * links found so far are turned into components, and nodes within one component
   are done. A node whose members of different components make at most ``LEAF``
   pairs per member is a leaf too;
-* other nodes branch again. What is still large after ``MAX_DEPTH`` branchings
-  is a leaf as well, so nothing is given up.
+* other nodes branch again. A child that holds more than half of its parent's members does not shrink, and is
+  a leaf as well, and so is what is large after ``MAX_DEPTH`` branchings: nothing is given up.
 
 Leaves are compared exhaustively, inside tasks: a large one is dealt into blocks of ``BLOCK``, and each
 pair of blocks is a unit of work. No pair of documents becomes a row before it counts:
 
-* a unit gives the spanning forest of its likely pairs, the most alike first, across components only. Those
+* a unit of one block gives the spanning forest of its likely pairs, the most alike first, across components only. Those
   are confirmed, each once for all trees, and give new components;
 * where likely pairs of different components are left then, the sets of these documents go to the
-  unit, which compares them all and gives a spanning forest of the links.
+  unit, which compares them all and gives a spanning forest of the links. A pair is compared in one
+  node only, the smallest in which both are left.
 
 Comparisons are first made on sizes and on four bits of each minwise token (a
 pair at the threshold fails that with a probability of about 1e-6); pairs that
@@ -277,12 +278,16 @@ def _pairs_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def _first_pairs(percent: int):
-    """Units to the pairs of their spanning forests, with the node."""
+    """Units of one block to the pairs of their spanning forests, with the node; of others, only the node if any pair is likely."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for unit in _each_unit(batches):
             ids, node = unit.column("doc_id").to_numpy(), int(unit.column("node")[0].as_py())
+            if unit.column("side")[0].as_py() != unit.column("side")[unit.num_rows - 1].as_py():
+                if len(_likely(unit, "known", percent)[0]):
+                    out.append((node, None, None))
+                continue
             out += [(node, int(max(ids[a], ids[b])), int(min(ids[a], ids[b]))) for a, b in _tree(unit, "known", percent)]
             if len(out) > 20_000:
                 yield _pairs_of(out, ["node", "u", "v"])
@@ -302,7 +307,8 @@ def _left_over(percent: int):
             i, j, _ = _likely(unit, "component", percent)
             if not len(i):
                 continue
-            tested = np.array([a * unit.num_rows + b for a, b in _tree(unit, "known", percent)], dtype=np.int64)
+            one = unit.column("side")[0].as_py() == unit.column("side")[unit.num_rows - 1].as_py()
+            tested = np.array([a * unit.num_rows + b for a, b in _tree(unit, "known", percent)] if one else [], dtype=np.int64)
             new = ~np.isin(i * unit.num_rows + j, tested)
             rows = np.unique(np.concatenate([i[new], j[new]]))
             if len(rows):
@@ -318,6 +324,18 @@ def _links_within(width: int, percent: int):
         for unit in _each_unit(batches):
             i, j, label = _likely(unit, "component", percent)
             ids, out = unit.column("doc_id").to_numpy(), []
+            # Pairs that are left in a smaller node as well are compared there.
+            nodes, node = unit.column("nodes"), unit.column("node")[0].as_py()
+            held, owner = nodes.flatten().to_numpy(), np.repeat(np.arange(unit.num_rows), nodes.value_lengths().to_numpy())
+            held, owner = held[held < node], owner[held < node]
+            if len(held):
+                names, at = np.unique(held, return_inverse=True)
+                inside = np.zeros((unit.num_rows, len(names)), dtype=np.float32)
+                inside[owner, at] = 1
+                own = (inside @ inside.T)[i, j] == 0
+                i, j = i[own], j[own]
+            if not len(i):
+                continue
             sets = [shingles(t.as_py(), width) for t in unit.column("text")]
             sizes = np.array([len(x) for x in sets])
             tokens, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -375,14 +393,15 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
     """Links (u, v) between representatives that give the components of the whole similarity graph."""
     light = classes.drop("sig")
     first = [F.xxhash64(F.lit(t), F.element_at("sig", 2 * t + 1), F.element_at("sig", 2 * t + 2)) for t in range(trees)]
-    nodes = classes.select(F.explode(F.array(*first)).alias("node"), "doc_id")
+    nodes = classes.select(F.explode(F.array(*first)).alias("node"), "doc_id", F.lit(None).cast("long").alias("parent"))
     leaves, links = None, None
     for depth in range(1, max_depth + 1):
         sizes = nodes.groupBy("node").agg(F.count("*").alias("m"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
         # Most nodes hold one document.
         nodes = materialize(nodes.join(sizes, "node"), "nodes")
-        leaves = _plus(leaves, nodes.where(F.col("m") <= small).select("node", "doc_id", "m"))
-        large = nodes.where(F.col("m") > small)
+        settled = (F.col("m") <= small) | F.coalesce(2 * F.col("m") > F.col("parent"), F.lit(False))
+        leaves = _plus(leaves, nodes.where(settled).select("node", "doc_id", "m"))
+        large = nodes.where(~settled)
         if large.isEmpty():
             break
         pivots = large.select("doc_id", F.explode(F.array("lo", "hi")).alias("v")).where("doc_id <> v")
@@ -401,9 +420,9 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
         if depth == max_depth or rest.isEmpty():
             break
         at = F.pmod(F.xxhash64("node", "branch"), F.lit(COORDS)).cast("int") + 1
-        nodes = (rest.select("node", "doc_id").join(classes.select("doc_id", "sig"), "doc_id")
+        nodes = (rest.select("node", "doc_id", F.col("m").alias("parent")).join(classes.select("doc_id", "sig"), "doc_id")
                  .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
-                 .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), "doc_id"))
+                 .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), "doc_id", "parent"))
 
     leaves = _labelled(leaves, links, "known")
     if links is not None:  # what the larger nodes' links have settled
@@ -412,14 +431,15 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
     units = materialize(_units(leaves.withColumn("component", F.col("known")), light, block), "units")
     pairs = _by_unit(units).mapInArrow(_first_pairs(percent), "node bigint, u bigint, v bigint")
     pairs = materialize(pairs, "first-pairs")
-    new = materialize(confirm(materialize(pairs.select("u", "v").distinct(), "pairs"), docs, width, percent), "links")
+    new = materialize(confirm(materialize(pairs.where("u IS NOT NULL").select("u", "v").distinct(), "pairs"), docs, width, percent), "links")
     links = _plus(links, new)
     # Units where likely pairs are left after these.
     units = units.join(pairs.select("node").distinct(), "node", "left_semi")
     units = _labelled(units.drop("component"), _stars(links), "component").select(units.columns)
     left = materialize(_by_unit(units).mapInArrow(_left_over(percent), units.schema), "left-over")
     if not left.isEmpty():
-        rows = left.join(_texts(docs, left.select("doc_id")), "doc_id")
+        nodes = left.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))  # a few for each tree
+        rows = left.join(nodes, "doc_id").join(_texts(docs, left.select("doc_id")), "doc_id")
         links = _plus(links, materialize(_by_unit(rows).mapInArrow(_links_within(width, percent), "u bigint, v bigint"), "links"))
     return links
 
