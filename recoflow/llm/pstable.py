@@ -41,6 +41,8 @@ FUNCTIONS = 14
 STEP = 2.0
 BLOCK = 1024
 SEED = 5
+# Pairs of a unit from which the first tables are asked before products are made, and how many tables.
+LARGE, EARLY = 1 << 14, 8
 
 
 def _projections(dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,18 +84,36 @@ def _compare(threshold: float):
     """Units (rows sorted by ``unit``) to rows (u, v, n): n links of u, or an edge u-v where n is 0."""
     def unit(ids, copies, side, cells, table, v) -> Iterator[tuple[int, int, int]]:
         one, two = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        sim = v[one] @ v[two].T
-        linked = sim >= threshold
-        i, j = np.nonzero(linked)
+        # A pair counts only in the first table where the two agree. In a dense group most agree in one of the
+        # first tables, so these are asked before anything is multiplied.
+        early = min(int(table), EARLY) if len(one) * len(two) >= LARGE else 0
+        if early:
+            new = cells[one, 0][:, None] != cells[two, 0][None, :]
+            for t in range(1, early):
+                if not new.any():
+                    return
+                new &= cells[one, t][:, None] != cells[two, t][None, :]
+            a, b = new.any(axis=1), new.any(axis=0)
+            one, two, new = one[a], two[b], new[np.ix_(a, b)]
+            if not len(one):
+                return
+        linked = v[one] @ v[two].T >= threshold
+        i, j = np.nonzero(linked & new if early else linked)
         i, j = one[i], two[j]
         mine = ids[i] < ids[j] if side[0] == 2 else np.ones(len(i), dtype=bool)
         i, j = i[mine], j[mine]
+        for t in range(early, int(table)):
+            if not len(i):
+                return
+            if len(i) < 20_000:  # all other tables at once
+                apart = (cells[i, t:table] != cells[j, t:table]).all(axis=1)
+                i, j = i[apart], j[apart]
+                break
+            apart = cells[i, t] != cells[j, t]
+            i, j = i[apart], j[apart]
         if not len(i):
             return
-        # Only in the first table where the two agree.
-        first = np.concatenate([(cells[i[k:k + 20_000]] == cells[j[k:k + 20_000]]).argmax(axis=1) for k in range(0, len(i), 20_000)])
-        own = first == table
-        n = np.bincount(i[own], weights=copies[j[own]], minlength=len(ids)) + np.bincount(j[own], weights=copies[i[own]], minlength=len(ids))
+        n = np.bincount(i, weights=copies[j], minlength=len(ids)) + np.bincount(j, weights=copies[i], minlength=len(ids))
         for k in np.flatnonzero(n):
             yield int(ids[k]), int(ids[k]), int(n[k])
         root = np.arange(len(ids))
@@ -104,11 +124,15 @@ def _compare(threshold: float):
                 x = root[x]
             return x
 
-        for x, y in zip(i[own].tolist(), j[own].tolist()):
+        left = len(ids) - 1
+        for x, y in zip(i.tolist(), j.tolist()):
             p, q = find(x), find(y)
             if p != q:
                 root[p] = q
                 yield int(ids[x]), int(ids[y]), 0
+                left -= 1
+                if not left:  # all are one component
+                    return
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups_of(batches, "unit"):
