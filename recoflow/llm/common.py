@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recoflow.streaming.ingest import scratch_dir
@@ -51,6 +51,22 @@ def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Record
         yield rest
 
 
+def smallest(rows: DataFrame, key: str, hashed: str, ties: str, n: int, max_keys: int = 1000) -> DataFrame:
+    """The ``n`` rows of each ``key`` with the smallest hash (a bigint), for the ``max_keys`` most frequent keys.
+
+    Keys are counted first (partial sums; one row per key comes to the driver); then only hashes below a
+    threshold are ranked, which four times ``n`` rows of a key are expected to pass, so that no task ranks
+    a key that holds most rows.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("c")).orderBy(F.desc("c"), key).limit(max_keys).collect()
+    some = F.lit(False)
+    for r in counts:
+        below = int(min(1.0, 4 * n / r["c"]) * (1 << 64)) - (1 << 63)
+        some = some | ((F.col(key) == F.lit(r[key])) & (F.col(hashed) <= F.lit(min(below, (1 << 63) - 1))))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(hashed, ties))
+    return rows.where(some).withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+
 _BASE = 0x5851F42D4C957F2D  # odd, so that powers have inverses modulo 2**64
 _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 

@@ -40,9 +40,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from recoflow.llm.common import smallest
 
 SAMPLE_DOCS = 200
+MAX_LANGS = 200
 SAMPLE_DOC_CHARS = 4_000
 SAMPLE_CHARS = 40_000
 BLOCK = 512
@@ -236,16 +238,17 @@ def predict(model: Model | None, texts: list[str]) -> tuple[list[str], list[floa
 
 
 def train(docs: DataFrame, eligible: Column | None = None, sample_docs: int = SAMPLE_DOCS,
-          sample_chars: int = SAMPLE_CHARS) -> Model | None:
-    """Fit on (doc_id, text, lang) rows where ``eligible`` holds. The ids are picked first, so that only
-    chosen texts move; the ranking keeps ``sample_docs`` rows per language in each task."""
+          sample_chars: int = SAMPLE_CHARS, max_langs: int = MAX_LANGS) -> Model | None:
+    """Fit on (doc_id, text, lang) rows where ``eligible`` holds: ``sample_docs`` documents of each of the ``max_langs``
+    most frequent languages. The ids are picked first, so that only chosen texts move; of an id on several
+    rows one text counts."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.char_length("text") <= SAMPLE_DOC_CHARS))
     if eligible is not None:
         rows = rows.where(eligible)
-    keyed = rows.select("doc_id", "lang", F.xxhash64(F.lit("sample"), "doc_id").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    ids = keyed.withColumn("r", rank).where(F.col("r") <= sample_docs).drop("r").distinct()
+    keyed = rows.select("doc_id", "lang", F.xxhash64(F.lit("sample"), "doc_id").alias("h")).distinct()
+    ids = smallest(keyed, "lang", "h", "doc_id", sample_docs, max_langs)
     picked = rows.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
+    picked = picked.groupBy("doc_id", "lang", "h").agg(F.min("text").alias("text"))  # an id may stand on many rows
     samples: dict[str, list[str]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r.lang, r.h, r.doc_id, r.text)):
         samples.setdefault(r.lang, []).append(r.text)

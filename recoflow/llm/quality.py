@@ -15,7 +15,8 @@ pass without a shuffle.
 
 Defined cases: null and empty texts have the constant feature alone; with one
 class or none to learn from, scores are 1, 0 or 0.5 throughout; null labels and
-ids are not learned from; repeated rows score alike; an empty table gives an
+ids, and documents with labels of both kinds, are not learned from, and of an id on several rows only its
+smallest text is; repeated rows score alike; an empty table gives an
 empty result; no column but text enters a score, others are passed through.
 """
 
@@ -27,15 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from recoflow.llm.common import smallest
 from recoflow.llm.cross_parse import text_pieces
 
 BUCKETS = 1 << 18
 DIM = 12
 EPOCHS = 6
 RATE = 0.4
-SAMPLE_DOCS = 1_000  # not above spark.sql.optimizer.windowGroupLimitThreshold, so that each task keeps no more
+SAMPLE_DOCS = 1_000
 SAMPLE_DOC_CHARS = 20_000
 SEED = 7
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -136,11 +137,13 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column | None = None, la
     marked = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("doc_id is not null and y is not null")
     if eligible is not None:
         marked = marked.where(eligible)
-    marked = marked.groupBy("doc_id").agg(F.min("y").alias("y")).withColumn("h", F.xxhash64(F.lit("sample"), "doc_id"))
+    # Documents with labels of both kinds teach nothing.
+    marked = marked.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select(
+        "doc_id", "y", F.xxhash64(F.lit("sample"), "doc_id").alias("h"))
     short = docs.where(F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_DOC_CHARS)
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id"))
-    ids = marked.join(short.select("doc_id"), "doc_id", "left_semi").withColumn("r", rank).where(F.col("r") <= sample_docs)
-    rows = short.select("doc_id", "text").join(F.broadcast(ids.drop("r")), "doc_id").collect()
+    ids = smallest(marked.join(short.select("doc_id"), "doc_id", "left_semi"), "y", "h", "doc_id", sample_docs)
+    rows = short.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = rows.groupBy("doc_id", "y", "h").agg(F.min("text").alias("text")).collect()  # an id may stand on many rows
     rows.sort(key=lambda r: (r.h, r.doc_id, r.text or ""))
     return fit([r.text or "" for r in rows], [r.y for r in rows])
 

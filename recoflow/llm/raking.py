@@ -51,9 +51,9 @@ def topic_of(text: Column) -> Column:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """Cell columns and tokens, under names no input column has."""
+    """Cell columns and tokens; the input row is one column, ``row``, so that no name of it can clash."""
     unknown = lambda c: F.coalesce(F.col(c), F.lit("unknown")).alias(f"_{c}")
-    return docs.select("*", unknown("source"), unknown("lang"), topic_of(F.col("text")).alias("_topic"),
+    return docs.select(F.struct("*").alias("row"), unknown("source"), unknown("lang"), topic_of(F.col("text")).alias("_topic"),
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_tokens"))
 
 
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     raked = materialize(rake(cells, targets, temperature, rounds, keep), "probabilities")
     factors = cells.select(*key).join(raked, key, "left").withColumn("probability", F.coalesce("probability", F.lit(0.0)))
     out = rows.join(F.broadcast(factors) if cells.count() <= MAX_CELLS else factors, key)
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10)
-    return out.withColumn("topic", F.col("_topic")).withColumn("n_tokens", F.col("_tokens")).withColumn(
-        "sampled", draw.cast("double") / 4294967296 < F.col("probability")).select(
-        *[c for c in rows.columns if not c.startswith("_")], "topic", "n_tokens", "probability", "sampled")
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10)
+    names = rows.schema["row"].dataType.names
+    return out.select(*(F.col("row").getField(c).alias(c) for c in names), F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"), "probability",
+                      (draw.cast("double") / 4294967296 < F.col("probability")).alias("sampled"))

@@ -144,4 +144,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 def without_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that hold no benchmark item."""
     found = materialize(find_items(docs, benchmark, percent).select("key").distinct(), "found")
-    return docs.withColumn("_key", _key()).join(found.withColumnRenamed("key", "_key"), "_key", "left_anti").drop("_key")
+    rows = docs.select(_key().alias("key"), F.struct("*").alias("row"))
+    return rows.join(found, "key", "left_anti").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
