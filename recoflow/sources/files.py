@@ -107,8 +107,10 @@ def skipped_files(spark: SparkSession, path: str) -> DataFrame:
     breaks after its first rows were read counts as read in part and is not listed.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    plain = lambda c: F.regexp_replace(F.url_decode(F.regexp_replace(c, r"\\+", "%2B")), "^file:/+", "file:/")
-    read = read_batches(spark, path).select(plain(F.col("_metadata.file_path")).alias("file")).distinct()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    # The metadata column holds a URI, the listing a plain path.
+    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    read = read_batches(spark, path).select(plain(F.url_decode(uri)).alias("file")).distinct()
     silent = listing.select("path", "length", plain(F.col("path")).alias("file")).join(read, "file", "left_anti").select("path", "length")
     small = listing.where(F.col("length") <= EMPTY_FILE_BYTES).select("path", "length", "content").join(silent.select("path"), "path", "left_semi")
     return silent.where(F.col("length") > EMPTY_FILE_BYTES).unionByName(small.mapInArrow(_has_footer, "path string, length bigint"))

@@ -132,3 +132,118 @@ def test_train_segments_keeps_the_null_segment(spark, tmp, monkeypatch):
     data = spark.createDataFrame([("a/b",), (None,), (None,)], "seg string")
     jobs.train_segments(data, "seg", "m")
     assert seen == {"m/seg=a%2Fb": 1, "m/seg=__HIVE_DEFAULT_PARTITION__": 2}
+
+
+def test_prepare_with_rejects_counts_every_stage(spark, tmp):
+    """One routed write: accepted and rejected rows together are the joined rows; training reads the accepted ones."""
+    from recoflow.operators.aggregates import stage_counts
+    from recoflow.sources import files
+
+    p = _csvs(spark, tmp)
+    out = os.path.join(tmp, "routed")
+    assert cli.main(["prepare", "--reviews", p["reviews"], "--users", p["users"], "--games", p["games"], "--out", out,
+                     "--rejects", "--partition-by", "date"]) == 0
+    frames = files.read_reviews_csv(spark, p["reviews"]), files.read_users_csv(spark, p["users"]), files.read_games_csv(spark, p["games"])
+    res = jobs.prepare(*frames, out, rejects=True, partition_by=["date"])
+    stages = {r["stage"]: r["rows"] for r in stage_counts(*frames).collect()}
+    assert res["stages"] == {k: stages[k] for k in ("after_joins", "after_null_filter", "final")}
+    assert res["processed"] + sum(res["rejected"].values()) == stages["after_joins"] and len(res["rejected"]) > 2
+    accepted = files.read_processed(spark, f"{out}/outcome=accepted")
+    expected = processed_reviews(spark, SF_SMALL)
+    assert dict(accepted.dtypes)["date"] == "string"
+    assert accepted.select(expected.columns).exceptAll(expected).count() == 0 and accepted.count() == expected.count()
+
+
+def test_partitioned_write_has_few_files(spark, tmp):
+    """Rows of a day come together before they are written: files do not multiply with tasks."""
+    from recoflow.sinks.files import write_processed
+
+    df = processed_reviews(spark, SF_SMALL).repartition(16)
+    write_processed(df, os.path.join(tmp, "p"), ["date"])
+    days = df.select("date").distinct().count()
+    files = sum(f.endswith(".parquet") for _, _, names in os.walk(os.path.join(tmp, "p")) for f in names)
+    assert days <= files < 2 * days + 8
+
+
+def test_trim_and_publish_cli(spark, tmp):
+    p = _csvs(spark, tmp)
+    out = os.path.join(tmp, "trimmed")
+    assert cli.main(["trim", "--reviews", p["reviews"], "--out", out, "--lines", "101"]) == 0
+    ids = [int(r["review_id"]) for r in spark.read.option("header", "true").csv(out).collect()]
+    assert sorted(ids) == list(range(100))
+    sent = os.path.join(tmp, "sent")
+    assert cli.main(["publish", "--reviews", p["reviews"], "--checkpoint", os.path.join(tmp, "pub"), "--out", sent]) == 0
+    from recoflow.plans.queries import review_messages
+    expected = review_messages(spark, SF_SMALL).select("value")
+    assert spark.read.text(sent).exceptAll(expected).count() == 0 and spark.read.text(sent).count() == expected.count()
+
+
+def test_preprocess_counts_quoted_line_breaks_once(spark, tmp):
+    df = spark.createDataFrame([(str(i), "1", "2\n3", "true", "1.5", "7") for i in range(5)], "review_id string, app_id string, date string, is_recommended string, hours string, user_id string")
+    games = spark.createDataFrame([("1", 'a "b"\nc', "2")], "app_id string, title string, price_final string")
+    users = spark.createDataFrame([("7", "1", "1")], "user_id string, products string, reviews string")
+    assert jobs.preprocess(df, games, users, os.path.join(tmp, "o"), n=4) == {"recs": 4, "games_sampled": 1, "users_sampled": 1}
+    head = spark.read.option("header", "true").csv(os.path.join(tmp, "o", "recs")).columns
+    assert head == ["user_id", "app_id", "recommended", "hours", "timestamp"]
+
+
+def test_model_versions(spark, tmp, monkeypatch):
+    """A damaged model and other settings train anew, beside the old version; a storage failure is raised and nothing is lost."""
+    import shutil
+
+    import pytest
+
+    from recoflow.operators import training as TR
+
+    data = T.labelled(processed_reviews(spark, SF_SMALL))
+    path, fits = os.path.join(tmp, "m", TR.LR_NAME), []
+
+    def train():
+        fits.append(1)
+        return TR.train_lr(data, evaluate=False)
+
+    assert TR.load_or_train(path, TR.LR_NAME, train, "f")[1] and not TR.load_or_train(path, TR.LR_NAME, train, "g")[1]
+    assert TR.load_or_train(path, TR.LR_NAME, train, "g", same_input=True)[1] and len(fits) == 2
+    newest = TR.versions(spark, path)[0]["version"]
+    with monkeypatch.context() as m:
+        m.setattr(TR, "load_model", lambda *a: (_ for _ in ()).throw(OSError("connection reset")))
+        with pytest.raises(OSError):
+            TR.load_or_train(path, TR.LR_NAME, train, "g")
+    shutil.rmtree(os.path.join(path, "versions", newest, "model", "stages"))
+    assert TR.load_or_train(path, TR.LR_NAME, train, "g")[1] and len(fits) == 3
+    os.makedirs(os.path.join(path, "versions", "unfinished", "model"))  # no manifest: not there
+    assert not TR.load_or_train(path, TR.LR_NAME, train, "g")[1] and len(TR.versions(spark, path)) == 3
+    monkeypatch.setitem(TR.SETTINGS, TR.LR_NAME, {"maxIter": 1})
+    assert TR.load_or_train(path, TR.LR_NAME, train, "g")[1]
+
+
+def test_segments_run_side_by_side(spark, tmp, monkeypatch):
+    """A hundred segments and NULL, never more than asked at a time; a failure is raised."""
+    import threading
+    import time
+
+    import pytest
+
+    lock, now, most, seen = threading.Lock(), [0], [0], []
+
+    def fake(part, path, *a):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+            seen.append(path)
+        time.sleep(0.01)
+        with lock:
+            now[0] -= 1
+        return jobs.TrainReport()
+
+    monkeypatch.setattr(jobs, "train_all", fake)
+    data = spark.createDataFrame([(f"s{i}",) for i in range(100)] + [(None,)], "seg string")
+    reports = jobs.train_segments(data, "seg", "m", concurrent=5)
+    assert len(reports) == len(seen) == 101 and 1 < most[0] <= 5
+
+    def broken(part, path, *a):
+        raise ValueError(path)
+
+    monkeypatch.setattr(jobs, "train_all", broken)
+    with pytest.raises(ValueError):
+        jobs.train_segments(data, "seg", "m", concurrent=2)

@@ -60,3 +60,18 @@ def test_sinks_roundtrip(spark, tmp):
     write_csv(df, os.path.join(tmp, "c"))
     back = spark.read.option("header", "true").csv(os.path.join(tmp, "c"))
     assert sorted(r["k"] for r in back.collect()) == ["a", "b"]
+
+
+def test_skipped_files_are_named(spark, tmp):
+    """Broken small and large files are listed with their size; sound ones, also without rows, are not."""
+    from recoflow.sources import files
+
+    path = os.path.join(tmp, "batch dir")
+    spark.range(10).selectExpr(*(f"cast(id as string) {c}" for c in files.BATCH_SCHEMA.names)).repartition(2).write.parquet(f"{path}/batch_id=1")
+    spark.createDataFrame([], files.BATCH_SCHEMA).write.parquet(f"{path}/batch_id=2")
+    for name, size in (("a b%.parquet", 10), ("large.parquet", files.EMPTY_FILE_BYTES + 5), ("nothing.parquet", 0)):
+        with open(os.path.join(path, "batch_id=1", name), "wb") as f:
+            f.write(b"x" * size)
+    got = {os.path.basename(r["path"]): r["length"] for r in files.skipped_files(spark, path).collect()}
+    assert {k.replace("%20", " ").replace("%25", "%"): v for k, v in got.items()} == {"a b%.parquet": 10, "large.parquet": files.EMPTY_FILE_BYTES + 5, "nothing.parquet": 0}
+    assert files.read_batches(spark, path).count() == 10

@@ -50,6 +50,7 @@ def test_kafka_options():
     opts = IN.kafka_source_options("broker:9093")
     assert opts["subscribe"] == "game.reviews" and opts["startingOffsets"] == "earliest"
     assert opts["maxOffsetsPerTrigger"] == opts["minOffsetsPerTrigger"] == "500000"
+    assert IN.kafka_source_options("broker:9093", slots=64)["maxOffsetsPerTrigger"] == "32000000"
     assert opts["maxTriggerDelay"] == "5m"
     sink = IN.kafka_sink_options("broker:9093")
     assert sink["kafka.acks"] == "all" and sink["kafka.retries"] == "3"
@@ -111,3 +112,28 @@ def test_kafka_message_key_is_numeric_and_ordered(spark):
     df = spark.createDataFrame([(0, 5), (0, 6), (1, 0), (3, 2**39)], "partition int, offset long")
     keys = [int(r["k"]) for r in df.select(IN.kafka_message_key("partition", "offset").alias("k")).collect()]
     assert keys == sorted(keys) and len(set(keys)) == 4
+
+
+def test_progress_outlives_the_driver(spark, tmp):
+    """The second run's summary, and a reader without any query, know the first run's batches."""
+    src = os.path.join(tmp, "in")
+    rows = T.messages_raw(spark, SF_SMALL).limit(60).select("value")
+    rows.limit(20).repartition(2).write.text(f"{src}/a")
+    _run(spark, f"{src}/*", tmp)
+    rows.limit(20).repartition(1).write.text(f"{src}/b")
+    q = _run(spark, f"{src}/*", tmp)
+    got = IN.progress_summary(q)
+    assert [p["batchId"] for p in got] == [0, 1, 2] and sum(p["numInputRows"] for p in got) == 40
+    assert IN.landed_batches(spark, IN.progress_dir(f"{tmp}/ckpt")).count() == 3
+    assert [p["batchId"] for p in IN.progress_summary(q, last=2)] == [1, 2]
+    assert IN.landed_batches(spark, f"{tmp}/none").count() == 0
+
+
+def test_backlog_lands_in_batches_of_bounded_size(spark, tmp):
+    src = os.path.join(tmp, "in")
+    T.messages_raw(spark, SF_SMALL).select("value").repartition(8).write.text(src)
+    size = max(os.path.getsize(os.path.join(src, f)) for f in os.listdir(src) if f.endswith(".txt"))
+    q = IN.start_ingest(IN.read_json_lines(spark, src, max_bytes=2 * size), f"{tmp}/landed", f"{tmp}/quarantine", f"{tmp}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert 3 <= len(IN.progress_summary(q)) <= 8
+    assert IN.read_landed(spark, f"{tmp}/landed").count() == message_decoded(spark, SF_SMALL).count()
