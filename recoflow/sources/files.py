@@ -104,7 +104,7 @@ def skipped_files(spark: SparkSession, path: str) -> DataFrame:
 
     The listing (names and sizes, no contents) less the files that rows came from; of what
     is left, small files are opened, because a sound file without rows gives none either. A file that
-    breaks after its first rows were read counts as read in part and is not listed.
+    breaks after its first rows were read counts as read in part and is not listed, nor is a file of no bytes.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
