@@ -20,8 +20,9 @@ equal in all columns remain, and those are counted and repeated, not ranked.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
+from itertools import islice
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,8 +46,8 @@ def _text_word(text: Column, i: int) -> Column:
     return F.conv(F.rpad(part, 2 * TEXT_BYTES, "0"), 16, 10).cast("bigint")
 
 
-def _words(terms: list[Term], longest: int) -> Iterator[Column]:
-    """The sort words of a row, most significant first; texts have at most ``longest`` bytes."""
+def _words(terms: list[Term], longest: Callable[[], int]) -> Iterator[Column]:
+    """The sort words of a row, most significant first; texts have at most ``longest()`` bytes, asked when a text is reached."""
     for name, kind in terms:
         c = F.col(name)
         yield F.when(c.isNull(), 1).otherwise(0).cast("bigint")
@@ -54,7 +55,7 @@ def _words(terms: list[Term], longest: int) -> Iterator[Column]:
             yield F.coalesce(c, F.lit(0)).cast("bigint")
             continue
         text = F.coalesce(c, F.lit(""))
-        for i in range(-(-longest // TEXT_BYTES)):
+        for i in range(-(-longest() // TEXT_BYTES)):
             yield _text_word(text, i)
         yield F.octet_length(text).cast("bigint")  # 'a' before 'a\\0'
 
@@ -128,11 +129,11 @@ def exact_first_n(df: DataFrame, n: int, terms: dict[str, tuple[Column, str]]) -
     if count <= n:
         return df, count
     texts = [F.max(F.octet_length(name)) for name, kind in kinds if kind == "text"]
-    longest = max(x or 0 for x in keys.agg(*texts).first()) if texts else 0
+    longest = cache(lambda: max(x or 0 for x in keys.agg(*texts).first()))
     cut, need = radix_cut(keys, _words(kinds, longest), n)
 
     rows = df.withColumns(named)
-    below, at = _compared([w for w, _ in zip(_words(kinds, longest), cut)], cut)
+    below, at = _compared(list(islice(_words(kinds, longest), len(cut))), cut)
     if need is None:
         return rows.where(below | at).select(*columns), n
     head, tied = rows.where(below).select(*columns), rows.where(at).select(*columns)
