@@ -22,7 +22,10 @@ At each depth, for all nodes of all trees at once, nodes of ``SMALL`` members or
   a leaf as well, and so is what is large after ``MAX_DEPTH`` branchings: nothing is given up.
 
 Leaves are compared exhaustively, inside tasks: a large one is dealt into blocks of ``BLOCK``, and each
-pair of blocks is a unit of work. No pair of documents becomes a row before it counts:
+pair of blocks is a unit of work. A large group of near copies is a large leaf in every tree, so large leaves with the
+same largest component are put together where that makes fewer rows, and compared once instead of once for each tree
+and branch. The members of that component have blocks of their own, which are not compared with one another. No pair
+of documents becomes a row before it counts:
 
 * a unit of one block gives the spanning forest of its likely pairs, the most alike first, across components only. Those
   are confirmed, each once for all trees, and give new components;
@@ -360,13 +363,47 @@ def _links_within(width: int, percent: int):
     return run
 
 
+def _largest(leaves: DataFrame, block: int) -> DataFrame:
+    """Per node: rows, its largest component (ties: the smallest) with its rows, and the rows its units take."""
+    parts = leaves.groupBy("node", "known").agg(F.count("*").alias("c"))
+    nodes = parts.groupBy("node").agg(F.sum("c").alias("m"), F.min(F.struct(-F.col("c"), "known")).alias("top"))
+    nodes = nodes.select("node", "m", F.col("top.known").alias("major"), (-F.col("top.col1")).alias("alike"))
+    # Of a component that fills blocks of its own, rows meet the others only.
+    apart = F.col("alike") > block
+    own = F.when(apart, F.ceil(F.col("alike") / block)).otherwise(0).cast("int")
+    others = F.ceil((F.col("m") - F.when(apart, F.col("alike")).otherwise(0)) / block).cast("int")
+    nodes = nodes.withColumn("own", own).withColumn("others", others)
+    return nodes.withColumn("cost", F.when(apart, F.col("alike")).otherwise(0) * F.col("others")
+                            + (F.col("m") - F.when(apart, F.col("alike")).otherwise(0)) * (F.col("own") + F.col("others")))
+
+
+def _together(leaves: DataFrame, block: int) -> DataFrame:
+    """Leaves (node, doc_id, known), those of more than a block with the same largest component as one where that
+    makes fewer rows of units, with the columns of ``_largest``."""
+    nodes = materialize(_largest(leaves, block), "leaf-sizes")
+    large = materialize(leaves.join(nodes.where(F.col("m") > block).select("node", "major"), "node"), "large-leaves")
+    whole = large.select(F.xxhash64("major", F.lit("leaves")).alias("node"), "major", "doc_id", "known").distinct()
+    ours = nodes.where(F.col("m") > block).groupBy("major").agg(F.sum("cost").alias("apart"), F.count("*").alias("leaves"))
+    fewer = _largest(whole, block).join(whole.select("node", F.col("major").alias("of")).distinct(), "node")
+    fewer = fewer.join(ours.withColumnRenamed("major", "of"), "of").where("leaves > 1 and cost < apart")
+    fewer = materialize(fewer.select("of", "node", "m", "major", "alike", "own", "others", "cost"), "joined-leaves")
+    gone = nodes.join(fewer.select(F.col("of").alias("major")), "major", "left_semi").where(F.col("m") > block).select("node")
+    columns = ["node", "doc_id", "known", "major", "own", "others"]
+    kept = leaves.join(nodes.join(gone, "node", "left_anti"), "node").select(columns)
+    return kept.union(whole.drop("major").join(fewer.drop("of"), "node").select(columns))
+
+
 def _units(leaves: DataFrame, light: DataFrame, block: int) -> DataFrame:
-    """The members of leaves (node, doc_id, m, known, component) in units: each pair of a node's blocks."""
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    rows = leaves.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    unit = F.when(F.col("blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("side", "other"), F.greatest("side", "other")))
-    rows = rows.select(unit.alias("unit"), "node", "doc_id", "side", "known", "component").join(light, "doc_id")
+    """The members of leaves (node, doc_id, known) in units: each pair of a node's blocks of which one holds others
+    than the node's largest component."""
+    apart = (F.col("own") > 0) & (F.col("known") == F.col("major"))
+    deal = F.when(apart, F.col("others") + F.pmod(F.xxhash64("doc_id"), F.greatest("own", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("doc_id"), F.greatest("others", F.lit(1))))
+    rows = _together(leaves, block).withColumn("side", deal.cast("int"))
+    meets = F.when(apart, F.col("others")).otherwise(F.col("own") + F.col("others"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
+    unit = F.when(F.col("own") + F.col("others") == 1, F.col("node")).otherwise(F.xxhash64("node", F.least("side", "other"), F.greatest("side", "other")))
+    rows = rows.select(unit.alias("unit"), "node", "doc_id", "side", "known", F.col("known").alias("component")).join(light, "doc_id")
     return rows.select("unit", "node", "side", "doc_id", "known", "component", "n", "k0", "k1", "k2", "k3")
 
 
@@ -400,7 +437,7 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
         # Most nodes hold one document.
         nodes = materialize(nodes.join(sizes, "node"), "nodes")
         settled = (F.col("m") <= small) | F.coalesce(2 * F.col("m") > F.col("parent"), F.lit(False))
-        leaves = _plus(leaves, nodes.where(settled).select("node", "doc_id", "m"))
+        leaves = _plus(leaves, nodes.where(settled).select("node", "doc_id"))
         large = nodes.where(~settled)
         if large.isEmpty():
             break
@@ -415,7 +452,7 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
         cross = cross.select("node", ((F.col("all") * F.col("all") - F.col("squares")) / 2).alias("cross")).where("cross > 0")
         rows = materialize(rows.join(cross, "node"), "mixed")
         done = F.lit(True) if depth == max_depth else F.col("cross") <= leaf * F.col("m")
-        leaves = _plus(leaves, rows.where(done).select("node", "doc_id", "m"))
+        leaves = _plus(leaves, rows.where(done).select("node", "doc_id"))
         rest = rows.where(~done)
         if depth == max_depth or rest.isEmpty():
             break
@@ -424,18 +461,21 @@ def find_links(classes: DataFrame, docs: DataFrame, width: int, percent: int, le
                  .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("branch"))
                  .select(F.xxhash64("node", "branch", F.element_at("sig", at)).alias("node"), "doc_id", "parent"))
 
-    leaves = _labelled(leaves, links, "known")
+    # One row a document takes the labels, so that memberships need one join only.
+    known = materialize(_labelled(classes.select("doc_id").distinct(), links, "known"), "known")
+    leaves = materialize(leaves.join(known, "doc_id"), "leaves")
     if links is not None:  # what the larger nodes' links have settled
         mixed = leaves.groupBy("node").agg(F.min("known").alias("a"), F.max("known").alias("b")).where("a < b").select("node")
-        leaves = leaves.join(mixed, "node", "left_semi")
-    units = materialize(_units(leaves.withColumn("component", F.col("known")), light, block), "units")
+        leaves = materialize(leaves.join(mixed, "node", "left_semi"), "leaves")
+    units = materialize(_units(leaves, light, block), "units")
     pairs = _by_unit(units).mapInArrow(_first_pairs(percent), "node bigint, u bigint, v bigint")
     pairs = materialize(pairs, "first-pairs")
     new = materialize(confirm(materialize(pairs.where("u IS NOT NULL").select("u", "v").distinct(), "pairs"), docs, width, percent), "links")
     links = _plus(links, new)
     # Units where likely pairs are left after these.
     units = units.join(pairs.select("node").distinct(), "node", "left_semi")
-    units = _labelled(units.drop("component"), _stars(links), "component").select(units.columns)
+    known = materialize(_labelled(classes.select("doc_id").distinct(), _stars(links), "component"), "known")
+    units = units.drop("component").join(known, "doc_id").select(units.columns)
     left = materialize(_by_unit(units).mapInArrow(_left_over(percent), units.schema), "left-over")
     if not left.isEmpty():
         nodes = left.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))  # a few for each tree

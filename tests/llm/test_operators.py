@@ -53,6 +53,27 @@ def test_chosen_path_equals_all_pairs(spark):
     assert chosen_path.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_chosen_path_compares_a_large_group_once_for_all_trees(spark, monkeypatch):
+    base = " ".join(rng.choice(WORDS, 120))
+    texts = [base] + [_edit(base, 1 + i % 2, i) for i in range(150)] + [_edit(base, 12, 1000 + i) for i in range(60)]
+    texts += [_edit(texts[-1], 1, 2000), _edit(texts[-2], 2, 2001)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, write = {}, chosen_path.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(chosen_path, "materialize", counted)
+    got = {r.doc_id: r.component_id for r in chosen_path.near_duplicates(docs, 2, leaf=1, small=8, block=8).collect()}
+    sets = [_sets(t, 2) for t in texts]
+    linked = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert got == _components(set(range(len(texts))), linked)
+    # About 150 rows meet 8 blocks of others, 60 rows meet 27 blocks; in each tree and branch anew, it would be 20 times that and more.
+    assert rows["units"] <= 20 * len(texts) + 4 * (150 * 8 + 60 * 27)
+
+
 def test_suffix_dedup_equals_a_scan(spark):
     shared = "é" + BASE[:130]
     texts = [shared + " tail one", "head " + shared, BASE, BASE, None, "", "x" * 350, "abc" * 90, "x" * 100]
