@@ -44,6 +44,9 @@ LR_ROWS, GBT_ROWS = 500_000, 750_000
 LR_MAX_ITER = 20
 GBT_MAX_ITER, GBT_MAX_DEPTH = 15, 5
 ALS_MAX_ITER, ALS_REG_PARAM = 5, 0.01
+# Ratings of a user or item block, on average. MLlib builds and solves a block in one task's heap, unseen by Spark's
+# memory manager: about 50 bytes a rating while it is built, less 2**24 ratings, beyond which its buffers double.
+ALS_BLOCK_RATINGS = 12_000_000
 MIN_TRAINING_ROWS = 100
 AUC_TARGET = 0.70
 SEED = 42
@@ -89,10 +92,11 @@ def gbt_pipeline(label: str = LABEL_COLUMN, seed: int = SEED) -> Pipeline:
 
 
 def als_estimator(seed: int = SEED, blocks: int | None = None) -> ALS:
-    """M3: explicit ALS on hours; rank 10 (default), nonnegative, cold-start drop."""
+    """M3: explicit ALS on hours; rank 10 (default), nonnegative, cold-start drop. Rating blocks are kept on disk:
+    cached ones fill the heap that the tasks need for theirs."""
     als = ALS(maxIter=ALS_MAX_ITER, regParam=ALS_REG_PARAM, userCol="user", itemCol="item",
               ratingCol="rating", coldStartStrategy="drop", nonnegative=True, seed=seed,
-              checkpointInterval=2)
+              checkpointInterval=2, intermediateStorageLevel="DISK_ONLY")
     if blocks:
         als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
     return als
@@ -186,14 +190,15 @@ def train_als(triples: DataFrame, blocks: int | None = None, count_rows: bool =
     ALS iterates; its lineage is cut every 2 iterations in the shared
     checkpoint folder, so a lost executor does not replay every iteration.
     User and item blocks scale with the cluster (MLlib's default is 10 blocks,
-    which would put a 100 TB rating table into 10 tasks per iteration).
+    which would put a 100 TB rating table into 10 tasks per iteration) and, where
+    the rows are counted, with the ratings (``ALS_BLOCK_RATINGS``).
     """
     spark = triples.sparkSession
     checkpoint_dir(spark)
     rows = triples.count() if count_rows else -1
     if (rows < MIN_TRAINING_ROWS) if count_rows else not has_min_rows(triples):
         raise NotEnoughData(f"not enough data for {ALS_NAME}")
-    blocks = blocks or max(10, default_parallelism(spark))
+    blocks = blocks or max(10, default_parallelism(spark), -(-rows // ALS_BLOCK_RATINGS))
     model = als_estimator(blocks=blocks).fit(triples)
     return TrainResult(ALS_NAME, model, rows)
 

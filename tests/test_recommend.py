@@ -93,3 +93,14 @@ def test_requested_ids_and_seen_items(spark):
 def test_no_pairs_of_users_and_items(spark):
     model = TR.train_als(T.interactions(spark, SF_SMALL)).model
     assert "CartesianProduct" not in SC.recommend_all(model)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rating_blocks_grow_with_the_ratings_and_stay_on_disk(spark, monkeypatch):
+    """A block is built in one task's heap, so more ratings are more blocks, not larger ones."""
+    rows = spark.range(600).selectExpr("cast(id % 60 as int) user", "cast(id * 7 % 50 as int) item", "cast(id % 5 + 1 as float) rating")
+    monkeypatch.setattr(TR, "ALS_BLOCK_RATINGS", 40)
+    result = TR.train_als(rows, count_rows=True)
+    assert result.rows == 600 and result.model.userFactors.rdd.getNumPartitions() == 15
+    assert result.model.userFactors.count() == 60 and result.model.itemFactors.count() == 50
+    assert TR.train_als(rows, blocks=11).model.userFactors.rdd.getNumPartitions() == 11
+    assert TR.als_estimator().getIntermediateStorageLevel() == "DISK_ONLY"
