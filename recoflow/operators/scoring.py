@@ -88,7 +88,8 @@ def ranked(tops: DataFrame) -> DataFrame:
         "user", "known", (F.col("pos") + 1).alias("rank"), F.col("rec.item").alias("app_id"), F.col("rec.score").alias("score"))
 
 
-# Items whose factors are sent to the tasks at a time, in bytes; a larger catalogue takes several rounds.
+# Items whose factors are sent to the tasks at a time, in bytes of a task's two copies (sent and unpacked); a larger
+# catalogue takes several rounds.
 GROUP_BYTES = 64 << 20
 # Items multiplied at a time, and users.
 BLOCK_ITEMS, BLOCK_USERS = 4096, 256
@@ -103,14 +104,16 @@ def top_items(users: DataFrame, items: DataFrame, n: int, group_bytes: int = GRO
     blocks. A product is at most the product of the norms, so a user whose n-th
     score is above the block's bound needs none of the blocks that follow;
     users are compared with a few blocks instead of with all items, and no join
-    pairs users with items. State between groups is a written table.
+    pairs users with items. State between groups is a written table; users that
+    need no further group leave it with their answer alone.
     """
     spark = users.sparkSession
     if "seen" not in users.columns:
         users = users.withColumn("seen", F.lit(None).cast("array<int>"))
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     first = items.select(F.size("features")).first()
-    size = max(1, group_bytes // (8 * first[0])) if first else 1
+    single = dict(items.dtypes)["features"] == "array<float>"
+    size = max(1, group_bytes // ((8 if single else 16) * first[0])) if first else 1
     items = items.select(F.col("id").cast("int").alias("id"), "features", norm.alias("norm"))
     groups = max(1, -(-items.count() // size))
     if groups > 1:
@@ -121,18 +124,30 @@ def top_items(users: DataFrame, items: DataFrame, n: int, group_bytes: int = GRO
     bounds = {r["part"]: r["top"] for r in items.groupBy("part").agg(F.max("norm").alias("top")).collect()} if groups > 1 else {}
 
     none = "array<{}>".format
-    state = users.select("user", F.col("features").cast("array<double>").alias("features"), F.col("seen").cast("array<int>").alias("seen"),
-                         F.array().cast(none("int")).alias("items"), F.array().cast(none("double")).alias("scores"))
+    kept = users.select("user", "features", F.col("seen").cast("array<int>").alias("seen"), F.col("features").isNotNull().alias("known"),
+                        F.array().cast(none("int")).alias("items"), F.array().cast(none("double")).alias("scores"), F.lit(True).alias("open"))
+    schema, answer = kept.schema, ["user", "known", "items", "scores"]
+    state, done = kept, []
     parts = sorted(bounds) or [None]
     for i, part in enumerate(parts):
-        group = (items if part is None else items.where(F.col("part") == part)).orderBy(F.col("norm").desc(), "id").toPandas()
-        factors = np.array(group["features"].tolist(), dtype=np.float64).reshape(len(group), -1)
-        state = state.mapInArrow(_best_of(group["id"].to_numpy(np.int32), factors, group["norm"].to_numpy(), n, block), state.schema)
-        if i + 1 < len(parts):
+        group = (items if part is None else items.where(F.col("part") == part)).orderBy(F.col("norm").desc(), "id").toArrow().combine_chunks()
+        ids, norms = group["id"].to_numpy(), group["norm"].to_numpy()
+        factors = group["features"].combine_chunks().flatten().to_numpy().reshape(len(ids), first[0] if first else 0)
+        later = bounds[parts[i + 1]] if i + 1 < len(parts) else None
+        state = state.mapInArrow(_best_of(ids, factors, norms, n, block, later), schema)
+        if later is not None:
             path = scratch_dir(spark, "top-items")
-            state.write.parquet(path)
-            state = spark.read.schema(state.schema).parquet(path)
-    return state.select("user", F.col("features").isNotNull().alias("known"), "items", "scores")
+            left = [F.when(F.col("open"), F.col(c)).alias(c) for c in ("features", "seen")]
+            state.select("user", *left, "known", "items", "scores", "open").write.partitionBy("open").parquet(path)
+            state = spark.read.schema(schema).parquet(path)
+            done.append(state.where(~F.col("open")).select(answer))
+            state = state.where(F.col("open")).select(schema.names)
+            if state.isEmpty():
+                break
+    tops = state.select(answer)
+    for x in done:
+        tops = x.unionByName(tops)
+    return tops
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,50 +159,64 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best_of(ids: np.ndarray, factors: np.ndarray, norms: np.ndarray, n: int, block: int):
-    """Merges one group of items, by falling norm, into each user's best ``n``."""
+def _best_of(ids: np.ndarray, factors: np.ndarray, norms: np.ndarray, n: int, block: int, later: float | None = None):
+    """Merges one group of items, by falling norm, into each user's best ``n``. ``later``: the largest norm of the
+    groups that follow; a user that needs none of them is no longer ``open``."""
     by_id = np.argsort(ids)
 
-    def merged(u: np.ndarray, seen: list[np.ndarray], best: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def merged(u: np.ndarray, seen: list[np.ndarray], best: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         size = np.sqrt((u * u).sum(axis=1)) * (1 + 1e-9)  # products are rounded
         least = np.array([s[-1] if len(s) == n else -np.inf for _, s in best])
         for lo in range(0, len(ids), block):
             open_ = np.flatnonzero(size * norms[lo] >= least)
             if not len(open_):
-                return
-            products = _products(u[open_], factors[lo:lo + block])
-            for row, k in enumerate(open_):
-                score, left = products[row], seen[k]
+                break
+            some_factors = factors[lo:lo + block].astype(np.float64)
+            # A matrix product is fast, and near enough to tell which products may be among the best.
+            about = u[open_] @ some_factors.T
+            slack = 1e-9 * size[open_] * norms[lo]
+            floor = least[open_] - slack
+            for row in np.flatnonzero(about.max(axis=1) >= floor):
+                k = open_[row]
+                near, left = about[row], seen[k]
                 if len(left):
-                    score[left[(left >= lo) & (left < lo + block)] - lo] = -np.inf
-                some = np.flatnonzero((score >= least[k]) & (score > -np.inf))
+                    near[left[(left >= lo) & (left < lo + block)] - lo] = -np.inf
+                at = np.flatnonzero((near >= floor[row]) & (near > -np.inf))
+                if len(at) > n:
+                    at = at[near[at] >= np.partition(near[at], -n)[-n] - 2 * slack[row]]
+                score = _products(u[k:k + 1], some_factors[at])[0]
+                some = np.flatnonzero(score >= least[k])
                 if len(some) > n:  # the n-th best and its ties
                     some = some[score[some] >= np.partition(score[some], -n)[-n]]
-                item, value = np.concatenate([best[k][0], ids[lo + some]]), np.concatenate([best[k][1], score[some]])
+                item, value = np.concatenate([best[k][0], ids[lo + at[some]]]), np.concatenate([best[k][1], score[some]])
                 order = np.lexsort((item, -value))[:n]
                 best[k] = item[order], value[order]
                 if len(order) == n:
                     least[k] = value[order[-1]]
+        return size * later >= least if later is not None else np.zeros(len(u), dtype=bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_USERS):
                 batch = whole.slice(at, BLOCK_USERS)
-                features, seen, items, scores = (batch.column(c).to_pylist() for c in ("features", "seen", "items", "scores"))
+                features, items, scores = (batch.column(c).to_pylist() for c in ("features", "items", "scores"))
+                seen = batch.column("seen")
                 known = [i for i, f in enumerate(features) if f is not None]
                 best = [(np.array(i, dtype=np.int32), np.array(s, dtype=np.float64)) for i, s in zip(items, scores)]
-                if known and len(ids) and n > 0:
+                still = np.zeros(batch.num_rows, dtype=bool)
+                if known and n > 0:
                     left = []
                     for i in known:
-                        s = np.array(seen[i] or [], dtype=np.int32)
+                        s = seen[i].values
+                        s = np.array([], dtype=np.int32) if s is None else s.drop_null().to_numpy()
                         at_id = np.minimum(np.searchsorted(ids, s, sorter=by_id), len(ids) - 1)
-                        left.append(by_id[at_id][ids[by_id[at_id]] == s])
+                        left.append(by_id[at_id][ids[by_id[at_id]] == s] if len(ids) else s)
                     some = [best[i] for i in known]
-                    merged(np.array([features[i] for i in known], dtype=np.float64), left, some)
+                    still[known] = merged(np.array([features[i] for i in known], dtype=np.float64), left, some)
                     for i, b in zip(known, some):
                         best[i] = b
-                columns = [batch.column(c) for c in ("user", "features", "seen")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([i for i, _ in best], pa.list_(pa.int32())), pa.array([s for _, s in best], pa.list_(pa.float64()))],
-                                                 names=["user", "features", "seen", "items", "scores"])
+                columns = [batch.column(c) for c in ("user", "features", "seen", "known")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([i for i, _ in best], pa.list_(pa.int32())), pa.array([s for _, s in best], pa.list_(pa.float64())), pa.array(still)],
+                                                 names=["user", "features", "seen", "known", "items", "scores", "open"])
 
     return run

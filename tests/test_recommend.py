@@ -104,3 +104,19 @@ def test_rating_blocks_grow_with_the_ratings_and_stay_on_disk(spark, monkeypatch
     assert result.model.userFactors.count() == 60 and result.model.itemFactors.count() == 50
     assert TR.train_als(rows, blocks=11).model.userFactors.rdd.getNumPartitions() == 11
     assert TR.als_estimator().getIntermediateStorageLevel() == "DISK_ONLY"
+
+
+def test_users_leave_when_no_group_can_help_them(spark, tmp, monkeypatch):
+    """Between groups of items only users that may still gain carry factors; factors travel in single precision."""
+    sent, best_of, paths = [], SC._best_of, []
+    monkeypatch.setattr(SC, "_best_of", lambda ids, factors, *a: sent.append(factors) or best_of(ids, factors, *a))
+    monkeypatch.setattr(SC, "scratch_dir", lambda _, name: paths.append(f"{tmp}/{name}-{len(paths)}") or paths[-1])
+    users = spark.createDataFrame([(u, [1.0, float(u % 2)], None) for u in range(8)] + [(9, None, None)], "user int, features array<float>, seen array<int>")
+    items = spark.createDataFrame([(i, [20.0 - i, 0.0] if i < 10 else [0.0, 20.0 - i]) for i in range(20)], "id int, features array<float>")
+    got = {r["user"]: r for r in SC.top_items(users, items, 3, group_bytes=16 * 5).collect()}
+    assert len(got) == 9 and got[9]["items"] == [] and not got[9]["known"]
+    assert all(got[u]["items"] == [0, 1, 2] and got[u]["scores"] == [20.0, 19.0, 18.0] and got[u]["known"] for u in range(8))
+    assert {f.dtype for f in sent} == {np.dtype("float32")} and len(sent) < 4
+    rounds = [spark.read.parquet(p) for p in paths if "top-items" in p]
+    assert [(r.count(), r.where("open = 'true'").count()) for r in rounds] == [(9, 4), (4, 0)]
+    assert not any(r.where("open = 'false' and (features is not null or seen is not null)").count() for r in rounds)
